@@ -23,7 +23,7 @@ def tidy_name(name: str) -> str:
 
 def stripped(value: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.btrim(value, F.lit(" \t\n\x0b\f\r"))
 
 
 def normalized(value: Column) -> Column:

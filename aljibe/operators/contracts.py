@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from aljibe.errors import DataQualityError
 from aljibe.functions.numbers import percent
-from aljibe.operators.joins import HOT_ROWS, with_group_size
+from aljibe.operators.joins import with_group_size
 from aljibe.operators.rules import Rule, holds, long_form
 
 
@@ -55,7 +55,7 @@ def _failures(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> Data
     return coerced.select(*keys, F.filter(F.array(*found), lambda one: one.isNotNull()).alias("_found"))
 
 
-def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
     """One row per broken check: the row key, column, check and offending value.
 
     All row-level checks share one pass. Only a unique field adds a shuffle, and
@@ -65,7 +65,7 @@ def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str], ho
     for f in contract.fields:
         if f.unique:
             columns = list(dict.fromkeys([*row_key, f.name]))
-            sized = with_group_size(df.select(*columns).where(F.col(f.name).isNotNull()), [f.name], "_copies", hot_rows)
+            sized = with_group_size(df.select(*columns).where(F.col(f.name).isNotNull()), [f.name], "_copies")
             failures.append(sized.where("_copies > 1").select(
                 *row_key, F.lit(f.name).alias("column"), F.lit("unique").alias("check"), F.col(f.name).cast("string").alias("value")
             ))

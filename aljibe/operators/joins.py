@@ -1,89 +1,53 @@
 """Lookups, key checks and group sizes that stay even when one key dominates.
 
-Plain equi-joins of two tables need no help: Spark broadcasts a side it
-measures as small and AQE splits a skewed shuffle partition. It does not split
-a join whose side is an aggregate (a distinct key list, a count per key),
-because there the partition is not read straight from the shuffle. For those,
-``spread_join`` gives the rows of a hot key several salts and copies the one
-matching row of the other side to each salt. All rows and results are kept.
+A join of two tables needs no help: Spark broadcasts a side it measures as
+small, and AQE splits a shuffle partition that one key has made too large. AQE
+can only split what a join reads straight from a shuffle. An aggregated side (a
+distinct key list, a count per key) is already partitioned by its key, is
+joined without another shuffle, and so keeps the hot key's rows in one task.
+``attach`` joins on a hash of the keys as well, which puts a shuffle of the
+aggregated rows, one per key, between aggregate and join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-# A key is hot from this many rows on. At most rows / HOT_ROWS keys can be hot,
-# so the broadcast list of hot keys is small for any table: 10**12 rows have
-# no more than 10**6 of them.
-HOT_ROWS = 1_000_000
-SALTS = 200
 
+def attach(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join of ``rows`` to an aggregate with one row per key, splittable for hot keys.
 
-def _same(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
-    condition = F.lit(True)
-    for one, other in zip(left, right):
-        condition = condition & (one.eqNullSafe(other) if null_safe else one == other)
-    return condition
-
+    With ``null_safe`` NULL keys find the NULL group, else they find nothing.
+    """
+    added = [name for name in per_key.columns if name not in keys]
+    there = [f"_key_{place}" for place in range(len(keys))]
+    right = per_key.select(*[F.col(key).alias(name) for key, name in zip(keys, there)], *added)
+    condition = F.xxhash64(*[F.col(key) for key in keys]) == F.xxhash64(*[F.col(name) for name in there])
+    for key, name in zip(keys, there):
+        here, other = F.col(key), F.col(name)
+        condition = condition & (here.eqNullSafe(other) if null_safe else here == other)
+    return rows.join(right, condition, "left").drop(*there)
 
-def spread_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    hot_keys: DataFrame,
-    null_safe: bool = False,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left join of ``rows`` to ``lookup`` (one row per key), salted for the keys in ``hot_keys``.
 
-    ``hot_keys`` must be bounded, as any list of keys above a row count is. The
-    salt is a hash of the row, so a task that runs again repeats it.
-    """
-    added = [name for name in lookup.columns if name not in keys]
-    hot_names = [f"_hot_{place}" for place in range(len(keys))]
-    key_names = [f"_key_{place}" for place in range(len(keys))]
-    hot = F.broadcast(hot_keys.select(*[F.col(key).alias(name) for key, name in zip(keys, hot_names)], F.lit(True).alias("_hot")))
-
-    def marked(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        return df.join(hot, _same([F.col(n) for n in names], [F.col(n) for n in hot_names], True), "left").drop(*hot_names)
-
-    hashable = [field.name for field in rows.schema if field.dataType.typeName() not in ("map", "variant")]
-    left = marked(rows, keys).withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).otherwise(0)
-    ).drop("_hot")
-    right = lookup.select(*[F.col(key).alias(name) for key, name in zip(keys, key_names)], *added)
-    right = marked(right, key_names).withColumn(
-        "_copy", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    same = _same([F.col(n) for n in keys], [F.col(n) for n in key_names], null_safe)
-    joined = left.join(right, same & (F.col("_salt") == F.col("_copy")), "left")
-    return joined.select(*rows.columns, *added)
-
-
-def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size", hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
     """Number of rows sharing the row's keys, NULLs forming a group of their own.
 
     Counts are combined map-side before the shuffle and joined back, instead of
     a window that would hold the whole group in one task.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return spread_join(df, sizes, keys, sizes.where(F.col(name) > hot_rows), null_safe=True, salts=salts)
+    return attach(df, sizes, keys, null_safe=True)
 
 
-def with_key_exists(
-    df: DataFrame, key: str, reference: DataFrame, reference_key: str, name: str = "key_exists",
-    hot_rows: int = HOT_ROWS, salts: int = SALTS,
-) -> DataFrame:
+def with_key_exists(df: DataFrame, key: str, reference: DataFrame, reference_key: str, name: str = "key_exists") -> DataFrame:
     """Whether ``key`` occurs in ``reference``; False for NULL. Duplicate reference keys add no rows."""
     known = (
         reference.select(F.col(reference_key).alias(key)).where(F.col(key).isNotNull()).distinct()
         .withColumn("_known", F.lit(True))
     )
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    joined = spread_join(df, known, [key], hot, salts=salts)
-    return joined.withColumn(name, F.col("_known").isNotNull()).drop("_known")
+    return attach(df, known, [key]).withColumn(name, F.col("_known").isNotNull()).drop("_known")
 
 
 def orphans(df: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:

@@ -15,8 +15,8 @@ from aljibe.functions.numbers import nan_to_null, percent, rounded
 from aljibe.operators.grouping import duplicate_share
 from aljibe.operators.rules import Rule, long_form, rule_report
 
-# values a single task may hold and sort when a quantile has been narrowed down
-SMALL = 1_000_000
+# distinct values a single task may hold and sort for a quantile
+SMALL = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -96,8 +96,10 @@ def data_dictionary(df: DataFrame, descriptions: Mapping[str, str] | None = None
 def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], small: int = SMALL) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, exact for data of any size.
 
-    A quantile lies between two order statistics. Their value range is narrowed
-    with sketches until few distinct values remain in it, then these are counted
+    ``percentile`` keeps every distinct value of a column in one task, so it is
+    used for columns with at most ``small`` of them. In others a quantile is
+    found by narrowing: it lies between two order statistics, whose value range
+    is cut with sketches until few distinct values remain, and these are counted
     and read off in order. Every pass is one scan of the columns for all
     quantiles; only bounds and results, a few numbers per column, reach the driver.
     """
@@ -110,22 +112,28 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
             ("few", F.approx_count_distinct(f"c{i}")),
         )
     ]).first()
-
-    # a target is a range of values known to hold both order statistics: rows below it, rows in it, distinct values in it
-    targets = []
-    for i in range(len(columns)):
-        for j, fraction in enumerate(fractions):
-            if first[f"n{i}"]:
-                targets.append({
-                    "column": i, "fraction": j, "place": fraction * (first[f"n{i}"] - 1), "low": first[f"low{i}"],
-                    "high": first[f"high{i}"], "below": 0, "rows": first[f"n{i}"], "few": first[f"few{i}"],
-                })
-
-    while wide := [t for t in targets if t["low"] < t["high"] and t["few"] > small]:
+    out: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in columns}
+    simple = [i for i in range(len(columns)) if first[f"n{i}"] and first[f"few{i}"] <= small]
+    if simple:
+        at = [F.lit(fraction) for fraction in fractions]
+        row = numbers.agg(*[F.percentile(f"c{i}", F.array(*at)).alias(f"p{i}") for i in simple]).first()
+        for i in simple:
+            out[columns[i]] = list(row[f"p{i}"])
+
+    # a target is a range of values that holds both order statistics, with the rows below it, in it and at its
+    # low end, and a bound for its distinct values
+    targets = [
+        {
+            "column": i, "fraction": j, "place": fraction * (first[f"n{i}"] - 1), "low": first[f"low{i}"],
+            "high": first[f"high{i}"], "below": 0, "rows": first[f"n{i}"], "at_low": 0, "few": first[f"few{i}"],
+        }
+        for i in range(len(columns)) if first[f"n{i}"] and i not in simple
+        for j, fraction in enumerate(fractions)
+    ]
+    while wide := [t for t in targets if t["low"] < t["high"] and t["few"] > max(small, 2)]:
         _narrow(numbers, wide)
 
     found = _order_statistics(numbers, [t for t in targets if t["low"] < t["high"]])
-    out: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in columns}
     for t in targets:
         if t["low"] == t["high"]:
             value = t["low"]
@@ -152,46 +160,46 @@ def _narrow(numbers: DataFrame, targets: list[dict]) -> None:
     round removes values, also where one value fills most of it.
     """
     accuracy, margin = 10_000, 0.001
-    sums = []
-    for k, t in enumerate(targets):
-        c = F.col(f"c{t['column']}")
-        sums += [
-            F.count_if(c == F.lit(t["low"])).alias(f"at_low{k}"),
-            F.count_if((c > F.lit(t["low"])) & (c < F.lit(t["high"]))).alias(f"between{k}"),
-        ]
-    known = numbers.agg(*sums).first()
-
+    # targets in the same range share one sketch
+    ranges: dict[tuple, list[float]] = {}
+    for t in targets:
+        inner = max(t["rows"] - t["at_low"] - 1, 1)
+        at = (t["place"] - t["below"] - t["at_low"]) / inner
+        share = ranges.setdefault((t["column"], t["low"], t["high"]), [])
+        t["cut"] = len(share)
+        share += [min(max(at + side, 0.0), 1.0) for side in (-margin, margin)]
     sketches = []
-    for k, t in enumerate(targets):
-        c = F.col(f"c{t['column']}")
-        at = (t["place"] - t["below"] - known[f"at_low{k}"]) / max(known[f"between{k}"] - 1, 1)
-        around = [min(max(at + side, 0.0), 1.0) for side in (-margin, margin)]
-        sketches.append(F.percentile_approx(F.when((c > F.lit(t["low"])) & (c < F.lit(t["high"])), c), around, accuracy).alias(f"cuts{k}"))
-    cuts = numbers.agg(*sketches).first()
+    for (i, low, high), at in ranges.items():
+        c = F.col(f"c{i}")
+        sketches.append(F.percentile_approx(F.when((c > F.lit(low)) & (c < F.lit(high)), c), at, accuracy))
+    cuts = dict(zip(ranges, numbers.agg(*[sketch.alias(f"s{k}") for k, sketch in enumerate(sketches)]).first()))
 
     sums = []
     for k, t in enumerate(targets):
-        c, (one, two) = F.col(f"c{t['column']}"), cuts[f"cuts{k}"] or (t["low"], t["high"])
-        sums += [F.count_if(c < F.lit(one)).alias(f"under_one{k}"), F.count_if(c < F.lit(two)).alias(f"under_two{k}")]
-        for name, low, high in (("left", t["low"], one), ("middle", one, two), ("right", two, t["high"])):
-            part = c.between(F.lit(low), F.lit(high))
-            sums += [F.count_if(part).alias(f"{name}{k}"), F.approx_count_distinct(F.when(part, c)).alias(f"{name}_few{k}")]
+        found = cuts[(t["column"], t["low"], t["high"])]
+        t["one"], t["two"] = found[t["cut"]:t["cut"] + 2] if found else (None, None)
+        c = F.col(f"c{t['column']}")
+        for name, condition in (
+            ("at_low", c == F.lit(t["low"])), ("below_one", c < F.lit(t["one"])), ("at_one", c == F.lit(t["one"])),
+            ("below_two", c < F.lit(t["two"])), ("at_two", c == F.lit(t["two"])),
+        ):
+            sums.append(F.count_if(condition).alias(f"{name}{k}"))
     counted = numbers.agg(*sums).first()
 
     for k, t in enumerate(targets):
-        if not known[f"between{k}"]:
-            t["few"] = 2
-            continue
-        one, two = cuts[f"cuts{k}"]
+        at_low, below_one, at_one, below_two, at_two = (counted[f"{n}{k}"] for n in ("at_low", "below_one", "at_one", "below_two", "at_two"))
         under, over = _ranks(t)
-        below_one, below_two = counted[f"under_one{k}"], counted[f"under_two{k}"]
-        if over <= below_one:
-            part, low, high, below = "left", t["low"], one, t["below"]
-        elif over < below_one + counted[f"middle{k}"]:
-            part, low, high, below = "middle", one, two, below_one
+        upto = t["below"] + t["rows"]
+        if t["one"] is None:
+            # nothing strictly inside: the range is its two bounds
+            t.update(few=2)
+        elif over <= below_one:
+            t.update(high=t["one"], rows=below_one + at_one - t["below"], at_low=at_low)
+        elif over < below_two + at_two:
+            t.update(low=t["one"], high=t["two"], below=below_one, rows=below_two + at_two - below_one, at_low=at_one)
         else:
-            part, low, high, below = "right", two, t["high"], below_two
-        t.update(low=low, high=high, below=below, rows=counted[f"{part}{k}"], few=counted[f"{part}_few{k}"])
+            t.update(low=t["two"], below=below_two, rows=upto - below_two, at_low=at_two)
+        t["few"] = min(t["few"], t["rows"])
 
 
 def _order_statistics(numbers: DataFrame, targets: list[dict]) -> dict[tuple[int, int], tuple[float, float]]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from aljibe.functions.numbers import sums_to
 from aljibe.functions.text import EMAIL_STRICT
 from aljibe.operators.grouping import item_counts
-from aljibe.operators.joins import HOT_ROWS, with_group_size, with_key_exists
+from aljibe.operators.joins import with_group_size, with_key_exists
 from aljibe.operators.rules import Rule, accepted, quarantined, with_failed_rules, with_flags
 from aljibe.operators.suites import Expectation, audit, between, columns_are, in_set, matches, not_null, require_gate, run_suite, unique
 from aljibe.sinks.tables import publish, staged
@@ -50,10 +50,10 @@ def order_rules(
     ]
 
 
-def flagged_orders(orders: DataFrame, customers: DataFrame, rules: Sequence[Rule], customer_key: str = "customer_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+def flagged_orders(orders: DataFrame, customers: DataFrame, rules: Sequence[Rule], customer_key: str = "customer_id") -> DataFrame:
     """Orders with duplicate count, customer check, one flag per rule, failed rules and verdict."""
-    counted = with_group_size(orders, ["order_id"], "dup_count", hot_rows)
-    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists", hot_rows)
+    counted = with_group_size(orders, ["order_id"], "dup_count")
+    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists")
     return with_failed_rules(with_flags(known, rules), rules)
 
 
