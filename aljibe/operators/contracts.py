@@ -58,8 +58,8 @@ def _failures(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> Data
 def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
     """One row per broken check: the row key, column, check and offending value.
 
-    All row-level checks share one pass. Only a unique field adds a shuffle, and
-    only of the key columns.
+    All row-level checks share one pass. A unique field adds the job that lists
+    its duplicated values.
     """
     failures = [_failures(df, contract, row_key).select(*row_key, F.inline("_found"))]
     for f in contract.fields:

@@ -1,57 +1,65 @@
-"""Lookups, key checks and group sizes that stay even when one key dominates.
-
-A join of two tables needs no help: Spark broadcasts a side it measures as
-small, and AQE splits a shuffle partition that one key has made too large. AQE
-can only split what a join reads straight from a shuffle. An aggregated side (a
-distinct key list, a count per key) is already partitioned by its key, is
-joined without another shuffle, and so keeps the hot key's rows in one task.
-``attach`` joins on a hash of the keys as well, which puts a shuffle of the
-aggregated rows, one per key, between aggregate and join.
+"""Lookups, key checks and group sizes.
+
+Checks against other rows look for exceptions: duplicate keys, keys without a
+parent. These are found on the key column alone, reduced per task before they
+are shuffled, and written to the shared folder. What is joined to the full rows
+is that list, whose size Spark then knows: a short list is broadcast and the
+rows are not shuffled at all, a long one is a plain join of two scans, which
+AQE splits where one key holds too many rows. A window over the key would
+shuffle every row and hold the largest group in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from aljibe.session import staged
 
-def attach(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left join of ``rows`` to an aggregate with one row per key, splittable for hot keys.
 
-    With ``null_safe`` NULL keys find the NULL group, else they find nothing.
-    """
-    added = [name for name in per_key.columns if name not in keys]
+def _attach(rows: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a list with one row per key, NULL keys matching each other."""
     there = [f"_key_{place}" for place in range(len(keys))]
-    right = per_key.select(*[F.col(key).alias(name) for key, name in zip(keys, there)], *added)
-    condition = F.xxhash64(*[F.col(key) for key in keys]) == F.xxhash64(*[F.col(name) for name in there])
+    right = listed.withColumnsRenamed(dict(zip(keys, there)))
+    condition: Column = F.lit(True)
     for key, name in zip(keys, there):
-        here, other = F.col(key), F.col(name)
-        condition = condition & (here.eqNullSafe(other) if null_safe else here == other)
+        condition = condition & F.col(key).eqNullSafe(F.col(name))
     return rows.join(right, condition, "left").drop(*there)
 
 
+def duplicated_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:
+    """Keys of more than one row and how many rows share them; NULLs form a group of their own."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+
+
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
-    """Number of rows sharing the row's keys, NULLs forming a group of their own.
+    """Number of rows sharing the row's keys. Runs the job that lists the duplicated keys."""
+    listed = staged(duplicated_keys(df, keys, "_copies"))
+    return _attach(df, listed, keys).withColumn(name, F.coalesce("_copies", F.lit(1).cast("bigint"))).drop("_copies")
 
-    Counts are combined map-side before the shuffle and joined back, instead of
-    a window that would hold the whole group in one task.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return attach(df, sizes, keys, null_safe=True)
 
+def unmatched_keys(df: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:
+    """Distinct non-NULL values of ``key`` that ``reference`` does not have."""
+    used = df.select(key).where(F.col(key).isNotNull()).distinct()
+    return used.join(reference.select(F.col(reference_key).alias("_known")), F.col(key) == F.col("_known"), "left_anti")
 
-def with_key_exists(df: DataFrame, key: str, reference: DataFrame, reference_key: str, name: str = "key_exists") -> DataFrame:
-    """Whether ``key`` occurs in ``reference``; False for NULL. Duplicate reference keys add no rows."""
-    known = (
-        reference.select(F.col(reference_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-        .withColumn("_known", F.lit(True))
-    )
-    return attach(df, known, [key]).withColumn(name, F.col("_known").isNotNull()).drop("_known")
+
+def with_key_exists(
+    df: DataFrame, key: str, reference: DataFrame, reference_key: str, name: str = "key_exists", keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Whether ``key`` occurs in ``reference``; False for NULL. Duplicate reference keys add no rows.
+
+    Runs the job that lists the keys without a match, from ``keys_from`` where
+    ``df`` holds the same keys but costs more to compute.
+    """
+    source = df if keys_from is None else keys_from
+    listed = staged(unmatched_keys(source, key, reference, reference_key)).withColumn("_unmatched", F.lit(True))
+    return _attach(df, listed, [key]).withColumn(name, F.col(key).isNotNull() & F.col("_unmatched").isNull()).drop("_unmatched")
 
 
 def orphans(df: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:
-    """Rows whose ``key`` is NULL or not in ``reference``. Both sides come straight from a shuffle, so AQE can split them."""
+    """Rows whose ``key`` is NULL or not in ``reference``."""
     known = reference.select(F.col(reference_key).alias("_known"))
     return df.join(known, df[key] == F.col("_known"), "left_anti")
 

@@ -70,10 +70,10 @@ def data_dictionary(df: DataFrame, descriptions: Mapping[str, str] | None = None
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.count("value").alias("distinct_values"),
     )
-    # per task only the smallest few values of a column go on (WindowGroupLimit)
+    # per task only the smallest few values of a column go on (WindowGroupLimit); NULL comes last and is not collected
     smallest = (
-        counts.where(F.col("value").isNotNull())
-        .withColumn("_place", F.row_number().over(Window.partitionBy("position").orderBy("value")))
+        counts
+        .withColumn("_place", F.row_number().over(Window.partitionBy("position").orderBy(F.asc_nulls_last("value"))))
         .where(F.col("_place") <= examples)
         .groupBy("position").agg(F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("examples"))
     )

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from aljibe.errors import LoadError
 from aljibe.functions.dates import yesterday
 from aljibe.sinks.changes import replace_range, upsert
-from aljibe.sinks.tables import publish, staged
+from aljibe.session import staged
+from aljibe.sinks.tables import publish
 from aljibe.sources.jdbc import read_increment
 
 # Columns of the control table, load modes F (full) and I (incremental), the kind whose watermark advances.

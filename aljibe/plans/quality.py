@@ -13,7 +13,8 @@ from aljibe.operators.grouping import item_counts
 from aljibe.operators.joins import with_group_size, with_key_exists
 from aljibe.operators.rules import Rule, accepted, quarantined, with_failed_rules, with_flags
 from aljibe.operators.suites import Expectation, audit, between, columns_are, in_set, matches, not_null, require_gate, run_suite, unique
-from aljibe.sinks.tables import publish, staged
+from aljibe.session import staged
+from aljibe.sinks.tables import publish
 
 # Currency of each country, payment methods, order states, segments.
 CURRENCY_OF = {"ES": "EUR", "MX": "MXN", "AR": "ARS", "CO": "COP", "CL": "CLP"}
@@ -53,7 +54,7 @@ def order_rules(
 def flagged_orders(orders: DataFrame, customers: DataFrame, rules: Sequence[Rule], customer_key: str = "customer_id") -> DataFrame:
     """Orders with duplicate count, customer check, one flag per rule, failed rules and verdict."""
     counted = with_group_size(orders, ["order_id"], "dup_count")
-    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists")
+    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists", keys_from=orders)
     return with_failed_rules(with_flags(known, rules), rules)
 
 

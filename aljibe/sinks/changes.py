@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aljibe.functions.dates import in_window
-from aljibe.sinks.tables import publish, republish, staged
+from aljibe.session import staged
+from aljibe.sinks.tables import publish, republish
 
 
 def replaced_range(target: DataFrame, rows: DataFrame, column: str, start: date, end: date) -> DataFrame:

@@ -8,13 +8,11 @@ copy in the shared folder, which a failed run leaves complete for a re-run.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from aljibe.operators.columns import typed
-from aljibe.session import shared_folder
+from aljibe.session import staged
 
 
 def create_schemas(spark: SparkSession, *names: str) -> None:
@@ -37,17 +35,6 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage and frees the result from the tables it was read from.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def publish(df: DataFrame, table: str, schema_mode: str = "replace") -> None:
     """Overwrite a table. An empty frame empties it.
 
