@@ -42,13 +42,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def stage(df: DataFrame) -> str:
+    """Write ``df`` to a new folder below the shared folder; its path."""
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Runs a job. Cuts the lineage, survives the loss of executors, frees the
     result from the tables it was read from, and lets Spark plan with its real size.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df))

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aljibe.functions.dates import in_window
-from aljibe.session import staged
+from aljibe.session import stage
 from aljibe.sinks.tables import publish, republish
 
 
@@ -32,19 +32,20 @@ def replace_range(spark: SparkSession, rows: DataFrame, table: str, column: str,
     if partitioned_by != [column]:
         republish(replaced_range(spark.table(table), rows.select(*spark.table(table).columns), column, start, end), table)
         return
-    rows = staged(rows)
+    columns = spark.table(table).columns
+    rows = rows.select(*columns)
+    path = stage(rows)
     # days of the range the new rows no longer have: partition values only, never data rows
-    present = {row[0] for row in rows.select(column).distinct().collect()}
+    present = {str(row[0]) for row in spark.read.schema(rows.schema).parquet(path).select(column).distinct().collect()}
     landed = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    stale = [day for day in landed if str(start) < day <= str(end) and day not in {str(d) for d in present}]
-    (
-        rows.select(*spark.table(table).columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    stale = [day for day in landed if str(start) < day <= str(end) and day not in present]
+    # a session of its own: the setting must not reach other writes that run at the same time
+    writer = spark.newSession()
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writer.read.schema(rows.schema).parquet(path).write.mode("overwrite").insertInto(table)
     for day in stale:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{date.fromisoformat(day)}')")
+    spark.catalog.refreshTable(table)
 
 
 def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,0 +1,86 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
+
+from aljibe.sinks import changes, tables
+
+D = dt.date
+
+
+@pytest.fixture
+def schema_name(spark, request):
+    name = f"t_{abs(hash(request.node.name)) % 10**8}"
+    tables.create_schemas(spark, name)
+    yield name
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+def test_create_drop(spark, schema_name):
+    table = f"{schema_name}.t"
+    tables.create_table(spark, table, StructType([StructField("a", IntegerType()), StructField("d", DateType())]), ("d",))
+    tables.create_table(spark, table, StructType([StructField("a", IntegerType())]))
+    assert spark.table(table).dtypes == [("a", "int"), ("d", "date")]
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["d"]
+    tables.drop_table(spark, table)
+    assert not spark.catalog.tableExists(table)
+
+
+def test_publish_modes_and_empty_frames(spark, schema_name, rows):
+    table = f"{schema_name}.t"
+    tables.publish(spark.createDataFrame([(1, "x")], "a int, b string"), table)
+    tables.publish(spark.createDataFrame([(2,)], "a int"), table, "merge")
+    assert rows(spark.table(table)) == [(2, None)]
+    tables.append(spark.createDataFrame([], "a int, b string"), table)
+    assert spark.table(table).count() == 1
+    tables.append(spark.createDataFrame([("y", 3)], "b string, a int"), table)
+    assert rows(spark.table(table)) == [(2, None), (3, "y")]
+    tables.publish(spark.table(table).select("a").where("false").transform(tables.staged), table)
+    assert spark.table(table).columns == ["a"] and spark.table(table).count() == 0
+    with pytest.raises(ValueError):
+        tables.publish(spark.range(1), table, "other")
+
+
+def test_republish_reads_its_own_target(spark, schema_name, rows):
+    table = f"{schema_name}.t"
+    tables.publish(spark.createDataFrame([(1,), (2,)], "a int"), table)
+    tables.republish(spark.table(table).withColumn("a", F.col("a") * 10), table)
+    assert rows(spark.table(table)) == [(10,), (20,)]
+
+
+def test_write_typed(spark, schema_name, rows):
+    schema = StructType([StructField("id", LongType()), StructField("day", DateType()), StructField("note", StringType())])
+    df = spark.createDataFrame([("1", "2024-01-01")], "id string, day string")
+    tables.write_typed(df, f"{schema_name}.t", schema)
+    tables.write_typed(df, f"{schema_name}.t", schema, mode="append")
+    assert rows(spark.table(f"{schema_name}.t")) == [(1, D(2024, 1, 1), None)] * 2
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_replace_range_is_idempotent(spark, schema_name, rows, partitioned):
+    table = f"{schema_name}.t"
+    days = [D(2024, 1, d) for d in (1, 2, 3, 4)]
+    start = spark.createDataFrame([(i, day) for i, day in enumerate(days)] + [(9, None)], "id int, day date")
+    writer = start.write.partitionBy("day") if partitioned else start.write
+    writer.saveAsTable(table)
+    new = spark.createDataFrame([(50, D(2024, 1, 2)), (51, D(2024, 1, 2)), (99, D(2024, 1, 9))], "id int, day date")
+    for _ in range(2):
+        changes.replace_range(spark, new, table, "day", D(2024, 1, 1), D(2024, 1, 3))
+        assert rows(spark.table(table), "id", "day") == sorted([
+            (0, days[0]), (50, days[1]), (51, days[1]), (3, days[3]), (9, None)], key=repr)
+
+
+def test_upsert(spark, schema_name, rows):
+    table = f"{schema_name}.control"
+    tables.publish(spark.createDataFrame([("a", 1, "F", "kept"), ("b", 2, "F", "kept")], "name string, mark int, mode string, extra string"), table)
+    updates = spark.createDataFrame([("b", 20, "I"), ("c", 30, "I")], "name string, mark int, mode string")
+    for _ in range(2):
+        changes.upsert(spark, updates, table, ["name"])
+        assert rows(spark.table(table)) == [("a", 1, "F", "kept"), ("b", 20, "I", "kept"), ("c", 30, "I", None)]
+
+
+def test_upsert_may_set_null(spark, rows):
+    target = spark.createDataFrame([("a", 1)], "name string, mark int")
+    updates = spark.createDataFrame([("a", None), (None, 7)], "name string, mark int")
+    assert rows(changes.upserted(target, updates, ["name"])) == [("a", None), (None, 7)]
