@@ -17,7 +17,11 @@ from aljibe.errors import QualityGateError
 from aljibe.functions.numbers import percent
 from aljibe.operators.rules import long_form
 
-RESULT = ("expectation", "column", "element_count", "null_count", "unexpected", "unexpected_pct", "success")
+# columns of a result, also the schema to read saved results with
+RESULT = (
+    "suite string, position int, expectation string, column string, element_count bigint, null_count bigint, "
+    "unexpected bigint, unexpected_pct double, success boolean"
+)
 
 
 @dataclass(frozen=True)

@@ -57,6 +57,8 @@ class DailyLoad:
         create_schemas(self.spark, *[f"{self.prefix}_{layer}" for layer in ("bronze", "silver", "gold", "ops")])
         create_table(self.spark, self.name("bronze", "orders"), ORDERS, ("_run_date",))
         create_table(self.spark, self.name("bronze", "customers"), CUSTOMERS, ("_run_date",))
+        create_table(self.spark, self.name("silver", "orders"), ORDERS, ("_run_date",))
+        create_table(self.spark, self.name("silver", "orders_reject"), REJECTS, ("_run_date",))
         for table, schema in (("pipeline_events", EVENTS), ("pipeline_alerts", ALERTS), ("dataset_versions", VERSIONS)):
             create_table(self.spark, self.name("ops", table), schema)
 
@@ -67,16 +69,25 @@ class DailyLoad:
         )
         append(row, self.name("ops", "pipeline_events"))
 
-    def published(self, df: DataFrame, table: str, operation: str) -> None:
-        """Record a publish: table, version one above the last, rows written."""
+    def published(self, table: str, operation: str) -> None:
+        """Record a publish: table, version one above the last, rows it now has."""
         versions = self.name("ops", "dataset_versions")
         last = self.spark.table(versions).where(F.col("table_name") == table).agg(F.max("version")).first()[0]
         row = log_row(
             self.spark, VERSIONS, audit_ts=self.now, run_id=self.run_id, table_name=table, operation=operation,
-            version=0 if last is None else last + 1, operation_ts=self.now, num_output_rows=str(df.count()),
+            version=0 if last is None else last + 1, operation_ts=self.now, num_output_rows=str(self.spark.table(table).count()),
         )
         append(row, versions)
 
+    def _replace_day(self, rows: DataFrame, table: str) -> None:
+        before = date.fromordinal(self.run_date.toordinal() - 1)
+        replace_range(self.spark, rows, table, "_run_date", before, self.run_date)
+        self.published(table, "REPLACE DAY")
+
+    def _write(self, df: DataFrame, schema: StructType, layer: str, table: str) -> None:
+        publish(typed(df, schema), self.name(layer, table))
+        self.published(self.name(layer, table), "OVERWRITE")
+
     def bronze(self, dataset: str, landed: DataFrame, source_file: str) -> None:
         """Add the day's landing rows. Loading a day again replaces that day."""
         schema = ORDERS if dataset == "orders" else CUSTOMERS
@@ -84,19 +95,23 @@ class DailyLoad:
             "_ingestion_ts": F.lit(self.now), "_source_file": F.lit(source_file),
             "_run_id": F.lit(self.run_id), "_run_date": F.lit(self.run_date),
         })
-        table = self.name("bronze", dataset)
-        before = date.fromordinal(self.run_date.toordinal() - 1)
-        replace_range(self.spark, typed(rows, schema, coerce=True), table, "_run_date", before, self.run_date)
-        day = self.spark.table(table).where(F.col("_run_date") == F.lit(self.run_date))
-        self.published(day, table, "REPLACE DAY")
+        self._replace_day(typed(rows, schema, coerce=True), self.name("bronze", dataset))
+
+    def silver(self, rebuild: bool = False) -> None:
+        """Check the day's reject rate, split its orders, keep the latest customers.
 
-    def silver(self) -> None:
-        """Check the day's reject rate, split all orders, keep the latest customers."""
+        An order's verdict depends on its own row only, so just the day's
+        partition is written; ``rebuild`` splits all days again.
+        """
         orders = self.spark.table(self.name("bronze", "orders"))
         day = require_rows(orders.where(F.col("_run_date") == F.lit(self.run_date)), f"orders of {self.run_date}")
         total, rejected = rejects.require_reject_rate(day)
-        self._write(rejects.valid_orders(orders), ORDERS, "silver", "orders")
-        self._write(rejects.rejected_orders(orders), REJECTS, "silver", "orders_reject")
+        for rows, schema, table in ((rejects.valid_orders, ORDERS, "orders"), (rejects.rejected_orders, REJECTS, "orders_reject")):
+            if rebuild:
+                publish(typed(rows(orders), schema), self.name("silver", table), partitioned_by=("_run_date",))
+                self.published(self.name("silver", table), "OVERWRITE")
+            else:
+                self._replace_day(typed(rows(day), schema), self.name("silver", table))
         customers = require_rows(self.spark.table(self.name("bronze", "customers")), "customers")
         self._write(latest_per_key(customers, ["customer_id"], ["updated_at", "_ingestion_ts"]), CUSTOMERS, "silver", "customers")
         self.event("INFO", "silver", "orders", "OK", "silver done", rows_ok=total - rejected, rows_reject=rejected,
@@ -119,11 +134,6 @@ class DailyLoad:
         self.event("INFO", "gold", "gold_tables", "OK", "gold published", rows_ok=daily.count())
         return dropped
 
-    def _write(self, df: DataFrame, schema: StructType, layer: str, table: str) -> None:
-        name = self.name(layer, table)
-        publish(typed(df, schema), name)
-        self.published(self.spark.table(name), name, "OVERWRITE")
-
     def run(self, orders: DataFrame, customers: DataFrame, source_files: tuple[str, str] = ("orders.csv", "customers.jsonl")) -> bool:
         """All stages. A failing stage leaves an ERROR event and an alert and raises."""
         self.setup()

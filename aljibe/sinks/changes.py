@@ -42,7 +42,8 @@ def replace_range(spark: SparkSession, rows: DataFrame, table: str, column: str,
     # a session of its own: the setting must not reach other writes that run at the same time
     writer = spark.newSession()
     writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer.read.schema(rows.schema).parquet(path).write.mode("overwrite").insertInto(table)
+    # few files per day, and AQE splits a day that is too large for one task
+    writer.read.schema(rows.schema).parquet(path).hint("rebalance", column).write.mode("overwrite").insertInto(table)
     for day in stale:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{date.fromisoformat(day)}')")
     spark.catalog.refreshTable(table)

@@ -22,8 +22,11 @@ def write_layer(df: DataFrame, root: str, dataset: str, run_date: str, compressi
 
 
 def write_days(df: DataFrame, path: str, day: Sequence[str], rows_per_file: int = 0) -> None:
-    """Write Parquet partitioned by ``day`` columns, replacing only the days present in ``df``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*day)
+    """Write Parquet partitioned by ``day`` columns, replacing only the days present in ``df``.
+
+    Rows are gathered per day for few files; AQE splits a day that is too large for one task.
+    """
+    writer = df.hint("rebalance", *day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*day)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)

@@ -35,7 +35,7 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def publish(df: DataFrame, table: str, schema_mode: str = "replace") -> None:
+def publish(df: DataFrame, table: str, schema_mode: str = "replace", partitioned_by: tuple[str, ...] = ()) -> None:
     """Overwrite a table. An empty frame empties it.
 
     ``schema_mode="merge"`` keeps columns the table has and the frame lacks,
@@ -48,7 +48,10 @@ def publish(df: DataFrame, table: str, schema_mode: str = "replace") -> None:
                 df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
     elif schema_mode not in ("merge", "replace"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
+    writer = df.write
+    if partitioned_by:
+        writer = df.hint("rebalance", *partitioned_by).write.partitionBy(*partitioned_by)
+    writer.format("parquet").mode("overwrite").saveAsTable(table)
 
 
 def republish(df: DataFrame, table: str) -> None:

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from aljibe.errors import DataQualityError, QualityGateError
 from aljibe.operators import contracts, rejects, rules, suites
 from aljibe.plans import quality, retail
+from aljibe.sinks.files import write_json_lines
+from aljibe.sources.files import read_json_lines
 
 AS_OF = "2025-06-01"
 
@@ -75,6 +77,14 @@ def test_suite_tolerance_nulls_and_column_order(spark):
     assert [r["success"] for r in empty.collect()] == [True, True, True]
 
 
+def test_results_are_saved_as_json_and_read_back(spark, tmp_path, rows):
+    results = suites.run_suite(spark.range(3), [suites.unique("id"), suites.between("id", 0, 1)], "s")
+    write_json_lines(results, str(tmp_path / "results"))
+    again = read_json_lines(spark, str(tmp_path / "results"), suites.RESULT)
+    assert rows(again) == rows(results) and again.columns == results.columns
+    assert rows(suites.gate(again)) == [("overall", False), ("s", False)]
+
+
 def test_run_quality_writes_everything(spark, quality_data):
     orders, customers = quality_data
     spark.sql("CREATE SCHEMA IF NOT EXISTS dq")
