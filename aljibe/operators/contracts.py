@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from aljibe.errors import DataQualityError
 from aljibe.functions.numbers import percent
 from aljibe.operators.joins import with_group_size
 from aljibe.operators.rules import Rule, holds, long_form
+from aljibe.sinks.tables import publish
 
 
 @dataclass(frozen=True)
@@ -32,44 +32,53 @@ class Contract:
     cross_checks: tuple[Rule, ...] = field(default=())
 
 
-def _failures(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
+def _raw(name: str) -> str:
+    return f"_raw_{name}"
+
+
+def _coerced(df: DataFrame, contract: Contract) -> DataFrame:
+    """Fields in their declared types, beside the values as they came in."""
+    kept = df.withColumns({_raw(f.name): F.col(f.name) for f in contract.fields})
+    return kept.withColumns({f.name: F.col(f.name).try_cast(f.type) for f in contract.fields})
+
+
+def _failures(coerced: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
     """The row key and an array of (column, check, value) for what the row breaks."""
-    originals = {f.name: f"_raw_{f.name}" for f in contract.fields}
-    coerced = df.withColumns({raw: F.col(name) for name, raw in originals.items()}).withColumns(
-        {f.name: F.col(f.name).try_cast(f.type) for f in contract.fields}
-    )
 
     def failure(broken: Column, column: str, check: str, value: Column) -> Column:
         return F.when(broken, F.struct(F.lit(column).alias("column"), F.lit(check).alias("check"), value.cast("string").alias("value")))
 
     found = []
     for f in contract.fields:
-        raw, value = F.col(originals[f.name]), F.col(f.name)
+        raw, value = F.col(_raw(f.name)), F.col(f.name)
         found.append(failure(raw.isNotNull() & value.isNull(), f.name, f"type {f.type}", raw))
         if not f.nullable:
             found.append(failure(raw.isNull(), f.name, "not_null", raw))
+        if _copies(f.name) in coerced.columns:
+            found.append(failure(value.isNotNull() & (F.col(_copies(f.name)) > 1), f.name, "unique", value))
         found += [failure(~holds(rule), f.name, rule.name, value) for rule in f.checks]
     found += [failure(~holds(rule), "", rule.name, F.lit(None)) for rule in contract.cross_checks]
     # the key is shown as it came in
-    keys = [F.col(originals.get(key, key)).alias(key) for key in row_key]
+    names = {f.name for f in contract.fields}
+    keys = [F.col(_raw(key) if key in names else key).alias(key) for key in row_key]
     return coerced.select(*keys, F.filter(F.array(*found), lambda one: one.isNotNull()).alias("_found"))
 
 
+def _copies(name: str) -> str:
+    return f"_copies_{name}"
+
+
 def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
     """One row per broken check: the row key, column, check and offending value.
 
-    All row-level checks share one pass. A unique field adds the job that lists
-    its duplicated values.
+    All checks share one pass over the rows. A unique field first runs the job
+    that lists its duplicated values.
     """
-    failures = [_failures(df, contract, row_key).select(*row_key, F.inline("_found"))]
+    coerced = sized = _coerced(df, contract)
     for f in contract.fields:
         if f.unique:
-            columns = list(dict.fromkeys([*row_key, f.name]))
-            sized = with_group_size(df.select(*columns).where(F.col(f.name).isNotNull()), [f.name], "_copies")
-            failures.append(sized.where("_copies > 1").select(
-                *row_key, F.lit(f.name).alias("column"), F.lit("unique").alias("check"), F.col(f.name).cast("string").alias("value")
-            ))
-    return reduce(DataFrame.unionByName, failures)
+            sized = with_group_size(sized, [f.name], _copies(f.name), keys_from=coerced)
+    return _failures(sized, contract, row_key).select(*row_key, F.inline("_found"))
 
 
 def broken_rows(df: DataFrame, contract: Contract, row_key: Sequence[str], first_rows: int | None = None) -> DataFrame:
@@ -78,15 +87,13 @@ def broken_rows(df: DataFrame, contract: Contract, row_key: Sequence[str], first
     Checks every row; ``first_rows`` restricts it to a look at a few. Nothing is shuffled.
     """
     rows = df if first_rows is None else df.limit(first_rows)
-    failures = _failures(rows, contract, row_key)
+    failures = _failures(_coerced(rows, contract), contract, row_key)
     names = F.array_distinct(F.transform("_found", lambda one: one["column"]))
     return failures.where(F.size("_found") > 0).select(*row_key, F.array_join(names, ",").alias("broken_fields"))
 
 
 def require_contract(failures: DataFrame, table: str) -> None:
     """Store the failures of a contract in ``table`` and raise if there are any."""
-    from aljibe.sinks.tables import publish
-
     publish(failures, table)
     n = failures.sparkSession.table(table).count()
     if n:
@@ -127,6 +134,6 @@ def schema_drift(df: DataFrame, expected: StructType, by: str | None = None) ->
     return counts.select(F.col(by), F.inline(F.array(*entries)))
 
 
-def read_all_versions(spark, path: str) -> DataFrame:
+def read_all_versions(spark: SparkSession, path: str) -> DataFrame:
     """Every landed partition with the union of their columns; older rows have NULL in newer columns."""
     return spark.read.option("mergeSchema", True).parquet(path)

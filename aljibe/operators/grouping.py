@@ -38,7 +38,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     Ties are broken by a hash of the whole row. Spark keeps one row per key and
     task before the shuffle (WindowGroupLimit), so a key with many rows sends few.
     """
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
+    hashable = [field.name for field in df.schema if field.dataType.typeName() not in ("map", "variant")]
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*hashable))
     return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") == 1).drop("_place")
 
 

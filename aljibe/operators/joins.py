@@ -33,9 +33,13 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
-def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
-    """Number of rows sharing the row's keys. Runs the job that lists the duplicated keys."""
-    listed = staged(duplicated_keys(df, keys, "_copies"))
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size", keys_from: DataFrame | None = None) -> DataFrame:
+    """Number of rows sharing the row's keys.
+
+    Runs the job that lists the duplicated keys, from ``keys_from`` where ``df``
+    holds the same keys but costs more to compute.
+    """
+    listed = staged(duplicated_keys(df if keys_from is None else keys_from, keys, "_copies"))
     return _attach(df, listed, keys).withColumn(name, F.coalesce("_copies", F.lit(1).cast("bigint"))).drop("_copies")
 
 
@@ -50,11 +54,9 @@ def with_key_exists(
 ) -> DataFrame:
     """Whether ``key`` occurs in ``reference``; False for NULL. Duplicate reference keys add no rows.
 
-    Runs the job that lists the keys without a match, from ``keys_from`` where
-    ``df`` holds the same keys but costs more to compute.
+    Runs the job that lists the keys without a match; ``keys_from`` as in ``with_group_size``.
     """
-    source = df if keys_from is None else keys_from
-    listed = staged(unmatched_keys(source, key, reference, reference_key)).withColumn("_unmatched", F.lit(True))
+    listed = staged(unmatched_keys(df if keys_from is None else keys_from, key, reference, reference_key)).withColumn("_unmatched", F.lit(True))
     return _attach(df, listed, [key]).withColumn(name, F.col(key).isNotNull() & F.col("_unmatched").isNull()).drop("_unmatched")
 
 

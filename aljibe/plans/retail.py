@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from aljibe.functions.numbers import rounded
+from aljibe.operators.columns import typed
 from aljibe.operators.contracts import Contract, Field
 from aljibe.operators.models import customer_lifetime, customer_segment, paid_sales_by_day
 from aljibe.operators.rules import Rule
@@ -18,15 +20,24 @@ SEGMENTS = ("new", "existing")
 STATES = ("paid", "cancelled", "pending")
 
 
+# The bronze columns silver reads, with the types they are cast to.
+ORDERS = "order_id bigint, customer_id bigint, product_id bigint, quantity bigint, order_ts timestamp, status string"
+CUSTOMERS = "customer_id bigint, country string, signup_date date"
+PRODUCTS = "product_id bigint, category string, unit_price double, active boolean"
+PAYMENTS = "payment_id bigint, order_id bigint, amount double, currency string, payment_method string, paid_at timestamp"
+
+
 def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders with their customer, active product and payment, gross amount and customer segment."""
+    """Orders with their customer, active product and payment, gross amount and customer segment.
+
+    Values that do not fit the declared types raise an error.
+    """
     order_day = F.to_date("order_ts")
     return (
-        orders.where(F.col("quantity") > 0)
-        .select("order_id", "customer_id", "product_id", "quantity", "order_ts", "status")
-        .join(customers.select("customer_id", "country", "signup_date"), "customer_id", "left")
-        .join(products.where("active").select("product_id", "category", "unit_price"), "product_id", "left")
-        .join(payments.select("payment_id", "order_id", "amount", "currency", "payment_method", "paid_at"), "order_id", "left")
+        typed(orders, StructType.fromDDL(ORDERS)).where(F.col("quantity") > 0)
+        .join(typed(customers, StructType.fromDDL(CUSTOMERS)), "customer_id", "left")
+        .join(typed(products, StructType.fromDDL(PRODUCTS)).where("active").drop("active"), "product_id", "left")
+        .join(typed(payments, StructType.fromDDL(PAYMENTS)), "order_id", "left")
         .select(
             "order_id", order_day.alias("order_date"), "order_ts", "customer_id", "product_id", "country", "category",
             customer_segment(order_day, F.col("signup_date")).alias("customer_segment"),

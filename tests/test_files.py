@@ -131,3 +131,22 @@ def test_jdbc_options():
         "format": "jdbc", "url": "jdbc:x", "dbtable": "sales", "user": "u",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
+
+
+def test_jdbc_append_options(spark):
+    from aljibe.sinks.jdbc import append_rows
+
+    seen = {}
+
+    class Writer:
+        def __getattr__(self, name):
+            def call(*args, **more):
+                seen.update({args[0]: args[1]} if name == "option" else more if name == "options" else {name: args})
+                return self
+            return call
+
+    class Frame:
+        write = Writer()
+
+    append_rows(Frame(), "jdbc:x", "sales", {"user": "u"}, connections=2)
+    assert seen == {"format": ("jdbc",), "url": "jdbc:x", "dbtable": "sales", "numPartitions": "2", "user": "u", "mode": ("append",), "save": ()}
