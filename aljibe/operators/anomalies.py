@@ -48,7 +48,8 @@ def revenue_drop_on(daily: DataFrame, run_date: date, day: str = "order_date", r
 
 def drop_alerts(drops: DataFrame, run_id: str, alert_ts) -> DataFrame:
     message = F.format_string(
-        "revenue drop on %s: revenue %s, trailing mean %s, ratio %s", "run_date", "revenue", "trailing_mean", "ratio"
+        "revenue drop on %s: revenue %.2f, trailing mean %.2f, ratio %.4f",
+        F.col("run_date").cast("string"), "revenue", "trailing_mean", "ratio",
     )
     return drops.select(
         F.lit(alert_ts).cast("timestamp").alias("alert_ts"), F.lit(run_id).alias("run_id"),

@@ -116,9 +116,8 @@ def table_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def product_agg(spark: SparkSession, folder: str) -> DataFrame:
-    """Factor left of each order's price by its discounts, multiplied over its lines."""
-    products = grouping.product_by(table(spark, folder, "lineitem"), ["l_orderkey"], 1 - F.col("l_discount"), "product")
-    return products.select("l_orderkey", numbers.rounded(F.col("product"), 6).alias("factor"))
+    """Product of each order's line numbers."""
+    return grouping.product_by(table(spark, folder, "lineitem"), ["l_orderkey"], F.col("l_linenumber"), "product")
 
 
 @query
@@ -126,12 +125,21 @@ def top_values(spark: SparkSession, folder: str) -> DataFrame:
     return grouping.top_values(rejects.with_reject_reason(dirty_orders(spark, folder)), "reject_reason", 5)
 
 
-@query
-def revenue_drop(spark: SparkSession, folder: str) -> DataFrame:
-    daily = table(spark, folder, "orders").groupBy(_day("o_orderdate").alias("order_date")).agg(
+def _revenue(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").groupBy(_day("o_orderdate").alias("order_date")).agg(
         numbers.money_total(F.col("o_totalprice")).alias("total_revenue")
     )
-    return anomalies.revenue_drops(daily)
+
+
+@query
+def revenue_drop(spark: SparkSession, folder: str) -> DataFrame:
+    return anomalies.revenue_drops(_revenue(spark, folder))
+
+
+@query
+def drop_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    alerts = anomalies.drop_alerts(anomalies.revenue_drops(_revenue(spark, folder)), "run-1", datetime(2024, 2, 1))
+    return alerts.drop("alert_ts")
 
 
 def _pipeline_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -426,6 +434,11 @@ def dup_count(spark: SparkSession, folder: str) -> DataFrame:
     return joins.with_group_size(dirty_orders(spark, folder).select("order_key", "order_id"), ["order_id"], "copies")
 
 
+@query
+def duplicated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return joins.duplicated_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @query
 def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return grouping.latest_per_key(table(spark, folder, "events"), ["user_id"], ["ts", "event_id"])
@@ -536,6 +549,15 @@ def typed_projection(spark: SparkSession, folder: str) -> DataFrame:
     ]))
 
 
+@query
+def coerced_projection(spark: SparkSession, folder: str) -> DataFrame:
+    """Text fields of the events in declared types; what does not parse is NULL."""
+    parts = F.split(F.when(F.col("event_id") % 7 == 0, "n/a,never").otherwise(F.concat_ws(",", "value", F.date_format("ts", "yyyy-MM-dd"))), ",")
+    raw = table(spark, folder, "events").select("event_id", parts[0].alias("value"), parts[1].alias("day"))
+    schema = StructType([StructField("event_id", LongType()), StructField("value", DoubleType()), StructField("day", DateType())])
+    return columns.typed(raw, schema, coerce=True)
+
+
 @query
 def rename_columns(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")

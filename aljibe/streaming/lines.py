@@ -31,10 +31,10 @@ def squares_of_multiples(df: DataFrame, number: str, factor: int = 3, first: int
     return multiples.orderBy("number").limit(first).select("number", (F.col("number") * F.col("number")).alias("square"))
 
 
-def stream_sales(spark: SparkSession, source: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Process the text files that are new since the last run, then stop."""
+def stream_sales(spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
+    """Process the text files that are new since the last run, a bounded number per batch, then stop."""
     return (
-        sales_lines(spark.readStream.text(source))
+        sales_lines(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source))
         .writeStream.format("parquet").outputMode("append")
         .option("path", target).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()

@@ -281,7 +281,7 @@ ORACLE: dict[str, str] = {
     "table_stats": f"""
         SELECT count(*) AS n_rows, min(o_totalprice) AS lowest, max(o_totalprice) AS highest, {_total('o_totalprice')} AS total,
                {_mean('o_totalprice')} AS mean FROM orders""",
-    "product_agg": f"SELECT l_orderkey, {_round('product(1 - l_discount)', 6)} AS factor FROM lineitem GROUP BY 1",
+    "product_agg": "SELECT l_orderkey, product(l_linenumber) AS product FROM lineitem GROUP BY 1",
     "top_values": f"""WITH {REASONED}
         SELECT reject_reason AS value, count(*) AS n FROM reasoned GROUP BY 1 ORDER BY n DESC, value NULLS LAST LIMIT 5""",
     "revenue_drop": f"""
@@ -289,6 +289,12 @@ ORACLE: dict[str, str] = {
         seen AS (SELECT d, r, avg(r) OVER w AS m, count(r) OVER w AS h FROM daily WINDOW w AS (ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
         SELECT d AS run_date, r AS revenue, {_round('m')} AS trailing_mean, {_round('r / m', 4)} AS ratio
         FROM seen WHERE h >= 3 AND m > 0 AND r / m < 0.60""",
+    "drop_alerts": f"""
+        WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS d, {_total('o_totalprice')} AS r FROM orders GROUP BY 1),
+        seen AS (SELECT d, r, avg(r) OVER w AS m, count(r) OVER w AS h FROM daily WINDOW w AS (ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+        SELECT 'run-1' AS run_id, 'REVENUE_DROP' AS alert_type, 'MEDIUM' AS severity,
+               printf('revenue drop on %s: revenue %.2f, trailing mean %.2f, ratio %.4f', CAST(d AS VARCHAR), r, {_round('m')}, {_round('r / m', 4)}) AS message
+        FROM seen WHERE h >= 3 AND m > 0 AND r / m < 0.60""",
     "run_summary": """
         WITH log AS (
           SELECT ts, CAST(user_id AS VARCHAR) AS run_id, event_type AS stage, CAST(floor(value) AS BIGINT) AS rows_ok,
@@ -323,7 +329,6 @@ ORACLE: dict[str, str] = {
         _drift("customer_id", "int", "bigint", "retyped", "dirty"),
         _drift("amount", "double", "double", "same", "dirty"),
         _drift("order_date", "date", "date", "same", "dirty"),
-        _drift("channel", "string", None, "missing", "dirty") + " LIMIT 1" if False else
         "SELECT 'channel' AS column, 'string' AS expected_type, CAST(NULL AS VARCHAR) AS actual_type, 'missing' AS state, 0.0 AS pct_filled",
         _drift("status", None, "string", "added", "dirty"),
     ]),
@@ -398,6 +403,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'missing', * FROM (SELECT "column", pct_missing FROM gaps ORDER BY pct_missing DESC, "column" LIMIT 5)
         UNION ALL SELECT 'rules', * FROM (SELECT rule, pct FROM broken ORDER BY pct DESC, rule LIMIT 5)""",
     "dup_count": f"WITH {DIRTY} SELECT order_key, order_id, count(*) OVER (PARTITION BY order_id) AS copies FROM dirty",
+    "duplicated_keys": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "latest_per_key": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "dedupe_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "dim_networks": """
@@ -437,6 +443,8 @@ ORACLE: dict[str, str] = {
     "typed_projection": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
                o_totalprice AS amount, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS source FROM orders""",
+    "coerced_projection": """
+        SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS day FROM events""",
     "rename_columns": "SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_orderpriority AS order_priority FROM orders",
     "select_or_null": "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_comment, o_totalprice FROM orders",
     "array_to_text": "SELECT p_partkey, array_to_string(list_sort(string_split(p_name, ' ')), ',') AS words FROM part",
