@@ -60,11 +60,12 @@ def republish(df: DataFrame, table: str) -> None:
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append by column name. An empty frame changes nothing."""
+    """Append by column name, also to a partitioned table. An empty frame changes nothing."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df = df.select(*spark.table(table).columns)
-    df.write.format("parquet").mode("append").saveAsTable(table)
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=False)
+    else:
+        df.write.format("parquet").saveAsTable(table)
 
 
 def write_typed(df: DataFrame, table: str, schema: StructType, mode: str = "overwrite") -> None:

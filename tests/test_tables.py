@@ -42,6 +42,14 @@ def test_publish_modes_and_empty_frames(spark, schema_name, rows):
         tables.publish(spark.range(1), table, "other")
 
 
+def test_append_to_a_partitioned_table(spark, schema_name, rows):
+    table = f"{schema_name}.t"
+    tables.create_table(spark, table, StructType([StructField("a", IntegerType()), StructField("d", DateType())]), ("d",))
+    for n in (1, 2):
+        tables.append(spark.createDataFrame([(D(2024, 1, n), n)], "d date, a int"), table)
+    assert rows(spark.table(table)) == [(1, D(2024, 1, 1)), (2, D(2024, 1, 2))]
+
+
 def test_republish_reads_its_own_target(spark, schema_name, rows):
     table = f"{schema_name}.t"
     tables.publish(spark.createDataFrame([(1,), (2,)], "a int"), table)
