@@ -232,7 +232,9 @@ def _rules() -> list[rules.Rule]:
 
 def _flagged(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer")
-    return quality.flagged_orders(checked_orders(spark, folder), customers, _rules(), "c_custkey")
+    return quality.flagged_orders(
+        checked_orders(spark, folder), customers, _rules(), "c_custkey", keys_from=dirty_orders(spark, folder)
+    )
 
 
 @query

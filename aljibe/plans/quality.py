@@ -51,10 +51,17 @@ def order_rules(
     ]
 
 
-def flagged_orders(orders: DataFrame, customers: DataFrame, rules: Sequence[Rule], customer_key: str = "customer_id") -> DataFrame:
-    """Orders with duplicate count, customer check, one flag per rule, failed rules and verdict."""
-    counted = with_group_size(orders, ["order_id"], "dup_count")
-    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists", keys_from=orders)
+def flagged_orders(
+    orders: DataFrame, customers: DataFrame, rules: Sequence[Rule], customer_key: str = "customer_id", keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Orders with duplicate count, customer check, one flag per rule, failed rules and verdict.
+
+    ``keys_from`` may name a frame with the same order and customer ids that is
+    cheaper to scan than ``orders``, such as the table they were derived from.
+    """
+    keys = orders if keys_from is None else keys_from
+    counted = with_group_size(orders, ["order_id"], "dup_count", keys_from=keys)
+    known = with_key_exists(counted, "customer_id", customers, customer_key, "customer_exists", keys_from=keys)
     return with_failed_rules(with_flags(known, rules), rules)
 
 
