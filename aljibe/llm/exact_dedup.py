@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aljibe.llm.names import unused
 from aljibe.session import staged
 
 INDEX_SCHEMA = "digest binary, keep_id bigint"
@@ -83,18 +84,18 @@ def without_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     Only the ids that go are joined. Of rows that repeat a kept id and text one stays.
     """
     marked = staged(index.deduplicate(docs, id_col, text_col))
-    key = F.col(id_col).cast("bigint")
-    gone = staged(marked.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_gone"), "text_sha256").distinct())
-    again = staged(marked.filter(F.col("kept") & (F.col("keep_rows") > 1)).select(
-        F.col("doc_id").alias("_again"), "text_sha256").distinct())
-    digest = F.sha2(normalised(F.col(text_col)), 256)
-    nameless = staged(marked.filter(F.col("doc_id").isNull()).select("kept", "text_sha256").distinct())
-    rest = docs.filter(key.isNotNull()).join(gone, (key == F.col("_gone")) & (digest == gone.text_sha256), "left_anti")
-    if again.isEmpty() and nameless.isEmpty():
-        return rest
-    once = rest.join(again, (key == F.col("_again")) & (digest == again.text_sha256), "left_anti")
-    twice = rest.join(again, (key == F.col("_again")) & (digest == again.text_sha256), "left_semi")
-    kept = once.unionByName(twice.dropDuplicates([id_col]))
-    anonymous = docs.filter(key.isNull()).join(nameless.filter("kept"), digest == F.col("text_sha256"), "left_semi")
-    return kept.unionByName(anonymous.withColumn("_key", digest).dropDuplicates(["_key"]).drop("_key"))
+    key, digest = F.col(id_col).cast("bigint"), F.sha2(normalised(F.col(text_col)), 256)
+    a, b = unused(docs, "_listed_id"), unused(docs, "_listed_digest")
+    names = [F.col("doc_id").alias(a), F.col("text_sha256").alias(b)]
+    gone = staged(marked.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(*names).distinct())
+    again = staged(marked.filter(F.col("kept") & F.col("doc_id").isNotNull() & (F.col("keep_rows") > 1)).select(*names).distinct())
+    nameless = staged(marked.filter(F.col("kept") & F.col("doc_id").isNull()).select(*names).distinct())
+    same = (key == F.col(a)) & (digest == F.col(b))
+    kept = docs.filter(key.isNotNull()).join(gone, same, "left_anti")
+    if not again.isEmpty():
+        twice = kept.join(again, same, "left_semi").withColumn(b, digest).dropDuplicates([id_col, b]).drop(b)
+        kept = kept.join(again, same, "left_anti").unionByName(twice)
+    if nameless.isEmpty():
+        return kept
+    anonymous = docs.filter(key.isNull()).withColumn(a, digest).join(nameless.select(b), F.col(a) == F.col(b), "left_semi")
+    return kept.unionByName(anonymous.dropDuplicates([a]).drop(a))

@@ -38,8 +38,8 @@ NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 TEXT = "#"
 #: Fields of a wrapper node. SEEN and PAGES count instances and pages, SAME is the checksum of a text that never differs.
 LABEL, FLAGS, CHILDREN, SEEN, CHARS, LINKED, SAME, PAGES = range(8)
-REPEATED, OPTIONAL, JOINED, KEPT = 1, 2, 4, 8
-SALTS, HOSTS_AT_ONCE, LEAST_PAGES = 32, 2000, 5
+REPEATED, OPTIONAL, JOINED, KEPT, SPARE = 1, 2, 4, 8, 16
+SALTS, HOSTS_AT_ONCE, LEAST_PAGES, DEEPEST = 32, 2000, 5, 150
 
 
 def label(tag: str, attributes: str) -> str:
@@ -51,9 +51,13 @@ def label(tag: str, attributes: str) -> str:
 
 
 def parse(page: str) -> list:
-    """Tree of a page: [label, children]; a text is [TEXT, text, characters inside links]. Missing end tags are implied."""
+    """Tree of a page: [label, children]; a text is [TEXT, text, characters inside links]. Missing end tags are implied.
+
+    Elements deeper than DEEPEST only separate blocks; their texts stay.
+    """
     root: list = ["", []]
     stack, tags, buffer, linked, in_link, at = [root], [""], [], 0, False, 0
+    flat: dict[str, int] = {}  # open elements that are too deep
 
     def end_text() -> None:
         nonlocal linked
@@ -82,7 +86,9 @@ def parse(page: str) -> list:
             continue
         end_text()
         if token[2]:
-            if tag in tags:
+            if flat.get(tag):
+                flat[tag] -= 1
+            elif tag in tags:
                 while tags.pop() != tag:
                     stack.pop()
                 stack.pop()
@@ -98,6 +104,9 @@ def parse(page: str) -> list:
                 if tags[i] in closed:
                     del tags[i:], stack[i:]
                     break
+        if len(tags) > DEEPEST:
+            flat[tag] = flat.get(tag, 0) + (tag not in VOID)
+            continue
         node = [label(tag, token[4]), []]
         stack[-1][1].append(node)
         if tag not in VOID and not token[4].endswith("/"):
@@ -201,10 +210,11 @@ def is_boiler(name: str, inside_main: bool) -> bool:
 
 
 def choose(wrapper: list) -> list:
-    """Mark the slots of main text as KEPT and return the wrapper.
+    """Mark the slots of main text and return the wrapper.
 
-    Boilerplate containers are left out. What is left of ``article`` elements is main text, else of ``main`` elements; without
-    either, the smallest element that holds most of the text of the slots that differ between pages and are not links.
+    Boilerplate containers are left out. What is left of ``article`` elements is main text (KEPT), without any, of ``main`` elements.
+    For pages that have neither, the smallest element that holds most of the text of the other slots that
+    differ between pages and are not links is main text (SPARE).
     """
     pages = wrapper[PAGES]
 
@@ -227,41 +237,43 @@ def choose(wrapper: list) -> list:
         return slot[SAME] is not None and slot[PAGES] >= LEAST_PAGES and pages >= LEAST_PAGES
 
     def mass(node: list) -> int:
-        return sum(s[CHARS] - s[LINKED] for s in slots(node, False) if not constant(s) and 2 * s[LINKED] <= s[CHARS])
+        return sum(s[CHARS] - s[LINKED] for s in slots(node, False) if not s[FLAGS] & KEPT and not constant(s) and 2 * s[LINKED] <= s[CHARS])
 
     for fits in (lambda n: n.partition(".")[0] == "article", lambda n: n.partition(".")[0] == "main" or not MAIN_WORDS.isdisjoint(n.split(".")[1:])):
         found = [s for node in holders(wrapper, fits) for s in slots(node, True)]
+        for slot in found:
+            slot[FLAGS] |= KEPT
         if found:
             break
-    else:
-        node, whole = wrapper, mass(wrapper)
-        while whole:
-            inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and not is_boiler(c[LABEL], False) and not c[FLAGS] & REPEATED and 10 * mass(c) >= 7 * whole]
-            if not inner:
-                break
-            node = inner[0]
-        found = [s for s in slots(node, False) if 2 * s[LINKED] <= s[CHARS] and not (constant(s) and whole)]
-    for slot in found:
-        slot[FLAGS] |= KEPT
+    node, whole = wrapper, mass(wrapper)
+    while whole:
+        inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and not is_boiler(c[LABEL], False) and not c[FLAGS] & REPEATED and 10 * mass(c) >= 7 * whole]
+        if not inner:
+            break
+        node = inner[0]
+    for slot in slots(node, False):
+        if 2 * slot[LINKED] <= slot[CHARS] and not (constant(slot) and whole):
+            slot[FLAGS] |= SPARE
     return wrapper
 
 
-def blocks(node: list, wrapper: list) -> Iterator[str]:
-    """Texts of a page that fall into kept slots, in page order."""
+def blocks(node: list, wrapper: list, mark: int) -> Iterator[str]:
+    """Texts of a page that fall into marked slots, in page order."""
     places = {c[LABEL]: c for c in wrapper[CHILDREN]}
     for child in node[1]:
         slot = places.get(child[0])
         if slot is None:
             continue
         if child[0] == TEXT:
-            if slot[FLAGS] & KEPT:
+            if slot[FLAGS] & mark:
                 yield child[1]
         else:
-            yield from blocks(child, slot)
+            yield from blocks(child, slot, mark)
 
 
 def extract(page: str, wrapper: list) -> str:
-    return "\n\n".join(blocks(parse(page), wrapper))
+    tree = parse(page)
+    return "\n\n".join(blocks(tree, wrapper, KEPT)) or "\n\n".join(blocks(tree, wrapper, SPARE))
 
 
 def _dump(wrapper: list) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aljibe.llm.components import components
+from aljibe.llm.names import unused
 from aljibe.session import staged
 
 SHINGLE, BITS, SEED = 4, 4, 42
@@ -229,15 +230,15 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_co
     """
     marked = staged(near_duplicates(docs, shingle, bits, id_col, text_col))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = staged(marked.filter(~stays & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct())
+    a, b = unused(docs, "_gone_id"), unused(docs, "_gone_hash")
+    gone = staged(marked.filter(~stays & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(a), F.col("text_hash").alias(b)).distinct())
     key, text = F.col(id_col).cast("bigint"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    named = docs.filter(key.isNotNull()).join(gone, (key == F.col("_gone")) & (text == F.col("_hash")), "left_anti")
-    crowd = staged(marked.filter(stays & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("doc_id").alias("_twice")))
+    named = docs.filter(key.isNotNull()).join(gone, (key == F.col(a)) & (text == F.col(b)), "left_anti")
+    crowd = staged(marked.filter(stays & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("doc_id").alias(a)))
     if not crowd.isEmpty():
-        named = named.join(crowd, key == F.col("_twice"), "left_anti").unionByName(
-            named.join(crowd, key == F.col("_twice"), "left_semi").dropDuplicates([id_col]))
-    nameless = marked.filter("doc_id is null and component_id is null").groupBy("group_fp").agg(F.min("text_hash").alias("_hash")).select("_hash")
+        named = named.join(crowd, key == F.col(a), "left_anti").unionByName(named.join(crowd, key == F.col(a), "left_semi").dropDuplicates([id_col]))
+    nameless = marked.filter("doc_id is null and component_id is null").groupBy("group_fp").agg(F.min("text_hash").alias(b)).select(b)
     if nameless.isEmpty():
         return named
-    lone = docs.filter(key.isNull()).withColumn("_text", text).join(nameless, F.col("_text") == F.col("_hash"), "left_semi")
-    return named.unionByName(lone.dropDuplicates(["_text"]).drop("_text"))
+    lone = docs.filter(key.isNull()).withColumn(a, text).join(nameless, F.col(a) == F.col(b), "left_semi")
+    return named.unionByName(lone.dropDuplicates([a]).drop(a))

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aljibe.llm.names import unused
 from aljibe.session import staged
 
 BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 17, 4, (3, 4, 5), 8
 SAMPLE_DOCS = {1: 2000, 0: 4000}  # labelled documents of each class that are learnt from, at most
 SAMPLE_CHARS = 3_000  # longer documents are scored, but not learnt from
 ROUNDS, RATE, DECAY = 40, 0.12, 1e-6
+CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 3.0  # of any length up to this one
 CACHE_WORDS = 700_000
 EDGES = ".,;:!?\"'()[]|"
 
@@ -59,14 +62,14 @@ class Model:
         The vectors of the n-grams of a word are averaged, the vectors of WINDOW words too (a short last window is filled with
         zeros); the softmax gives each window a probability, and a text is toxic if any window is: long texts do not dilute a few words.
         """
+        if not toxic.any() or toxic.all():
+            return self
         names: dict[str, int] = {}
         words, sizes = [], []
         for text in texts:
             own = [names.setdefault(w, len(names)) for w in text.split()] or [names.setdefault("", len(names))]
             words.append(np.array(own, np.int64))
             sizes.append(len(own))
-        if not texts or toxic.all() or not toxic.any():
-            return self
         parts, bag_sizes = grams(list(names))
         owner = np.repeat(np.arange(len(names)), bag_sizes)
         words, (starts, lengths, text_starts) = np.concatenate(words), window_bounds(np.array(sizes))
@@ -101,6 +104,17 @@ class Model:
         self.embeddings[used], self.weights, self.bias = model
         return self
 
+    def calibrate(self, texts: list[str], toxic: np.ndarray) -> Model:
+        """Move the bias so that 0.5 tells texts apart best that were not learnt from; a clean text called toxic counts CLEAN_WEIGHT times."""
+        if toxic.any() and not toxic.all():
+            logits = self.scorer().logits(texts)
+            edges = np.unique(logits)
+            limits = np.concatenate([[edges[0] - 1], (edges[1:] + edges[:-1]) / 2, [edges[-1] + 1]])
+            wrong = np.array([np.mean(logits[toxic] < limit) + CLEAN_WEIGHT * np.mean(logits[~toxic] >= limit) for limit in limits])
+            best = limits[wrong <= wrong.min() + 1e-9]
+            self.bias[1] -= (best[0] + best[-1]) / 2
+        return self
+
     def scorer(self) -> Scorer:
         return Scorer(self.embeddings @ (self.weights[:, 1] - self.weights[:, 0]), float(self.bias[1] - self.bias[0]))
 
@@ -145,13 +159,11 @@ class Scorer(dict):
             values = np.add.reduceat(self.buckets[buckets], np.cumsum(sizes) - sizes) / sizes
             self.update(zip(part, values.tolist()))
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Probability of the most toxic window of each text; a text without words is one empty window.
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """Logit of the most toxic window of each text; a text without words is one empty window.
 
         Unlike "any window", on which short texts are fitted, it does not grow with the mere length of a text.
         """
-        if not texts:
-            return np.empty(0)
         words, sizes = [], []
         for text in texts:
             own = text.split() or [""]
@@ -161,7 +173,11 @@ class Scorer(dict):
         starts, _, text_starts = window_bounds(np.array(sizes))
         values = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
         logit = np.add.reduceat(values * first_of_run(values, starts[text_starts]), starts) / WINDOW + self.bias
-        return 1 / (1 + np.exp(-np.clip(np.maximum.reduceat(logit, text_starts), -30, 30)))
+        return np.maximum.reduceat(logit, text_starts)
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        """Probability that each text is toxic."""
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30))) if texts else np.empty(0)
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -169,23 +185,26 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("bigint").cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: dict[int, int] = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> Model:
-    """Fit on at most ``sample_docs[class]`` labelled documents of each class, chosen by the hash of their id. Runs jobs.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Fit on SAMPLE_DOCS short documents of each class, calibrate on CALIBRATION_DOCS others of any usual length. Runs jobs.
 
-    Ids with differing labels and held-out ids are not learnt from. The driver gets at most
-    SAMPLE_CHARS characters of each. Without both classes the model scores everything low.
+    Documents are chosen by the hash of their id. Ids with differing labels and held-out ids are not learnt from. The driver gets
+    at most SAMPLE_CHARS characters of each learnt and CALIBRATION_CHARS of each other document. Without both classes the model scores everything low.
     """
     label = labels.filter(F.col(label_col).isin(0, 1) & ~is_held_out(F.col(id_col))).select(F.col(id_col).cast("bigint").alias("_id"), F.col(label_col).alias("_toxic"))
-    short = docs.filter(F.length(F.col(text_col)) <= SAMPLE_CHARS).select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("text"))
-    known = label.groupBy("_id").agg(F.min("_toxic").alias("toxic"), F.max("_toxic").alias("most")).filter("toxic = most").drop("most")
-    known = staged(short.select("_id").distinct().join(known, "_id"))
-    chosen = None
+    agreed = label.groupBy("_id").agg(F.min("_toxic").alias("toxic"), F.max("_toxic").alias("most")).filter("toxic = most").drop("most")
+    rows = docs.filter(F.length(F.col(text_col)) <= CALIBRATION_CHARS).select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("text"))
+    known = staged(rows.select("_id", F.length("text").alias("size")).groupBy("_id").agg(F.max("size").alias("size")).join(agreed, "_id"))
+    parts = []
     for kind in (1, 0):
-        first = known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("_id"), "_id").limit(sample_docs[kind])
-        chosen = first if chosen is None else chosen.union(first)
-    found = short.join(F.broadcast(staged(chosen)), "_id").groupBy("_id", "toxic").agg(F.min("text").alias("text")).orderBy("_id").collect()
-    return Model().fit([r.text for r in found], np.array([r.toxic == 1 for r in found], bool))
+        for use, few, longest in (("fit", SAMPLE_DOCS[kind], SAMPLE_CHARS), ("calibrate", CALIBRATION_DOCS[kind], CALIBRATION_CHARS)):
+            of_use = (F.pmod(F.xxhash64("_id", F.lit("use")), F.lit(5)) == 0) == (use == "calibrate")
+            fits = known.filter((F.col("toxic") == kind) & (F.col("size") <= longest) & of_use)
+            parts.append(fits.orderBy(F.xxhash64("_id"), "_id").limit(few).withColumn("use", F.lit(use)))
+    chosen = staged(reduce(DataFrame.union, parts))
+    found = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "toxic", "use").agg(F.min("text").alias("text")).orderBy("_id").collect()
+    sets = {use: ([r.text for r in found if r.use == use], np.array([r.toxic == 1 for r in found if r.use == use], bool)) for use in ("fit", "calibrate")}
+    return Model().fit(*sets["fit"]).calibrate(*sets["calibrate"])
 
 
 def score_column(model: Model, text: Column) -> Column:
@@ -216,6 +235,5 @@ def judged(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that score below 0.5, all columns as they are."""
-    columns = docs.columns
-    score = "_score" + "_" * max(map(len, columns))
+    columns, score = docs.columns, unused(docs, "_score")
     return docs.withColumn(score, score_column(model, F.col(text_col))).filter(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in columns])
