@@ -16,11 +16,11 @@ MIN_HISTORY = 3
 def trailing_means(daily: DataFrame, day: str = "order_date", revenue: str = "total_revenue") -> DataFrame:
     """Mean revenue of the up to seven preceding days that exist, and how many they are.
 
-    The window has no partition. Its input is one row per calendar day, a few
-    thousand for years of data, never the orders themselves.
+    Revenue is first added up per day. The window has no partition, but its input
+    then is one row per calendar day, whatever frame comes in: a few thousand for years of data.
     """
     before = Window.orderBy(day).rowsBetween(-DAYS_BACK, -1)
-    return daily.select(
+    return daily.groupBy(day).agg(F.sum(revenue).alias(revenue)).select(
         F.col(day).alias("run_date"),
         F.col(revenue).alias("revenue"),
         F.avg(revenue).over(before).alias("trailing_mean"),

@@ -90,7 +90,3 @@ def typed(df: DataFrame, schema: StructType, coerce: bool = False) -> DataFrame:
         (F.col(f.name).try_cast(f.dataType) if coerce else F.col(f.name).cast(f.dataType)).alias(f.name)
         for f in schema
     ])
-
-
-def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.drop(*names)

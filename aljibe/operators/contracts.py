@@ -68,26 +68,22 @@ def _copies(name: str) -> str:
     return f"_copies_{name}"
 
 
-def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
+def check_contract(df: DataFrame, contract: Contract, row_key: Sequence[str], keys_from: DataFrame | None = None) -> DataFrame:
     """One row per broken check: the row key, column, check and offending value.
 
-    All checks share one pass over the rows. A unique field first runs the job
-    that lists its duplicated values.
+    All checks share one pass over the rows; the values of a unique field are counted beside it, in ``keys_from``
+    where it holds the same values but is cheaper to scan than ``df``.
     """
-    coerced = sized = _coerced(df, contract)
+    sized, keys = _coerced(df, contract), df if keys_from is None else keys_from
     for f in contract.fields:
         if f.unique:
-            sized = with_group_size(sized, [f.name], _copies(f.name), keys_from=coerced)
+            sized = with_group_size(sized, [f.name], _copies(f.name), keys_from=keys.select(F.col(f.name).try_cast(f.type).alias(f.name)))
     return _failures(sized, contract, row_key).select(*row_key, F.inline("_found"))
 
 
-def broken_rows(df: DataFrame, contract: Contract, row_key: Sequence[str], first_rows: int | None = None) -> DataFrame:
-    """Rows breaking a field check, with the names of the broken fields.
-
-    Checks every row; ``first_rows`` restricts it to a look at a few. Nothing is shuffled.
-    """
-    rows = df if first_rows is None else df.limit(first_rows)
-    failures = _failures(_coerced(rows, contract), contract, row_key)
+def broken_rows(df: DataFrame, contract: Contract, row_key: Sequence[str]) -> DataFrame:
+    """Rows breaking a field check, with the names of the broken fields. Nothing is shuffled."""
+    failures = _failures(_coerced(df, contract), contract, row_key)
     names = F.array_distinct(F.transform("_found", lambda one: one["column"]))
     return failures.where(F.size("_found") > 0).select(*row_key, F.array_join(names, ",").alias("broken_fields"))
 

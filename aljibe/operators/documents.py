@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,31 +22,37 @@ def page_links(df: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def page_items(df: DataFrame, keep: Sequence[str], html: str, block: str, fields: Mapping[str, str]) -> DataFrame:
-    """One row per repeated block of a page, with the first group of each field's pattern as text.
+    """One row per repeated block of a page, with the groups of each field's pattern as text (those that do not take part are empty).
 
     A field that is absent from a block is NULL.
     """
     blocks = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(block), F.lit(0))).alias("_block"))
     def field(pattern: str) -> Column:
-        return F.when(F.col("_block").rlike(pattern), plain_markup(stripped(F.regexp_extract("_block", pattern, 1))))
+        groups = re.compile(pattern).groups
+        return F.when(F.col("_block").rlike(pattern), plain_markup(stripped(F.concat(*[F.regexp_extract("_block", pattern, i + 1) for i in range(groups)]))))
 
     return blocks.select(*keep, *[field(pattern).alias(name) for name, pattern in fields.items()])
 
 
-# Markup of the product list read by ``listed_products``.
-PRODUCT_BLOCK = r'(?s)<article class="product_pod">.*?</article>'
+def has_class(word: str) -> str:
+    """Pattern of the attributes of a tag that has ``word`` among its classes, in either quotes and any place."""
+    return rf"""(?=[^>]*?\sclass=(?:"(?:[^"]*\s)?{word}(?:\s[^"]*)?"|'(?:[^']*\s)?{word}(?:\s[^']*)?'|{word}[\s>]))[^>]*"""
+
+
+# The tags and classes of the product list read by ``listed_products``.
+PRODUCT_BLOCK = rf"(?s)<article{has_class('product_pod')}>.*?</article>"
 PRODUCT_FIELDS = {
-    "product_name": r'(?s)<h3>\s*<a[^>]*\stitle="([^"]*)"',
-    "price_text": r'(?s)class="price_color"[^>]*>([^<]*)<',
-    "availability": r'(?s)class="[^"]*\bavailability\b[^"]*"[^>]*>(?:\s*<i[^>]*>\s*</i>)?([^<]*)<',
+    "product_name": r"""(?s)<h3[^>]*>\s*<a[^>]*?\stitle=(?:"([^"]*)"|'([^']*)')""",
+    "price_text": rf"(?s)<[a-z0-9]+{has_class('price_color')}>([^<]*)<",
+    "availability": rf"(?s)<[a-z0-9]+{has_class('availability')}>(?:\s*<i[^>]*>\s*</i>)?([^<]*)<",
 }
 
 
-def listed_products(pages: DataFrame, html: str = "html", currency: str = "GBP", source: str = "books_to_scrape") -> DataFrame:
+def listed_products(pages: DataFrame, html: str = "html", currency: str = "GBP", source: str = "books_to_scrape", keep: Sequence[str] = ()) -> DataFrame:
     """Products of a listing page: name, price, currency, stock flag, source."""
-    items = page_items(pages, [], html, PRODUCT_BLOCK, PRODUCT_FIELDS)
+    items = page_items(pages, keep, html, PRODUCT_BLOCK, PRODUCT_FIELDS)
     return items.select(
-        "product_name", first_number(F.col("price_text")).alias("price"), F.lit(currency).alias("currency"),
+        *keep, "product_name", first_number(F.col("price_text")).alias("price"), F.lit(currency).alias("currency"),
         mentions(F.col("availability"), "In stock").alias("in_stock"), F.lit(source).alias("source"),
     )
 

@@ -57,9 +57,22 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return entries.withColumns({f.name: F.map_from_entries(f.name) for f in maps})
 
 
+def row_copies(df: DataFrame) -> DataFrame:
+    """``_n``: how often each distinct row occurs, and ``_nulls``: its NULL cells.
+
+    Rows are told apart by two 64-bit hashes and the places of their NULLs, so a wide row is shuffled as a few
+    bytes. Maps are compared as sorted entries.
+    """
+    values = [F.array_sort(F.map_entries(f.name)) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema]
+    missing = F.concat(*[F.when(value.isNull(), "1").otherwise("0") for value in values])
+    key = [F.xxhash64(*values).alias("_one"), F.xxhash64(F.lit("row"), *values).alias("_two"), missing.alias("_missing")]
+    counted = df.select(*key).groupBy("_one", "_two", "_missing").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select("_n", F.length(F.replace("_missing", F.lit("0"), F.lit(""))).alias("_nulls"))
+
+
 def duplicate_share(df: DataFrame) -> DataFrame:
     """Row count, exact duplicates beyond the first, and their percentage."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = row_copies(df)
     total, extra = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
     return copies.agg(total.alias("n_rows"), extra.alias("duplicates"), percent(extra, total).alias("pct_duplicates"))
 

@@ -1,11 +1,10 @@
 """Lookups, key checks and group sizes.
 
 Checks against other rows look for exceptions: duplicate keys, keys without a
-parent. These are found on the key column alone, reduced per task before they
-are shuffled, and written to the shared folder. What is joined to the full rows
-is that list, whose size Spark then knows: a short list is broadcast and the
-rows are not shuffled at all, a long one is a plain join of two scans, which
-AQE splits where one key holds too many rows. A window over the key would
+parent. These are found on the key column alone and reduced per task before they
+are shuffled. Only that list is joined to the full rows. The NULL-safe join deals
+both sides anew, so AQE splits a key that holds too many rows, and turns the join into a
+broadcast once it has seen that the list is short. A window over the key would
 shuffle every row and hold the largest group in one task.
 """
 
@@ -15,8 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aljibe.session import staged
-
 
 def _attach(rows: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of a list with one row per key, NULL keys matching each other."""
@@ -36,10 +33,9 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") ->
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size", keys_from: DataFrame | None = None) -> DataFrame:
     """Number of rows sharing the row's keys.
 
-    Runs the job that lists the duplicated keys, from ``keys_from`` where ``df``
-    holds the same keys but costs more to compute.
+    ``keys_from`` may name a frame with the same keys that costs less to compute than ``df``.
     """
-    listed = staged(duplicated_keys(df if keys_from is None else keys_from, keys, "_copies"))
+    listed = duplicated_keys(df if keys_from is None else keys_from, keys, "_copies")
     return _attach(df, listed, keys).withColumn(name, F.coalesce("_copies", F.lit(1).cast("bigint"))).drop("_copies")
 
 
@@ -54,9 +50,9 @@ def with_key_exists(
 ) -> DataFrame:
     """Whether ``key`` occurs in ``reference``; False for NULL. Duplicate reference keys add no rows.
 
-    Runs the job that lists the keys without a match; ``keys_from`` as in ``with_group_size``.
+    ``keys_from`` as in ``with_group_size``.
     """
-    listed = staged(unmatched_keys(df if keys_from is None else keys_from, key, reference, reference_key)).withColumn("_unmatched", F.lit(True))
+    listed = unmatched_keys(df if keys_from is None else keys_from, key, reference, reference_key).withColumn("_unmatched", F.lit(True))
     return _attach(df, listed, [key]).withColumn(name, F.col(key).isNotNull() & F.col("_unmatched").isNull()).drop("_unmatched")
 
 

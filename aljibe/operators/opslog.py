@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -28,14 +28,16 @@ VERSIONS = StructType([
 ])
 
 
-def log_row(spark: SparkSession, schema: StructType, **values: object) -> DataFrame:
-    """A single row of an operations table; mappings are stored as JSON text."""
-    unknown = set(values) - set(schema.names)
+def log_rows(spark: SparkSession, schema: StructType, rows: Sequence[Mapping[str, object]]) -> DataFrame:
+    """Rows of an operations table as one frame; mappings are stored as JSON text."""
+    unknown = {name for row in rows for name in row} - set(schema.names)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    cells = [values.get(name) for name in schema.names]
-    cells = [json.dumps(v, ensure_ascii=False, default=str) if isinstance(v, Mapping) else v for v in cells]
-    return spark.createDataFrame([tuple(cells)], schema)
+
+    def cell(value: object) -> object:
+        return json.dumps(value, ensure_ascii=False, default=str) if isinstance(value, Mapping) else value
+
+    return spark.createDataFrame([tuple(cell(row.get(name)) for name in schema.names) for row in rows], schema).coalesce(1)
 
 
 def run_summary(events: DataFrame) -> DataFrame:

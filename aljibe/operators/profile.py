@@ -12,36 +12,38 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from aljibe.functions.numbers import nan_to_null, percent, rounded
-from aljibe.operators.grouping import duplicate_share
+from aljibe.operators.grouping import duplicate_share, row_copies
 from aljibe.operators.rules import Rule, long_form, rule_report
-
-# distinct values a single task may hold and sort for a quantile
-SMALL = 100_000
+from aljibe.session import staged
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
 
 
+def _missing(name: str, kind: str) -> Column:
+    value = F.col(f"`{name}`")
+    return value.isNull() | F.isnan(value) if kind in ("double", "float") else value.isNull()
+
+
 def missing_report(df: DataFrame) -> DataFrame:
-    """Percentage of NULLs per column."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+    """Percentage of NULLs and NaNs per column."""
+    nulls = [F.count_if(_missing(name, kind)).alias(name) for name, kind in df.dtypes]
     counts = df.agg(F.count(F.lit(1)).alias("_all"), *nulls)
     return long_form(counts, [
         F.struct(F.lit(c).alias("column"), percent(F.col(c), F.col("_all")).alias("pct_missing")) for c in df.columns
     ])
 
 
-def cardinality_report(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Type, NULLs, distinct values and their percentage of the rows, per column.
+def cardinality_report(df: DataFrame) -> DataFrame:
+    """Type, NULLs (and NaNs), distinct values and their percentage of the rows, per column.
 
-    Exact counting sends each distinct value of each column through one shuffle.
-    ``approximate=True`` uses sketches and needs none.
+    Each distinct value of each column goes through one shuffle.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     sums = [F.count(F.lit(1)).alias("_all")]
-    for place, name in enumerate(df.columns):
-        sums += [F.count(name).alias(f"_filled_{place}"), distinct(F.col(name)).alias(f"_distinct_{place}")]
+    for place, (name, kind) in enumerate(df.dtypes):
+        value = F.when(~_missing(name, kind), F.col(f"`{name}`"))
+        sums += [F.count(value).alias(f"_filled_{place}"), F.count_distinct(value).alias(f"_distinct_{place}")]
     return long_form(df.agg(*sums), [
         F.struct(
             F.lit(name).alias("column"),
@@ -93,171 +95,82 @@ def data_dictionary(df: DataFrame, descriptions: Mapping[str, str] | None = None
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], small: int = SMALL) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of several columns, exact for data of any size.
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column position, value, rows) over numeric columns, without NULL and NaN, combined per task before the shuffle.
 
-    ``percentile`` keeps every distinct value of a column in one task, so it is
-    used for columns with at most ``small`` of them. In others a quantile is
-    found by narrowing: it lies between two order statistics, whose value range
-    is cut with sketches until few distinct values remain, and these are counted
-    and read off in order. Every pass is one scan of the columns for all
-    quantiles; only bounds and results, a few numbers per column, reach the driver.
+    Written to the shared folder: every figure of a profile is read from it.
     """
-    numbers = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
-    first = numbers.agg(*[
-        value.alias(f"{kind}{i}")
-        for i in range(len(columns))
-        for kind, value in (
-            ("n", F.count(f"c{i}")), ("low", F.min(f"c{i}")), ("high", F.max(f"c{i}")),
-            ("few", F.approx_count_distinct(f"c{i}")),
-        )
-    ]).first()
-    out: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in columns}
-    simple = [i for i in range(len(columns)) if first[f"n{i}"] and first[f"few{i}"] <= small]
-    if simple:
-        at = [F.lit(fraction) for fraction in fractions]
-        row = numbers.agg(*[F.percentile(f"c{i}", F.array(*at)).alias(f"p{i}") for i in simple]).first()
-        for i in simple:
-            out[columns[i]] = list(row[f"p{i}"])
-
-    # a target is a range of values that holds both order statistics, with the rows below it, in it and at its
-    # low end, and a bound for its distinct values
-    targets = [
-        {
-            "column": i, "fraction": j, "place": fraction * (first[f"n{i}"] - 1), "low": first[f"low{i}"],
-            "high": first[f"high{i}"], "below": 0, "rows": first[f"n{i}"], "at_low": 0, "few": first[f"few{i}"],
-        }
-        for i in range(len(columns)) if first[f"n{i}"] and i not in simple
-        for j, fraction in enumerate(fractions)
-    ]
-    while wide := [t for t in targets if t["low"] < t["high"] and t["few"] > max(small, 2)]:
-        _narrow(numbers, wide)
-
-    found = _order_statistics(numbers, [t for t in targets if t["low"] < t["high"]])
-    for t in targets:
-        if t["low"] == t["high"]:
-            value = t["low"]
-        else:
-            under, over = found[(t["column"], t["fraction"])]
-            value = under + (over - under) * (t["place"] - int(t["place"]))
-        out[columns[t["column"]]][t["fraction"]] = value
-    return out
+    values = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(str(place)) for place, c in enumerate(columns)])
+    long = values.unpivot([], values.columns, "position", "value").where("value is not null")
+    return staged(long.groupBy(F.col("position").cast("int").alias("position"), "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _inside(t: dict) -> Column:
-    return F.col(f"c{t['column']}").between(F.lit(t["low"]), F.lit(t["high"]))
+def _quantiles(counts: DataFrame, fractions: Sequence[float]) -> dict[int, list[float]]:
+    """Linearly interpolated quantiles per position, exact for any number of values. Runs jobs.
 
+    The counted values are dealt by range. The rows per range, added up, tell in which range an order statistic
+    lies, and only there values are numbered. No task holds more than a range; the driver gets a few numbers per column.
+    """
+    dealt = staged(counts.repartitionByRange("position", "value").withColumn("range", F.spark_partition_id()))
+    in_order = Window.partitionBy("position").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("position", "range").agg(F.sum("n").alias("rows"))
+    ranges = sizes.withColumn("below", F.coalesce(F.sum("rows").over(in_order), F.lit(0)))
+    totals = sizes.groupBy("position").agg(F.sum("rows").alias("total"))
+    places = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.lit(float(f)).alias("fraction")) for i, f in enumerate(fractions)]))
+    wanted = totals.select("position", "total", places.alias("at")).select(
+        "position", "at.which", (F.col("at.fraction") * (F.col("total") - 1)).alias("place"), "total")
+    low = F.floor("place").cast("bigint")
+    ranks = wanted.select("position", "which", (F.col("place") - low).alias("part"), F.posexplode(F.array(low, F.least(low + 1, F.col("total") - 1))).alias("side", "rank"))
+    held = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("rows"))
+    found = ranks.join(ranges, "position").where(held).select("position", "range", "below", "which", "part", "side", "rank")
+    within = Window.partitionBy("position", "range").orderBy("value")
+    needed = dealt.join(found.select("position", "range").distinct(), ["position", "range"], "left_semi")
+    numbered = needed.withColumn("upto", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    hits = numbered.join(found, ["position", "range"]).where((F.col("rank") - F.col("below") < F.col("upto")) & (F.col("rank") - F.col("below") >= F.col("upto") - F.col("n")))
+    side = lambda k: F.max(F.when(F.col("side") == k, F.col("value")))
+    read = hits.groupBy("position", "which").agg(side(0).alias("under"), side(1).alias("over"), F.max("part").alias("part")).collect()
+    out: dict[int, list[float]] = {r["position"]: [0.0] * len(fractions) for r in read}
+    for r in read:
+        out[r["position"]][r["which"]] = r["under"] + (r["over"] - r["under"]) * r["part"]
+    return out
 
-def _ranks(t: dict) -> tuple[int, int]:
-    """Zero-based positions of the two order statistics around the quantile."""
-    return int(t["place"]), min(int(t["place"]) + 1, t["below"] + t["rows"] - 1)
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of several columns, exact for data of any size; NULL and NaN do not count. Runs jobs."""
+    found = _quantiles(_numbers(df, columns), fractions)
+    return {name: found.get(place, [None] * len(fractions)) for place, name in enumerate(columns)}
 
-def _narrow(numbers: DataFrame, targets: list[dict]) -> None:
-    """Shrink the range of each target to a part that still holds both order statistics.
 
-    The cuts are sketched from the values strictly inside the range, so every
-    round removes values, also where one value fills most of it.
-    """
-    accuracy, margin = 10_000, 0.001
-    # targets in the same range share one sketch
-    ranges: dict[tuple, list[float]] = {}
-    for t in targets:
-        inner = max(t["rows"] - t["at_low"] - 1, 1)
-        at = (t["place"] - t["below"] - t["at_low"]) / inner
-        share = ranges.setdefault((t["column"], t["low"], t["high"]), [])
-        t["cut"] = len(share)
-        share += [min(max(at + side, 0.0), 1.0) for side in (-margin, margin)]
-    sketches = []
-    for (i, low, high), at in ranges.items():
-        c = F.col(f"c{i}")
-        sketches.append(F.percentile_approx(F.when((c > F.lit(low)) & (c < F.lit(high)), c), at, accuracy))
-    cuts = dict(zip(ranges, numbers.agg(*[sketch.alias(f"s{k}") for k, sketch in enumerate(sketches)]).first()))
-
-    sums = []
-    for k, t in enumerate(targets):
-        found = cuts[(t["column"], t["low"], t["high"])]
-        t["one"], t["two"] = found[t["cut"]:t["cut"] + 2] if found else (None, None)
-        c = F.col(f"c{t['column']}")
-        for name, condition in (
-            ("at_low", c == F.lit(t["low"])), ("below_one", c < F.lit(t["one"])), ("at_one", c == F.lit(t["one"])),
-            ("below_two", c < F.lit(t["two"])), ("at_two", c == F.lit(t["two"])),
-        ):
-            sums.append(F.count_if(condition).alias(f"{name}{k}"))
-    counted = numbers.agg(*sums).first()
-
-    for k, t in enumerate(targets):
-        at_low, below_one, at_one, below_two, at_two = (counted[f"{n}{k}"] for n in ("at_low", "below_one", "at_one", "below_two", "at_two"))
-        under, over = _ranks(t)
-        upto = t["below"] + t["rows"]
-        if t["one"] is None:
-            # nothing strictly inside: the range is its two bounds
-            t.update(few=2)
-        elif over <= below_one:
-            t.update(high=t["one"], rows=below_one + at_one - t["below"], at_low=at_low)
-        elif over < below_two + at_two:
-            t.update(low=t["one"], high=t["two"], below=below_one, rows=below_two + at_two - below_one, at_low=at_one)
-        else:
-            t.update(low=t["two"], below=below_two, rows=upto - below_two, at_low=at_two)
-        t["few"] = min(t["few"], t["rows"])
-
-
-def _order_statistics(numbers: DataFrame, targets: list[dict]) -> dict[tuple[int, int], tuple[float, float]]:
-    """The two order statistics of each target, from the counted values between its bounds."""
-    if not targets:
-        return {}
-    entries = [F.when(_inside(t), F.struct(F.lit(k).alias("target"), F.col(f"c{t['column']}").alias("value"))) for k, t in enumerate(targets)]
-    rows = numbers.select(F.inline(F.filter(F.array(*entries), lambda entry: entry.isNotNull())))
-    counts = rows.groupBy("target", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("upto", F.sum("n").over(running))
-
-    def at(which: int) -> Column:
-        rank = F.element_at(F.array(*[F.lit(_ranks(t)[which] - t["below"]).cast("bigint") for t in targets]), F.col("target") + 1)
-        return F.min(F.when(F.col("upto") > rank, F.col("value")))
-
-    read = ranked.groupBy("target").agg(at(0).alias("under"), at(1).alias("over")).collect()
-    return {(targets[r["target"]]["column"], targets[r["target"]]["fraction"]): (r["under"], r["over"]) for r in read}
-
-
-def outlier_report(df: DataFrame, columns: Sequence[str] | None = None, small: int = SMALL) -> DataFrame:
-    """Quartiles, 1.5 IQR limits and values outside them, per numeric column with any values.
-
-    Runs the passes of ``exact_quantiles``; the limits then are literals of one counting pass.
-    """
-    columns = [*(columns if columns is not None else numeric_columns(df))]
-    limits = {}
-    for name, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75], small).items():
-        if q1 is not None:
-            limits[name] = (q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
-    sums = []
-    for place, (name, (_, _, _, low, high)) in enumerate(limits.items()):
-        value = F.col(name).cast("double")
-        sums += [F.count(name).alias(f"_n{place}"), F.count_if((value < low) | (value > high)).alias(f"_out{place}")]
-    if not sums:
-        return df.sparkSession.createDataFrame(
-            [], "column string, q1 double, q3 double, iqr double, lower_limit double, upper_limit double, outliers bigint, pct_outliers double"
-        )
-    return long_form(df.agg(*sums), [
-        F.struct(
-            F.lit(name).alias("column"),
-            *[rounded(F.lit(number), 3).alias(label) for label, number in zip(("q1", "q3", "iqr", "lower_limit", "upper_limit"), numbers)],
-            F.col(f"_out{place}").alias("outliers"),
-            percent(F.col(f"_out{place}"), F.col(f"_n{place}")).alias("pct_outliers"),
-        )
-        for place, (name, numbers) in enumerate(limits.items())
-    ])
+def _of_place(columns: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("position") + 1)
 
 
-def describe_numbers(df: DataFrame, columns: Sequence[str] | None = None, small: int = SMALL) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum per numeric column."""
+def outlier_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Quartiles, 1.5 IQR limits and values outside them, per numeric column with any values; NaN is missing. Runs jobs."""
+    columns = [*(columns if columns is not None else numeric_columns(df))]
+    counts = _numbers(df, columns)
+    limits = {place: (q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for place, (q1, q3) in _quantiles(counts, [0.25, 0.75]).items()}
+    schema = "column string, q1 double, q3 double, iqr double, lower_limit double, upper_limit double, outliers bigint, pct_outliers double"
+    if not limits:
+        return df.sparkSession.createDataFrame([], schema)
+    names = ("q1", "q3", "iqr", "lower_limit", "upper_limit")
+    known = F.create_map(*[x for place, numbers in limits.items() for x in (F.lit(place), F.struct(*[F.lit(v).alias(n) for n, v in zip(names, numbers)]))])
+    limit = known[F.col("position")]
+    outside = (F.col("value") < limit["lower_limit"]) | (F.col("value") > limit["upper_limit"])
+    sums = counts.groupBy("position").agg(F.sum("n").alias("_n"), F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outliers"))
+    return sums.select(
+        _of_place(columns).alias("column"), *[rounded(limit[name], 3).alias(name) for name in names], "outliers", percent(F.col("outliers"), F.col("_n")).alias("pct_outliers"))
+
+
+def describe_numbers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, standard deviation, minimum, quartiles and maximum per numeric column; NaN is missing. Runs jobs."""
     columns = [*(columns if columns is not None else numeric_columns(df))]
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], small)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     sums = []
     for place, name in enumerate(columns):
-        value = F.col(name).cast("double")
+        value = nan_to_null(F.col(f"`{name}`").cast("double"))
         sums += [
-            F.count(name).alias(f"_n{place}"), F.avg(value).alias(f"_mean{place}"), F.stddev_samp(value).alias(f"_std{place}"),
+            F.count(value).alias(f"_n{place}"), F.avg(value).alias(f"_mean{place}"), F.stddev_samp(value).alias(f"_std{place}"),
             F.min(value).alias(f"_min{place}"), F.max(value).alias(f"_max{place}"),
         ]
     return long_form(df.agg(*sums), [
@@ -290,13 +203,11 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 def size_and_gaps(df: DataFrame, dataset: str) -> DataFrame:
     """One row: rows, columns, exact duplicates and NULL cells of a dataset."""
-    nulls_in_row = sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0))
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     none = F.lit(0).cast("bigint")
-    return copies.select("_n", (F.col("_n") * nulls_in_row).alias("_nulls")).agg(
+    return row_copies(df).agg(
         F.coalesce(F.sum("_n"), none).alias("n_rows"),
         F.coalesce(F.sum(F.col("_n") - 1), none).alias("duplicates"),
-        F.coalesce(F.sum("_nulls"), none).alias("null_cells"),
+        F.coalesce(F.sum(F.col("_n") * F.col("_nulls")), none).alias("null_cells"),
     ).select(F.lit(dataset).alias("dataset"), "n_rows", F.lit(len(df.columns)).alias("n_columns"), "duplicates", "null_cells")
 
 

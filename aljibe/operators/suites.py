@@ -74,7 +74,8 @@ def between(column: str, low: object, high: object, mostly: float = 1.0) -> Expe
 def _entry(place: int, expectation: Expectation, rows: Column, nulls: Column, unexpected: Column) -> Column:
     # a missing value is the finding of not_null, for all other kinds it leaves the base
     base = rows if expectation.kind == "not_null" else rows - nulls
-    enough = (base - unexpected) >= F.lit(expectation.mostly) * base
+    # the ratio, not a product: 55 of 100 is 0.55 in binary too, while 0.55 * 100 is a little more than 55
+    enough = (base == 0) | ((base - unexpected).cast("double") / F.nullif(base, F.lit(0)) >= expectation.mostly)
     return F.struct(
         F.lit(place).alias("position"),
         F.lit(expectation.kind).alias("expectation"),
@@ -87,8 +88,12 @@ def _entry(place: int, expectation: Expectation, rows: Column, nulls: Column, un
     )
 
 
-def run_suite(df: DataFrame, expectations: Sequence[Expectation], suite: str) -> DataFrame:
-    """One result row per expectation, with its position in the suite."""
+def run_suite(df: DataFrame, expectations: Sequence[Expectation], suite: str, keys_from: DataFrame | None = None) -> DataFrame:
+    """One result row per expectation, with its position in the suite.
+
+    ``keys_from`` may name a frame with the same values of the unique columns that is
+    cheaper to scan than ``df``, such as the table it was derived from.
+    """
     numbered = list(enumerate(expectations))
     # the row count, and per column and per expectation one conditional count
     sums = {"rows": F.count(F.lit(1))}
@@ -118,7 +123,7 @@ def run_suite(df: DataFrame, expectations: Sequence[Expectation], suite: str) ->
 
     for place, one in numbered:
         if one.kind == "unique":
-            per_key = df.groupBy(F.col(one.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+            per_key = (df if keys_from is None else keys_from).groupBy(F.col(one.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
             known = F.col("key").isNotNull()
             none = F.lit(0).cast("bigint")
             totals = per_key.agg(

@@ -13,12 +13,12 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, Strin
 
 from aljibe.functions import dates, nested, numbers, text
 from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, profile, rejects, rules, suites
-from aljibe.plans import quality
+from aljibe.plans import quality, retail
 from aljibe.plans.samples import (
     AS_OF, CURRENCY_OF, PAYMENT_METHODS, STATUSES, checked_orders, dirty_orders, sales_lines_base, table,
 )
 from aljibe.sinks.changes import replaced_range, upserted
-from aljibe.sources.gaps import missing_days as days_without_rows
+from aljibe.sources.gaps import missing_ranges
 from aljibe.sources.jdbc import read_increment
 from aljibe.streaming.lines import sales_lines, squares_of_multiples
 
@@ -198,7 +198,7 @@ def _contract() -> contracts.Contract:
 
 @query
 def contract_failures(spark: SparkSession, folder: str) -> DataFrame:
-    return contracts.check_contract(checked_orders(spark, folder), _contract(), ["order_key"])
+    return contracts.check_contract(checked_orders(spark, folder), _contract(), ["order_key"], keys_from=dirty_orders(spark, folder))
 
 
 @query
@@ -223,6 +223,24 @@ def schema_drift_by_status(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.schema_drift(landed, expected, by="status")
 
 
+@query
+def retail_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Retail silver from four sources: orders, customers with a signup day, parts as products, payments of finished orders."""
+    orders = table(spark, folder, "orders")
+    key, nations = F.col("o_orderkey"), table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    return retail.silver_orders(
+        orders.select(key.alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_custkey").alias("product_id"),
+                      (key % 6).alias("quantity"), F.col("o_orderdate").alias("order_ts"), F.col("o_orderstatus").alias("status")),
+        table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.col("c_custkey").alias("customer_id"), "country", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int")).alias("signup_date")),
+        table(spark, folder, "part").select(
+            F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"), F.col("p_retailprice").alias("unit_price"), (F.col("p_size") > 5).alias("active")),
+        orders.where("o_orderstatus = 'F'").select(
+            (key * 10).alias("payment_id"), key.alias("order_id"), F.col("o_totalprice").alias("amount"), F.lit("EUR").alias("currency"),
+            F.col("o_orderpriority").alias("payment_method"), F.col("o_orderdate").alias("paid_at")),
+    ).withColumns({"order_ts": F.col("order_ts").cast("timestamp_ntz"), "paid_at": F.col("paid_at").cast("timestamp_ntz")})
+
+
 # quality -------------------------------------------------------------------
 
 
@@ -270,7 +288,7 @@ def suite_orders(spark: SparkSession, folder: str) -> DataFrame:
     expectations = quality.order_suite(
         AS_OF, tuple(CURRENCY_OF), tuple(CURRENCY_OF.values()), PAYMENT_METHODS, STATUSES, first_day="1995-01-01"
     )
-    return suites.run_suite(checked_orders(spark, folder), expectations, "orders_suite")
+    return suites.run_suite(checked_orders(spark, folder), expectations, "orders_suite", keys_from=dirty_orders(spark, folder))
 
 
 @query
@@ -396,7 +414,7 @@ def profile_cardinality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def profile_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return grouping.duplicate_share(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    return grouping.duplicate_share(table(spark, folder, "lineitem"))
 
 
 @query
@@ -448,7 +466,7 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedupe_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return grouping.dedupe_rows(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    return grouping.dedupe_rows(table(spark, folder, "lineitem"))
 
 
 # dimensions and facts ------------------------------------------------------
@@ -566,6 +584,35 @@ def rename_columns(spark: SparkSession, folder: str) -> DataFrame:
     return columns.rename(columns.tidy_names(orders.toDF(" Order.Key", "Cust-Key", "Order Priority ")), {"cust_key": "customer_id", "absent": "x"})
 
 
+@query
+def merged_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Two columns whose tidied names are equal: the first non-NULL value stays."""
+    own = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey"))
+    orders = table(spark, folder, "orders").select("o_orderkey", own, "o_custkey", "o_orderpriority")
+    return columns.tidy_names(orders.toDF("Order Id", "Ref.No", " ref-no ", "Priority"))
+
+
+@query
+def distinct_maps(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as maps whose entries come in either order, distinct, as text."""
+    kind, weight = (F.lit("kind"), F.col("event_type")), (F.lit("weight"), F.from_json("props", "k string")["k"])
+    facts = F.when(F.col("event_id") % 2 == 0, F.create_map(*kind, *weight)).otherwise(F.create_map(*weight, *kind))
+    distinct = grouping.dedupe_rows(table(spark, folder, "events").select(facts.alias("facts")))
+    pairs = F.transform(nested.comparable_map(F.col("facts")), lambda pair: F.concat_ws("=", pair["key"], pair["value"]))
+    return distinct.select(nested.joined(pairs).alias("facts"))
+
+
+@query
+def parsed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days from texts in several forms, NULL where they do not parse."""
+    moment, place = F.col("ts"), F.col("event_id") % 4
+    written = (
+        F.when(place == 0, F.date_format(moment, "yyyy-MM-dd")).when(place == 1, F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
+        .when(place == 2, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")).otherwise("soon")
+    )
+    return table(spark, folder, "events").select("event_id", dates.parsed_date(written).alias("day"))
+
+
 @query
 def select_or_null(spark: SparkSession, folder: str) -> DataFrame:
     return columns.select_or_null(table(spark, folder, "orders"), StructType([
@@ -660,11 +707,26 @@ def page_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def product_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as entries of listing pages, in either quotes and with other classes beside, and back to products."""
+    key, quote = F.col("p_partkey"), F.when(F.col("p_partkey") % 2 == 0, "'").otherwise('"')
+    more = F.when(key % 3 == 0, "wide ").otherwise("")
+    stock = F.when(key % 5 == 0, "Sold out").otherwise("In stock")
+    entry = F.concat(
+        F.lit("<article class="), quote, more, F.lit("product_pod"), quote, F.lit("><h3><a href="), quote, key, quote, F.lit(" title="), quote, F.col("p_name"), quote,
+        F.lit(">more</a></h3><p class="), quote, F.lit("price_color"), quote, F.lit(">£"), F.format_string("%.2f", "p_retailprice"),
+        F.lit("</p><p class="), quote, more, F.lit("availability"), quote, F.lit('><i class="icon"></i> '), stock, F.lit(" </p></article>"),
+    )
+    return documents.listed_products(table(spark, folder, "part").select("p_partkey", entry.alias("html")), keep=["p_partkey"])
+
+
 @query
 def messages_flat(spark: SparkSession, folder: str) -> DataFrame:
-    """Turns as JSON documents, each under one of the four keys, and back to rows."""
+    """Turns as JSON documents of a message and its answer, each under one of the four keys, and back to rows."""
     turns = table(spark, folder, "conversations")
-    items = F.array(F.struct("turn", "role", "text"))
+    answer = F.struct("turn", F.lit("answer").alias("role"), F.substring("text", 1, 40).alias("text"))
+    items = F.array(F.struct("turn", "role", "text"), answer)
     document = F.to_json(F.struct(*[
         F.when(F.pmod("turn", F.lit(len(nested.MESSAGE_KEYS))) == place, items).alias(key) for place, key in enumerate(nested.MESSAGE_KEYS)
     ]))
@@ -676,9 +738,9 @@ def messages_flat(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def missing_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Gaps of each user in January."""
     days = table(spark, folder, "events").select("user_id", _day("ts").alias("day"))
-    first, last = days.agg(F.min("day"), F.max("day")).first()
-    return days_without_rows(days, "day", first, last, by=["user_id"])
+    return missing_ranges(days, "day", date(2024, 1, 1), date(2024, 1, 31), by=["user_id"])
 
 
 @query

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from aljibe.errors import LoadError
 from aljibe.functions.dates import yesterday
 from aljibe.sinks.changes import replace_range, upsert
-from aljibe.session import staged
 from aljibe.sinks.tables import publish
 from aljibe.sources.jdbc import read_increment
 
@@ -29,19 +28,24 @@ def load_end(spark: SparkSession, as_of: datetime, zone: str = "-05:00") -> date
 def load_table(spark: SparkSession, row: Row, source: DataFrame, target: str, end: date) -> DataFrame | None:
     """Load one table; the control update, or None if the watermark stays.
 
-    An empty increment, or a table of another kind, leaves the watermark alone.
+    An increment without a watermark yet takes everything up to ``end``. An empty increment, or a table of another
+    kind, leaves the watermark alone. The source is read once, for the one write; the watermark is the newest day written.
     """
+    start, day = row["last_load"], F.col(row["date_column"]).cast("date")
     if row["load_mode"] == FULL:
-        loaded = staged(source)
-        publish(loaded, target)
+        publish(source, target)
+        loaded = spark.table(target)
+    elif row["load_mode"] == INCREMENTAL and start is None:
+        publish(source.where(day <= F.lit(end)), target)
+        loaded = spark.table(target)
     elif row["load_mode"] == INCREMENTAL:
-        loaded = staged(read_increment(source, row["date_column"], row["last_load"], end))
-        replace_range(spark, loaded, target, row["date_column"], row["last_load"], end)
+        replace_range(spark, read_increment(source, row["date_column"], start, end), target, row["date_column"], start, end)
+        loaded = spark.table(target).where(day > F.lit(start))
     else:
         raise ValueError(f"{row['table_name']}: unknown load mode {row['load_mode']!r}")
     if row["table_kind"] != TRANSACTIONAL:
         return None
-    newest = loaded.agg(F.max(F.col(row["date_column"]).cast("date"))).first()[0]
+    newest = loaded.agg(F.max(day)).first()[0]
     if newest is None:
         return None
     return spark.createDataFrame([(row["table_name"], newest, INCREMENTAL)], "table_name string, last_load date, load_mode string")
@@ -67,7 +71,7 @@ def run_control(
         try:
             return row["table_name"], load_table(spark, row, source_of(row["table_name"]), f"{target_schema}.{row['table_name']}", end), None
         except Exception as error:
-            return row["table_name"], None, str(error)
+            return row["table_name"], None, str(error) or repr(error)
 
     with ThreadPoolExecutor(parallel) as pool:
         outcomes = list(pool.map(load, rows))

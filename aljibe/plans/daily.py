@@ -12,8 +12,8 @@ from aljibe.errors import DataQualityError, EmptyDatasetError
 from aljibe.operators import anomalies, models, rejects
 from aljibe.operators.columns import typed
 from aljibe.operators.grouping import latest_per_key
-from aljibe.operators.opslog import ALERTS, EVENTS, VERSIONS, log_row
-from aljibe.sinks.changes import replace_range
+from aljibe.operators.opslog import ALERTS, EVENTS, VERSIONS, log_rows
+from aljibe.sinks.changes import replace_days
 from aljibe.sinks.tables import append, create_schemas, create_table, publish
 from aljibe.sources.files import require_rows
 
@@ -44,11 +44,17 @@ BY_COUNTRY = StructType([
 
 
 class DailyLoad:
-    """One run of the daily load into the schemas ``{prefix}_bronze``, ``_silver``, ``_gold`` and ``_ops``."""
+    """One run of the daily load into the schemas ``{prefix}_bronze``, ``_silver``, ``_gold`` and ``_ops``.
+
+    Bronze, silver orders and gold are partitioned by day, and a run rewrites the days it touches: its cost follows the
+    day's rows, not the history. Log rows are collected and appended once per stage.
+    """
 
     def __init__(self, spark: SparkSession, run_date: date, run_id: str, prefix: str, now: datetime | None = None):
         self.spark, self.run_date, self.run_id, self.prefix = spark, run_date, run_id, prefix
         self.now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+        self.events: list[dict] = []
+        self.versions: list[dict] = []
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}_{layer}.{table}"
@@ -59,34 +65,35 @@ class DailyLoad:
         create_table(self.spark, self.name("bronze", "customers"), CUSTOMERS, ("_run_date",))
         create_table(self.spark, self.name("silver", "orders"), ORDERS, ("_run_date",))
         create_table(self.spark, self.name("silver", "orders_reject"), REJECTS, ("_run_date",))
+        create_table(self.spark, self.name("silver", "customers"), CUSTOMERS)
+        create_table(self.spark, self.name("gold", "daily_sales"), DAILY, ("order_date",))
+        create_table(self.spark, self.name("gold", "sales_by_country"), BY_COUNTRY, ("order_date",))
         for table, schema in (("pipeline_events", EVENTS), ("pipeline_alerts", ALERTS), ("dataset_versions", VERSIONS)):
             create_table(self.spark, self.name("ops", table), schema)
 
     def event(self, level: str, stage: str, dataset: str, status: str, message: str, **more: object) -> None:
-        row = log_row(
-            self.spark, EVENTS, event_ts=self.now, level=level, run_id=self.run_id, stage=stage,
-            dataset=dataset, status=status, message=message, **more,
-        )
-        append(row, self.name("ops", "pipeline_events"))
-
-    def published(self, table: str, operation: str) -> None:
-        """Record a publish: table, version one above the last, rows it now has."""
-        versions = self.name("ops", "dataset_versions")
-        last = self.spark.table(versions).where(F.col("table_name") == table).agg(F.max("version")).first()[0]
-        row = log_row(
-            self.spark, VERSIONS, audit_ts=self.now, run_id=self.run_id, table_name=table, operation=operation,
-            version=0 if last is None else last + 1, operation_ts=self.now, num_output_rows=str(self.spark.table(table).count()),
-        )
-        append(row, versions)
-
-    def _replace_day(self, rows: DataFrame, table: str) -> None:
-        before = date.fromordinal(self.run_date.toordinal() - 1)
-        replace_range(self.spark, rows, table, "_run_date", before, self.run_date)
-        self.published(table, "REPLACE DAY")
-
-    def _write(self, df: DataFrame, schema: StructType, layer: str, table: str) -> None:
-        publish(typed(df, schema), self.name(layer, table))
-        self.published(self.name(layer, table), "OVERWRITE")
+        self.events.append(dict(
+            event_ts=self.now, level=level, run_id=self.run_id, stage=stage, dataset=dataset, status=status, message=message, **more))
+
+    def published(self, table: str, operation: str, rows: int) -> None:
+        """Record a publish: table and rows written. Its version, one above the last, is given when the log is written."""
+        self.versions.append(dict(
+            audit_ts=self.now, run_id=self.run_id, table_name=table, operation=operation, operation_ts=self.now, num_output_rows=str(rows)))
+
+    def write_log(self) -> None:
+        """Append what has been collected, one write per log table."""
+        if self.versions:
+            table = self.name("ops", "dataset_versions")
+            last = {r[0]: r[1] for r in self.spark.table(table).groupBy("table_name").agg(F.max("version")).collect()}
+            for row in self.versions:
+                row["version"] = last[row["table_name"]] = last.get(row["table_name"], -1) + 1
+            append(log_rows(self.spark, VERSIONS, self.versions), table)
+        if self.events:
+            append(log_rows(self.spark, EVENTS, self.events), self.name("ops", "pipeline_events"))
+        self.versions, self.events = [], []
+
+    def _replace_days(self, rows: DataFrame, table: str, column: str, days: set[date]) -> None:
+        self.published(table, "REPLACE DAY", replace_days(self.spark, rows, table, column, days))
 
     def bronze(self, dataset: str, landed: DataFrame, source_file: str) -> None:
         """Add the day's landing rows. Loading a day again replaces that day."""
@@ -95,34 +102,46 @@ class DailyLoad:
             "_ingestion_ts": F.lit(self.now), "_source_file": F.lit(source_file),
             "_run_id": F.lit(self.run_id), "_run_date": F.lit(self.run_date),
         })
-        self._replace_day(typed(rows, schema, coerce=True), self.name("bronze", dataset))
+        self._replace_days(typed(rows, schema, coerce=True), self.name("bronze", dataset), "_run_date", {self.run_date})
 
-    def silver(self, rebuild: bool = False) -> None:
-        """Check the day's reject rate, split its orders, keep the latest customers.
+    def _of_run(self, layer: str, table: str) -> DataFrame:
+        return self.spark.table(self.name(layer, table)).where(F.col("_run_date") == F.lit(self.run_date))
+
+    def _order_dates(self) -> set[date]:
+        """Order dates among the run date's silver orders: calendar days, never data rows."""
+        return {r[0] for r in self._of_run("silver", "orders").select("order_date").distinct().collect()}
+
+    def silver(self, rebuild: bool = False) -> set[date]:
+        """Check the day's reject rate, split its orders, merge its customers; the order dates whose sales have changed.
 
         An order's verdict depends on its own row only, so just the day's
         partition is written; ``rebuild`` splits all days again.
         """
         orders = self.spark.table(self.name("bronze", "orders"))
-        day = require_rows(orders.where(F.col("_run_date") == F.lit(self.run_date)), f"orders of {self.run_date}")
+        day = require_rows(self._of_run("bronze", "orders"), f"orders of {self.run_date}")
         total, rejected = rejects.require_reject_rate(day)
+        touched = self._order_dates()
         for rows, schema, table in ((rejects.valid_orders, ORDERS, "orders"), (rejects.rejected_orders, REJECTS, "orders_reject")):
             if rebuild:
-                publish(typed(rows(orders), schema), self.name("silver", table), partitioned_by=("_run_date",))
-                self.published(self.name("silver", table), "OVERWRITE")
+                written = publish(typed(rows(orders), schema), self.name("silver", table), partitioned_by=("_run_date",))
+                self.published(self.name("silver", table), "OVERWRITE", written)
             else:
-                self._replace_day(typed(rows(day), schema), self.name("silver", table))
-        customers = require_rows(self.spark.table(self.name("bronze", "customers")), "customers")
-        self._write(latest_per_key(customers, ["customer_id"], ["updated_at", "_ingestion_ts"]), CUSTOMERS, "silver", "customers")
+                self._replace_days(typed(rows(day), schema), self.name("silver", table), "_run_date", {self.run_date})
+        known = self.spark.table(self.name("silver", "customers")).where(F.col("_run_date") != F.lit(self.run_date))
+        merged = latest_per_key(known.unionByName(self._of_run("bronze", "customers")), ["customer_id"], ["updated_at", "_ingestion_ts"])
+        self.published(self.name("silver", "customers"), "MERGE", publish(typed(merged, CUSTOMERS), self.name("silver", "customers")))
         self.event("INFO", "silver", "orders", "OK", "silver done", rows_ok=total - rejected, rows_reject=rejected,
                    extra={"current_run_rows": total, "current_run_rejects": rejected})
+        return touched | self._order_dates()
 
-    def gold(self) -> bool:
-        """Publish both gold tables; True if the day's revenue has dropped, with an alert row."""
-        orders = require_rows(self.spark.table(self.name("silver", "orders")), "silver orders")
+    def gold(self, days: set[date] | None = None) -> bool:
+        """Compute the sales of ``days`` (all, if None) anew in both gold tables; True if the run date's revenue has dropped, with an alert row."""
+        orders = self.spark.table(self.name("silver", "orders"))
         customers = require_rows(self.spark.table(self.name("silver", "customers")), "silver customers")
-        self._write(models.daily_sales(orders), DAILY, "gold", "daily_sales")
-        self._write(models.sales_by_country(orders, customers), BY_COUNTRY, "gold", "sales_by_country")
+        days = {r[0] for r in orders.select("order_date").distinct().collect()} if days is None else days
+        orders = require_rows(orders.where(F.col("order_date").isin(*days) if days else F.lit(False)), "silver orders")
+        for rows, schema, table in ((models.daily_sales(orders), DAILY, "daily_sales"), (models.sales_by_country(orders, customers), BY_COUNTRY, "sales_by_country")):
+            self._replace_days(typed(rows, schema), self.name("gold", table), "order_date", days)
         daily = self.spark.table(self.name("gold", "daily_sales"))
         if daily.where(F.col("order_date") == F.lit(self.run_date)).isEmpty():
             raise EmptyDatasetError(f"no gold row for {self.run_date}")
@@ -131,28 +150,28 @@ class DailyLoad:
         if dropped:
             append(typed(anomalies.drop_alerts(drops, self.run_id, self.now), ALERTS), self.name("ops", "pipeline_alerts"))
             self.event("WARN", "gold", "daily_sales", "ALERT", "revenue below the preceding days")
-        self.event("INFO", "gold", "gold_tables", "OK", "gold published", rows_ok=daily.count())
+        self.event("INFO", "gold", "gold_tables", "OK", "gold published", rows_ok=len(days))
         return dropped
 
     def run(self, orders: DataFrame, customers: DataFrame, source_files: tuple[str, str] = ("orders.csv", "customers.jsonl")) -> bool:
         """All stages. A failing stage leaves an ERROR event and an alert and raises."""
         self.setup()
+        outcome = None
         stages = (
-            ("bronze", lambda: [self.bronze("orders", orders, source_files[0]), self.bronze("customers", customers, source_files[1])]),
-            ("silver", self.silver),
+            ("bronze", lambda _: [self.bronze("orders", orders, source_files[0]), self.bronze("customers", customers, source_files[1])]),
+            ("silver", lambda _: self.silver()),
             ("gold", self.gold),
         )
-        outcome = None
         for stage, step in stages:
             self.event("INFO", stage, "all", "STARTED", f"{stage} started")
             try:
-                outcome = step()
+                outcome = step(outcome)
+                self.write_log()
             except Exception as error:
                 code = "DQ_001" if isinstance(error, DataQualityError) else "SYS_001"
                 self.event("ERROR", stage, "all", "FAILED", str(error), error_code=code)
-                failed = self.spark.table(self.name("ops", "pipeline_events")).where(
-                    (F.col("run_id") == self.run_id) & (F.col("stage") == stage)
-                )
+                failed = log_rows(self.spark, EVENTS, [self.events[-1]])
+                self.write_log()
                 append(typed(anomalies.failure_alerts(failed), ALERTS), self.name("ops", "pipeline_alerts"))
                 log.error("stage %s failed: %s", stage, error)
                 raise

@@ -13,7 +13,7 @@ from aljibe.operators.grouping import item_counts
 from aljibe.operators.joins import with_group_size, with_key_exists
 from aljibe.operators.rules import Rule, accepted, quarantined, with_failed_rules, with_flags
 from aljibe.operators.suites import Expectation, audit, between, columns_are, in_set, matches, not_null, require_gate, run_suite, unique
-from aljibe.session import staged
+from aljibe.session import stage, staged, unstage
 from aljibe.sinks.tables import publish
 
 # Currency of each country, payment methods, order states, segments.
@@ -118,9 +118,8 @@ def validated(orders: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
 def run_quality(orders: DataFrame, customers: DataFrame, as_of: str, schema: str, enforce: bool = False) -> dict[str, str]:
     """Validate, check the gate, split into silver and quarantine, write audit and rule frequency.
 
-    The lists of exceptions are made once. With them the flags are computed from
-    the row alone, so each output is a scan of the orders, which is cheaper than
-    keeping the flagged orders. Returns the tables written.
+    The flagged orders are computed once, written apart by verdict, and silver and quarantine are read back from their part.
+    Returns the tables written.
     """
     results = staged(validated(orders, customers, as_of))
     tables = {name: f"{schema}.{name}" for name in ("dq_results", "dq_validation_audit", "orders_silver", "orders_quarantine", "rule_frequency")}
@@ -129,8 +128,14 @@ def run_quality(orders: DataFrame, customers: DataFrame, as_of: str, schema: str
     if enforce:
         require_gate(results)
     flagged = flagged_orders(orders, customers, order_rules(as_of))
-    publish(accepted(flagged, orders.columns), tables["orders_silver"])
-    publish(quarantined(flagged), tables["orders_quarantine"])
-    written = orders.sparkSession.table(tables["orders_quarantine"])
+    spark = orders.sparkSession
+    path = stage(flagged, "is_valid")
+    try:
+        apart = spark.read.schema(flagged.schema).parquet(path)
+        publish(accepted(apart, orders.columns), tables["orders_silver"])
+        publish(quarantined(apart).select(*flagged.columns), tables["orders_quarantine"])
+    finally:
+        unstage(spark, path)
+    written = spark.table(tables["orders_quarantine"])
     publish(item_counts(written, "failed_rules", "failed_rule"), tables["rule_frequency"])
     return tables

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from aljibe.errors import DataQualityError
 from aljibe.functions.numbers import rounded
 from aljibe.operators.columns import typed
-from aljibe.operators.contracts import Contract, Field
+from aljibe.operators.contracts import Contract, Field, check_contract
 from aljibe.operators.models import customer_lifetime, customer_segment, paid_sales_by_day
 from aljibe.operators.rules import Rule
 from aljibe.sinks.files import write_layer
@@ -33,6 +34,7 @@ def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame,
     Values that do not fit the declared types raise an error.
     """
     order_day = F.to_date("order_ts")
+    # The columns of silver orders, in order.
     return (
         typed(orders, StructType.fromDDL(ORDERS)).where(F.col("quantity") > 0)
         .join(typed(customers, StructType.fromDDL(CUSTOMERS)), "customer_id", "left")
@@ -91,9 +93,22 @@ def publish_silver(spark, bronze: str, silver: str, run_date: str) -> str:
     return write_layer(silver_orders(**parts), silver, "orders", run_date)
 
 
-def publish_gold(spark, silver: str, gold: str, run_date: str) -> None:
-    """Write fact_sales, agg_daily_sales and customer_ltv of one run date."""
-    sales = read_layer(spark, silver, "orders", run_date).drop("run_date")
+def complete_sales(silver: DataFrame) -> DataFrame:
+    """Silver orders whose product is known: those with a category and a price."""
+    return silver.where(F.col("category").isNotNull() & F.col("unit_price").isNotNull())
+
+
+def publish_gold(spark, silver: str, gold: str, run_date: str, contract: Contract | None = None) -> None:
+    """Check the silver orders of one run date against their contract, then write fact_sales, agg_daily_sales and customer_ltv.
+
+    Orders without category or price are left out first. Raises DataQualityError, naming the broken checks, before
+    anything is written.
+    """
+    sales = complete_sales(read_layer(spark, silver, "orders", run_date).drop("run_date"))
+    failures = check_contract(sales, contract or silver_contract(), ["order_id"])
+    broken = failures.groupBy("column", "check").count().orderBy("column", "check").collect()
+    if broken:
+        raise DataQualityError("silver orders break their contract: " + "; ".join(f"{r[0]} {r[1]} ({r[2]} rows)" for r in broken))
     write_layer(sales, gold, "fact_sales", run_date)
     write_layer(paid_sales_by_day(sales, "paid"), gold, "agg_daily_sales", run_date)
     write_layer(customer_lifetime(sales, "paid"), gold, "customer_ltv", run_date)

@@ -44,14 +44,26 @@ SILVER_NAMES = {
 # The columns of the show dimension.
 SHOWS = StructType([
     StructField("show_id", LongType()),
-    *[StructField(f"show_{name}", StringType()) for name in ("name", "type", "language", "status", "genres", "premiered")],
+    StructField("show_name", StringType()),
+    StructField("show_type", StringType()),
+    StructField("show_language", StringType()),
+    StructField("show_status", StringType()),
+    StructField("show_genres", StringType()),
+    StructField("show_premiered", StringType()),
     StructField("show_rating_average", DoubleType()),
     StructField("show_webchannel_name", StringType()),
     StructField("show_network_name", StringType()),
 ])
 
-NETWORK_ID = StructType([StructField("network_id", LongType()), *[StructField(c, StringType()) for c in ("network_name", "country_code", "country_name")]])
+# The columns of the network dimension.
+NETWORK_ID = StructType([
+    StructField("network_id", LongType()),
+    StructField("network_name", StringType()),
+    StructField("country_code", StringType()),
+    StructField("country_name", StringType()),
+])
 
+# The columns of the episode fact before its keys.
 EPISODES = StructType([
     StructField("episode_id", LongType()), StructField("show_id", LongType()), StructField("episode_name", StringType()),
     StructField("season", LongType()), StructField("episode_number", DoubleType()), StructField("episode_runtime", DoubleType()),

@@ -42,17 +42,24 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def stage(df: DataFrame) -> str:
+def stage(df: DataFrame, *partitioned_by: str) -> str:
     """Write ``df`` to a new folder below the shared folder; its path."""
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partitioned_by).parquet(path)
     return path
 
 
+def unstage(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Runs a job. Cuts the lineage, survives the loss of executors, frees the
     result from the tables it was read from, and lets Spark plan with its real size.
+    The frame is lazy, so the folder stays; cleaning the shared folder is the cluster's task.
     """
     return df.sparkSession.read.schema(df.schema).parquet(stage(df))

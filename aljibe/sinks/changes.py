@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aljibe.functions.dates import in_window
-from aljibe.session import stage
-from aljibe.sinks.tables import publish, republish
+from aljibe.errors import LoadError
+from aljibe.session import stage, unstage
+from aljibe.sinks.tables import publish
 
 
 def replaced_range(target: DataFrame, rows: DataFrame, column: str, start: date, end: date) -> DataFrame:
@@ -25,35 +27,49 @@ def replace_range(spark: SparkSession, rows: DataFrame, table: str, column: str,
     """Replace (start, end] of ``table`` by ``rows``; running it again gives the same table.
 
     A table partitioned by the date ``column`` has only the touched days
-    rewritten. Any other table is rebuilt through a staged copy.
+    rewritten. Any other table is written anew and swapped. A table that does not exist is created from the rows.
     """
     rows = rows.where(in_window(F.col(column), F.lit(start), F.lit(end)))
+    if not spark.catalog.tableExists(table):
+        publish(rows, table)
+        return
     partitioned_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if partitioned_by != [column]:
-        republish(replaced_range(spark.table(table), rows.select(*spark.table(table).columns), column, start, end), table)
+        publish(replaced_range(spark.table(table), rows.select(*spark.table(table).columns), column, start, end), table)
         return
-    columns = spark.table(table).columns
-    rows = rows.select(*columns)
+    landed = {date.fromisoformat(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect() if "__HIVE_DEFAULT" not in row[0]}
+    replace_days(spark, rows, table, column, {day for day in landed if start < day <= end})
+
+
+def replace_days(spark: SparkSession, rows: DataFrame, table: str, column: str, days: set[date]) -> int:
+    """Put ``rows`` in the place of the days they have and of ``days``, in a table partitioned by the date ``column``; the rows written.
+
+    ``rows`` may read the table: they are written to the shared folder first, and the folder is removed in the end.
+    """
+    rows = rows.select(*spark.table(table).columns)
     path = stage(rows)
-    # days of the range the new rows no longer have: partition values only, never data rows
-    present = {str(row[0]) for row in spark.read.schema(rows.schema).parquet(path).select(column).distinct().collect()}
-    landed = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    stale = [day for day in landed if str(start) < day <= str(end) and day not in present]
-    # a session of its own: the setting must not reach other writes that run at the same time
-    writer = spark.newSession()
-    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # few files per day, and AQE splits a day that is too large for one task
-    writer.read.schema(rows.schema).parquet(path).hint("rebalance", column).write.mode("overwrite").insertInto(table)
-    for day in stale:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{date.fromisoformat(day)}')")
-    spark.catalog.refreshTable(table)
+    try:
+        kept = spark.read.schema(rows.schema).parquet(path)
+        # days the new rows no longer have: partition values only, never data rows
+        present = {row[0]: row[1] for row in kept.groupBy(column).count().collect()}
+        # a session of its own: the setting must not reach other writes that run at the same time
+        writer = spark.newSession()
+        writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # few files per day, and AQE splits a day that is too large for one task
+        writer.read.schema(rows.schema).parquet(path).hint("rebalance", column).write.mode("overwrite").insertInto(table)
+        for day in days - set(present):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{day}')")
+        spark.catalog.refreshTable(table)
+    finally:
+        unstage(spark, path)
+    return sum(present.values())
 
 
 def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge by key: matched rows take the columns ``updates`` has, new keys are added.
 
     Columns missing from ``updates`` keep the target's value, NULL for new rows.
-    ``updates`` must hold each key once; NULL keys match nothing, as in MERGE.
+    ``updates`` must hold each key once (``upsert`` checks it); NULL keys match nothing, as in MERGE.
     """
     old, new = target.alias("old"), updates.withColumn("_updated", F.lit(True)).alias("new")
     same = [F.col(f"old.{key}") == F.col(f"new.{key}") for key in keys]
@@ -67,8 +83,9 @@ def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Data
 
 
 def upsert(spark: SparkSession, updates: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Upsert into a table, creating it from ``updates`` if it does not exist."""
-    if spark.catalog.tableExists(table):
-        republish(upserted(spark.table(table), updates, keys), table)
-    else:
-        publish(updates, table)
+    """Upsert into a table, creating it from ``updates`` if it does not exist. Raises LoadError if two updates have one key."""
+    known = [F.col(key).isNotNull() for key in keys]
+    twice = updates.where(reduce(lambda one, other: one & other, known)).groupBy(*keys).count().where("count > 1")
+    if found := twice.limit(3).collect():
+        raise LoadError(f"several updates for a key of {table}: {[tuple(row)[:-1] for row in found]}")
+    publish(upserted(spark.table(table), updates, keys) if spark.catalog.tableExists(table) else updates, table)

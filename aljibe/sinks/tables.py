@@ -2,17 +2,19 @@
 
 One StructType per table drives its DDL, the casts before a write and the
 missing columns, so these cannot disagree. Plain Parquet tables have no
-transactions: whatever reads a table and replaces it goes through a staged
-copy in the shared folder, which a failed run leaves complete for a re-run.
+transactions: a table is replaced by writing a new one beside it and swapping the two
+once the job has succeeded, so a failed job leaves the old table as it was.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from aljibe.operators.columns import typed
-from aljibe.session import staged
+from aljibe.session import unstage
 
 
 def create_schemas(spark: SparkSession, *names: str) -> None:
@@ -35,11 +37,12 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def publish(df: DataFrame, table: str, schema_mode: str = "replace", partitioned_by: tuple[str, ...] = ()) -> None:
-    """Overwrite a table. An empty frame empties it.
+def publish(df: DataFrame, table: str, schema_mode: str = "replace", partitioned_by: tuple[str, ...] = ()) -> int:
+    """Overwrite a table, also one that ``df`` reads; the rows written. An empty frame empties it.
 
     ``schema_mode="merge"`` keeps columns the table has and the frame lacks,
-    filled with NULL; ``"replace"`` takes the frame's columns.
+    filled with NULL; ``"replace"`` takes the frame's columns. The rows go to a table of another name in a folder of its
+    own, which takes the place of the old one after the job: a failing job changes nothing.
     """
     spark = df.sparkSession
     if schema_mode == "merge" and spark.catalog.tableExists(table):
@@ -48,15 +51,38 @@ def publish(df: DataFrame, table: str, schema_mode: str = "replace", partitioned
                 df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
     elif schema_mode not in ("merge", "replace"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
-    writer = df.write
-    if partitioned_by:
-        writer = df.hint("rebalance", *partitioned_by).write.partitionBy(*partitioned_by)
-    writer.format("parquet").mode("overwrite").saveAsTable(table)
-
-
-def republish(df: DataFrame, table: str) -> None:
-    """Overwrite a table with a frame that may have been read from it."""
-    publish(staged(df), table)
+    version = uuid.uuid4().hex[:12]
+    beside, old = f"{table}_{version}", _location(spark, table)
+    counted, rows = counting(df.hint("rebalance", *partitioned_by) if partitioned_by else df)
+    folder = f"{_schema_folder(spark, table)}/{table.rpartition('.')[2]}-{version}"
+    try:
+        counted.write.partitionBy(*partitioned_by).format("parquet").option("path", folder).saveAsTable(beside)
+    except Exception:
+        drop_table(spark, beside)
+        unstage(spark, folder)
+        raise
+    drop_table(spark, table)
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    if old:
+        unstage(spark, old)
+    return rows()
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    return next(row[1] for row in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if row[0] == "Location")
+
+
+def _schema_folder(spark: SparkSession, table: str) -> str:
+    schema = table.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return next(row[1] for row in spark.sql(f"DESCRIBE SCHEMA {schema}").collect() if row[0] == "Location")
+
+
+def counting(df: DataFrame):
+    """``df``, and a function that gives its rows once it has been written. Costs no job of its own."""
+    observed = Observation()
+    return df.observe(observed, F.count(F.lit(1)).alias("rows")), lambda: observed.get["rows"]
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -5,20 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
-def missing_days(landed: DataFrame, day: str, start: date, end: date, by: Sequence[str] = ()) -> DataFrame:
-    """One row per day in [start, end] without a row in ``landed``, per value of ``by`` if given.
+def missing_ranges(landed: DataFrame, day: str, start: date, end: date, by: Sequence[str] = ()) -> DataFrame:
+    """First day, last day and length of each gap in [start, end], per value of ``by`` if given.
 
-    ``landed`` is reduced to distinct days before anything is joined, so a day
-    or a source holding most of the rows costs no more than any other.
+    A value of ``by`` with rows outside [start, end] only is one gap. ``landed`` is reduced to distinct days
+    per task before it is shuffled, so the window of a value holds its calendar days at most,
+    and the result has a row per gap, not per day.
     """
-    keys = [*by, day]
-    present = landed.select(*keys).where(F.col(day).between(F.lit(start), F.lit(end))).distinct()
-    days = F.explode(F.sequence(F.lit(start), F.lit(end))).alias(day)
-    if by:
-        expected = landed.select(*by).distinct().select(*by, days)
-    else:
-        expected = landed.sparkSession.range(1).select(days)
-    return expected.join(present, keys, "left_anti").select(*keys)
+    inside = F.col(day).between(F.lit(start), F.lit(end))
+    present = landed.select(*by, F.when(inside, F.col(day)).alias("_day")).distinct()
+    stop = F.date_add(F.lit(end), 1).alias("_day")
+    keys = landed.select(*by).distinct() if by else landed.sparkSession.range(1)
+    edges = present.where("_day is not null").unionByName(keys.select(*by, stop))
+    before = F.lag("_day", 1).over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("_day"))
+    gaps = edges.withColumn("_from", F.date_add(F.coalesce(before, F.date_sub(F.lit(start), 1)), 1))
+    length = F.datediff("_day", "_from")
+    return gaps.where(length > 0).select(*by, F.col("_from").alias("first_day"), F.date_sub("_day", 1).alias("last_day"), length.alias("n_days"))

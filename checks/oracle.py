@@ -142,7 +142,7 @@ def _expectation(suite: str, position: int, kind: str, column: str, source: str,
     return (
         f"SELECT '{suite}' AS suite, {position} AS position, '{kind}' AS expectation, '{column}' AS column, count(*) AS element_count, "
         f"{nulls} AS null_count, {unexpected} AS unexpected, {_pct(unexpected, base)} AS unexpected_pct, "
-        f"({base} - {unexpected}) >= {mostly}::DOUBLE * {base} AS success FROM {source}"
+        f"1000 * ({base} - {unexpected}) >= {round(1000 * mostly)} * {base} AS success FROM {source}"
     )
 
 
@@ -383,8 +383,7 @@ ORACLE: dict[str, str] = {
         for c, t in DIRTY_TYPES.items()
     ),
     "profile_duplicates": f"""
-        WITH pairs AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2),
-        sums AS (SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM pairs)
+        WITH sums AS (SELECT count(*) AS n_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicates FROM lineitem)
         SELECT n_rows, duplicates, {_pct('duplicates', 'n_rows')} AS pct_duplicates FROM sums""",
     "profile_iqr": " UNION ALL ".join(_outliers(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
     "profile_describe": " UNION ALL ".join(_describe(c) for c in ("p_partkey", "p_size", "p_retailprice")),
@@ -405,7 +404,7 @@ ORACLE: dict[str, str] = {
     "dup_count": f"WITH {DIRTY} SELECT order_key, order_id, count(*) OVER (PARTITION BY order_id) AS copies FROM dirty",
     "duplicated_keys": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "latest_per_key": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
-    "dedupe_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedupe_rows": "SELECT DISTINCT * FROM lineitem",
     "dim_networks": """
         SELECT s_suppkey AS network_id, s_name AS network_name, s_nationkey AS country_key, 'broadcast' AS network_type FROM supplier
         UNION ALL
@@ -480,12 +479,31 @@ ORACLE: dict[str, str] = {
                CASE WHEN regexp_matches(block, 'href="([^"]*)"') THEN {UNESCAPED.format('''trim(regexp_extract(block, 'href="([^"]*)"', 1))''')} END AS target,
                CASE WHEN regexp_matches(block, '<a [^>]*>([^<]*)</a>') THEN {UNESCAPED.format('''trim(regexp_extract(block, '<a [^>]*>([^<]*)</a>', 1))''')} END AS label
         FROM blocks""",
-    "messages_flat": "SELECT conv_id, turn, role, text FROM conversations",
+    "messages_flat": """
+        SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT conv_id, turn, 'answer', substr(text, 1, 40) FROM conversations""",
+    "product_listing": """
+        SELECT p_partkey, p_name AS product_name, round(CAST(p_retailprice AS DECIMAL(20, 6)), 2)::DOUBLE AS price, 'GBP' AS currency,
+               p_partkey % 5 <> 0 AS in_stock, 'books_to_scrape' AS source FROM part""",
+    "merged_columns": """
+        SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey ELSE o_custkey END AS ref_no, o_orderpriority AS priority FROM orders""",
+    "distinct_maps": "SELECT DISTINCT 'kind=' || event_type || ',weight=' || json_extract_string(props, '$.k') AS facts FROM events",
+    "parsed_days": "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN CAST(ts AS DATE) END AS day FROM events",
+    "retail_silver": f"""
+        SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderdate AS order_ts, o_custkey AS customer_id, o_custkey AS product_id,
+               n_name AS country, p_type AS category,
+               CASE WHEN CAST(o_orderdate AS DATE) - (DATE '1995-01-01' + CAST(o_custkey % 2000 AS INTEGER)) <= 30 THEN 'new' ELSE 'existing' END AS customer_segment,
+               o_orderkey % 6 AS quantity, p_retailprice AS unit_price, {_round('(o_orderkey % 6) * p_retailprice')} AS gross_amount, o_orderstatus AS status,
+               CASE WHEN paid THEN o_orderkey * 10 END AS payment_id, CASE WHEN paid THEN o_totalprice END AS amount, CASE WHEN paid THEN 'EUR' END AS currency,
+               CASE WHEN paid THEN o_orderpriority END AS payment_method, CASE WHEN paid THEN o_orderdate END AS paid_at
+        FROM (SELECT *, o_orderstatus = 'F' AS paid FROM orders) LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+        LEFT JOIN part ON o_custkey = p_partkey AND p_size > 5 WHERE o_orderkey % 6 > 0""",
     "missing_days": """
-        WITH days AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events),
-        span AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM days)
-        SELECT user_id, day FROM (SELECT DISTINCT user_id FROM days), span
-        WHERE (user_id, day) NOT IN (SELECT user_id, day FROM days)""",
+        WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'),
+        span AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day),
+        gone AS (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM events), span WHERE (user_id, day) NOT IN (SELECT user_id, day FROM days)),
+        islands AS (SELECT user_id, day, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS island FROM gone)
+        SELECT user_id, min(day) AS first_day, max(day) AS last_day, CAST(count(*) AS INTEGER) AS n_days FROM islands GROUP BY user_id, island""",
     "incremental_window": """
         SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date FROM orders
         WHERE o_orderdate > TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '1998-06-29 00:00:00'""",

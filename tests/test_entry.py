@@ -54,8 +54,10 @@ def test_latest_per_key_reduces_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
-def test_checks_do_not_shuffle_the_rows(spark):
-    """The short list of duplicated keys is broadcast; the rows stay where they are."""
+def test_checks_shuffle_keys_only(spark):
+    """The short list of duplicated keys is broadcast; the rows stay where they are. Building the frame runs no job."""
     orders = table(spark, FOLDER, "orders").withColumn("order_id", F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderkey")))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
     text = plan(joins.with_group_size(orders, ["order_id"]))
-    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before

@@ -86,10 +86,13 @@ def test_require_rows(spark):
 def test_missing_days(spark, rows):
     days = [dt.date(2024, 1, d) for d in (1, 1, 3, 9)]
     df = spark.createDataFrame([(d,) for d in days], "day date")
-    assert rows(gaps.missing_days(df, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 4))) == [(dt.date(2024, 1, 2),), (dt.date(2024, 1, 4),)]
+    assert rows(gaps.missing_ranges(df, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 4))) == [
+        (dt.date(2024, 1, 2), dt.date(2024, 1, 2), 1), (dt.date(2024, 1, 4), dt.date(2024, 1, 4), 1)]
     by_user = spark.createDataFrame([(1, days[0]), (2, days[2])], "u int, day date")
-    assert rows(gaps.missing_days(by_user, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 3), ["u"])) == [
-        (1, dt.date(2024, 1, 2)), (1, dt.date(2024, 1, 3)), (2, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]
+    late = by_user.union(spark.createDataFrame([(3, dt.date(2024, 2, 1)), (4, None)], "u int, day date"))
+    assert rows(gaps.missing_ranges(late, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 3), ["u"])) == [
+        (1, dt.date(2024, 1, 2), dt.date(2024, 1, 3), 2), (2, dt.date(2024, 1, 1), dt.date(2024, 1, 2), 2),
+        (3, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 3), (4, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 3)]
 
 
 def test_increment_reaches_the_scan(spark, tmp_path, rows):

@@ -55,17 +55,17 @@ def test_revenue_drop(spark, rows):
 def test_run_summary_and_versions(spark, rows):
     t = [dt.datetime(2024, 1, 1, h) for h in range(4)]
     events = [
-        opslog.log_row(spark, opslog.EVENTS, event_ts=t[1], run_id="r", stage="s", status="OK", level="INFO", rows_ok=5, extra={"a": 1}),
-        opslog.log_row(spark, opslog.EVENTS, event_ts=t[0], run_id="r", stage="s", status="STARTED", level="INFO"),
-        opslog.log_row(spark, opslog.EVENTS, event_ts=t[2], run_id="r", stage="g", dataset="d", message="boom", status="FAILED", level="ERROR"),
+        opslog.log_rows(spark, opslog.EVENTS, [dict(event_ts=t[1], run_id="r", stage="s", status="OK", level="INFO", rows_ok=5, extra={"a": 1})]),
+        opslog.log_rows(spark, opslog.EVENTS, [dict(event_ts=t[0], run_id="r", stage="s", status="STARTED", level="INFO")]),
+        opslog.log_rows(spark, opslog.EVENTS, [dict(event_ts=t[2], run_id="r", stage="g", dataset="d", message="boom", status="FAILED", level="ERROR")]),
     ]
     log = events[0].unionByName(events[1]).unionByName(events[2])
     assert rows(opslog.run_summary(log)) == [("r", "g", t[2], t[2], "FAILED", 1, 0, 0, 1), ("r", "s", t[0], t[1], "OK", 2, 5, 0, 0)]
     assert events[0].first()["extra"] == '{"a": 1}'
     assert rows(anomalies.failure_alerts(log)) == [(t[2], "r", "PIPELINE_FAILURE", "HIGH", "[g/d] boom")]
     with pytest.raises(ValueError):
-        opslog.log_row(spark, opslog.EVENTS, nope=1)
-    versions = [opslog.log_row(spark, opslog.VERSIONS, table_name="t", version=v, num_output_rows=str(v)) for v in (0, 2, 1)]
+        opslog.log_rows(spark, opslog.EVENTS, [dict(nope=1)])
+    versions = [opslog.log_rows(spark, opslog.VERSIONS, [dict(table_name="t", version=v, num_output_rows=str(v))]) for v in (0, 2, 1)]
     assert rows(opslog.latest_versions(versions[0].union(versions[1]).union(versions[2])), "version") == [(2,)]
 
 
@@ -85,8 +85,8 @@ def test_retail_layers(spark, tmp_path, rows):
     silver = spark.read.parquet(str(tmp_path / "silver/orders"))
     assert rows(silver, "order_id", "category", "customer_segment", "gross_amount", "payment_id") == [(1, "home", "new", 4.69, 7), (2, None, "new", None, None)]
     retail.publish_gold(spark, str(tmp_path / "silver"), str(tmp_path / "gold"), "2024-02-01")
-    assert rows(spark.read.parquet(str(tmp_path / "gold/customer_ltv")), "customer_id", "paid_orders", "lifetime_value") == [(1, 2, 4.69)]
-    assert spark.read.parquet(str(tmp_path / "gold/agg_daily_sales")).count() == 2
+    assert rows(spark.read.parquet(str(tmp_path / "gold/customer_ltv")), "customer_id", "paid_orders", "lifetime_value") == [(1, 1, 4.69)]
+    assert spark.read.parquet(str(tmp_path / "gold/agg_daily_sales")).count() == 1  # the order of a product that is not active is left out
 
 
 def episode(id_, show, network=None, channel=None, airdate="2024-01-05", airstamp=None, genres=("Drama",)):
@@ -137,14 +137,18 @@ PAGE = """<html><head><title>
   </p></article>
 <article class="product_pod"><h3><a href="b.html" title="B">B</a></h3>
   <p class="price_color">free</p><p class="availability">Sold out</p></article>
+<article id="x" class='wide product_pod'><h3><a title='C "quoted"' href='c.html'>C</a></h3>
+  <p class='big price_color'>£3.50</p><p data-n="1" class='availability instock'>In stock</p></article>
+<article class="product_podcast"><h3><a href="d.html" title="D">D</a></h3></article>
 </body></html>"""
 
 
 def test_pages(spark, rows):
     pages = spark.createDataFrame([(1, PAGE), (2, None), (3, "<p>no items</p>")], "page_id int, html string")
     assert rows(documents.listed_products(pages)) == [
-        ('A "Light"', 51.77, "GBP", True, "books_to_scrape"), ("B", None, "GBP", False, "books_to_scrape")]
-    assert rows(documents.page_links(pages, "page_id", "html")) == [(1, 0, "a.html"), (1, 1, "b.html")]
+        ('A "Light"', 51.77, "GBP", True, "books_to_scrape"), ("B", None, "GBP", False, "books_to_scrape"),
+        ('C "quoted"', 3.5, "GBP", True, "books_to_scrape")]
+    assert rows(documents.page_links(pages, "page_id", "html")) == [(1, 0, "a.html"), (1, 1, "b.html"), (1, 2, "d.html")]
     assert [r[0] for r in pages.select(documents.page_title(F.col("html"))).collect()] == ["\n All & more", None, ""]
 
 

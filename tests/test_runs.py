@@ -12,6 +12,7 @@ from aljibe.streaming import landing, lines
 
 D = dt.date
 LANDED_ORDERS = "order_id string, customer_id string, order_date string, amount string, status string"
+DAILY_COLUMNS = ("order_date", "total_orders", "total_revenue", "avg_ticket")
 LANDED_CUSTOMERS = "customer_id int, customer_name string, country string, email string, updated_at timestamp"
 
 
@@ -31,21 +32,34 @@ def test_daily_load(spark, rows):
     assert [run(day, 10.0) for day in days[:3]] == [False, False, False]
     assert run(days[3], 5.0, rejects=2) is True
     daily = spark.table("elt_gold.daily_sales")
-    assert rows(daily) == [(day, 100, 1000.0, 10.0) for day in days[:3]] + [(days[3], 98, 490.0, 5.0)]
+    assert rows(daily, *DAILY_COLUMNS) == [(day, 100, 1000.0, 10.0) for day in days[:3]] + [(days[3], 98, 490.0, 5.0)]
     assert rows(spark.table("elt_gold.sales_by_country").where(F.col("order_date") == days[3]), "country", "total_orders") == [("AR", 49), ("MX", 49)]
     assert spark.table("elt_silver.orders_reject").count() == 2
     assert spark.table("elt_ops.pipeline_alerts").where("alert_type = 'REVENUE_DROP'").count() == 1
 
     # the same day again replaces it everywhere
     assert run(days[3], 10.0) is False
-    assert rows(spark.table("elt_gold.daily_sales")) == [(day, 100, 1000.0, 10.0) for day in days]
+    assert rows(spark.table("elt_gold.daily_sales"), *DAILY_COLUMNS) == [(day, 100, 1000.0, 10.0) for day in days]
     versions = {r["table_name"]: (r["version"], r["num_output_rows"]) for r in latest_versions(spark.table("elt_ops.dataset_versions")).collect()}
-    assert versions["elt_silver.orders"] == (4, "400") and versions["elt_bronze.orders"] == (4, "400")
+    assert versions["elt_silver.orders"] == (4, "100") and versions["elt_bronze.orders"] == (4, "100")  # rows written, not rows of the table
     before = rows(spark.table("elt_silver.orders"), "order_id", "_run_date")
     again = DailyLoad(spark, days[3], "rebuild", "elt")
     again.silver(rebuild=True)
     assert rows(spark.table("elt_silver.orders"), "order_id", "_run_date") == before
 
+    # a late order of an old day rewrites that day only
+    def files():
+        return {r[0]: r[1] for r in spark.table("elt_gold.daily_sales").groupBy("order_date").agg(F.min(F.col("_metadata.file_path"))).collect()}
+
+    late, customers = landed(spark, days[3], 10.0)
+    old, gold = files(), spark.createDataFrame([("500", "1", str(days[0]), "50", "PAID")], LANDED_ORDERS)
+    DailyLoad(spark, days[3], "late", "elt", now=dt.datetime(2024, 2, 1)).run(late.union(gold), customers)
+    new = files()
+    assert {day for day in days if old[day] != new[day]} == {days[0], days[3]}
+    assert rows(spark.table("elt_gold.daily_sales"), *DAILY_COLUMNS) == [(days[0], 101, 1050.0, 10.4)] + [(day, 100, 1000.0, 10.0) for day in days[1:]]
+    run(days[3], 10.0)  # without the late order its day is as before
+    assert rows(spark.table("elt_gold.daily_sales"), *DAILY_COLUMNS) == [(day, 100, 1000.0, 10.0) for day in days]
+
     # too many rejects stop the load before silver changes
     with pytest.raises(DataQualityError):
         run(D(2024, 1, 5), 10.0, rejects=8)
@@ -83,6 +97,11 @@ def test_control_table_runs(spark, rows):
     # an empty increment keeps the watermark
     run(dt.datetime(2024, 1, 6, 13))
     assert rows(spark.table("ctl.sales"), "id") == [(1,), (2,), (3,)] and state()[1] == ("sales", D(2024, 1, 4), "I")
+    # without a watermark or a target, an increment takes everything up to its end
+    data["stock"] = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 9))], "id int, day date")
+    publish(spark.table("ctl.control").union(spark.createDataFrame([("stock", None, "I", "day", "transaccional")], control.CONTROL)), "ctl.control")
+    run(dt.datetime(2024, 1, 6, 14))
+    assert rows(spark.table("ctl.stock"), "id") == [(1,)] and state()[2] == ("stock", D(2024, 1, 1), "I")
     # one failing table does not keep the other from its load, and is reported
     del data["clients"]
     with pytest.raises(LoadError, match="clients"):

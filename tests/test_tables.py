@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
+from aljibe.errors import LoadError
 from aljibe.sinks import changes, tables
 
 D = dt.date
@@ -36,7 +37,7 @@ def test_publish_modes_and_empty_frames(spark, schema_name, rows):
     assert spark.table(table).count() == 1
     tables.append(spark.createDataFrame([("y", 3)], "b string, a int"), table)
     assert rows(spark.table(table)) == [(2, None), (3, "y")]
-    tables.publish(spark.table(table).select("a").where("false").transform(tables.staged), table)
+    tables.publish(spark.table(table).select("a").where("false"), table)
     assert spark.table(table).columns == ["a"] and spark.table(table).count() == 0
     with pytest.raises(ValueError):
         tables.publish(spark.range(1), table, "other")
@@ -50,13 +51,25 @@ def test_append_to_a_partitioned_table(spark, schema_name, rows):
     assert rows(spark.table(table)) == [(1, D(2024, 1, 1)), (2, D(2024, 1, 2))]
 
 
-def test_republish_reads_its_own_target(spark, schema_name, rows):
+def test_publish_may_read_its_own_target(spark, schema_name, rows):
     table = f"{schema_name}.t"
-    tables.publish(spark.createDataFrame([(1,), (2,)], "a int"), table)
-    tables.republish(spark.table(table).withColumn("a", F.col("a") * 10), table)
+    assert tables.publish(spark.createDataFrame([(1,), (2,)], "a int"), table) == 2
+    assert tables.publish(spark.table(table).withColumn("a", F.col("a") * 10), table) == 2
     assert rows(spark.table(table)) == [(10,), (20,)]
 
 
+@pytest.mark.parametrize("partitioned_by", [(), ("a",)])
+def test_a_failed_publish_leaves_the_table(spark, schema_name, rows, partitioned_by):
+    table = f"{schema_name}.t"
+    good = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
+    tables.publish(good, table, partitioned_by=partitioned_by)
+    bad = good.withColumn("b", F.when(F.col("a") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("b")))
+    with pytest.raises(Exception, match="no"):
+        tables.publish(bad, table, partitioned_by=partitioned_by)
+    assert rows(spark.table(table), "a", "b") == [(1, "x"), (2, "y")]
+    assert [t.name for t in spark.catalog.listTables(schema_name)] == ["t"]
+
+
 def test_write_typed(spark, schema_name, rows):
     schema = StructType([StructField("id", LongType()), StructField("day", DateType()), StructField("note", StringType())])
     df = spark.createDataFrame([("1", "2024-01-01")], "id string, day string")
@@ -88,6 +101,14 @@ def test_upsert(spark, schema_name, rows):
         assert rows(spark.table(table)) == [("a", 1, "F", "kept"), ("b", 20, "I", "kept"), ("c", 30, "I", None)]
 
 
+def test_upsert_rejects_a_key_with_two_updates(spark, schema_name, rows):
+    table = f"{schema_name}.control"
+    tables.publish(spark.createDataFrame([("a", 1)], "name string, mark int"), table)
+    with pytest.raises(LoadError, match="several updates"):
+        changes.upsert(spark, spark.createDataFrame([("a", 2), ("a", 3)], "name string, mark int"), table, ["name"])
+    assert rows(spark.table(table)) == [("a", 1)]
+
+
 def test_upsert_may_set_null(spark, rows):
     target = spark.createDataFrame([("a", 1)], "name string, mark int")
     updates = spark.createDataFrame([("a", None), (None, 7)], "name string, mark int")
