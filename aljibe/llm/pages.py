@@ -27,9 +27,13 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 #: Containers that are never main text, by tag and by word of class, id or role.
 BOILER_TAGS = frozenset("head nav footer aside form button menu dialog fieldset".split())
 BOILER_WORDS = frozenset(
-    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer header login masthead "
-    "menu modal nav navbar navigation newsletter notice notification pagination popup promo promotion recommended related reply replies respond search share sharing "
-    "sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget complementary".split())
+    "ad ads alert announcement banner complementary consent contentinfo dialog disqus gdpr header login masthead menu modal nav navbar navigation notice notification "
+    "overlay pager pagination popup promo promotion recommended related reply replies respond search share sharing sidenav signup social subscribe subscription teaser "
+    "toast toolbar topbar trending widget".split())
+BOILER_STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "newsletter", "sidebar", "sponsor")
+#: What an ``article`` must be called to be none, and words that say that an element merely stands beside a sidebar.
+NO_ARTICLE = frozenset("ad ads promo recommended related reply teaser trending".split())
+BESIDE = frozenset("container content has layout no with without wrapper".split())
 MAIN_WORDS = frozenset("articlebody main".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -205,8 +209,16 @@ def expression(wrapper: list) -> str:
 
 
 def is_boiler(name: str, inside_main: bool) -> bool:
-    tag, _, words = name.partition(".")
-    return tag in BOILER_TAGS or tag == "header" and not inside_main or not BOILER_WORDS.isdisjoint(words.split(".")) and tag not in ("body", "html", "article", "main")
+    """Whether an element with this label is never main text. A ``header`` inside an article may hold its title."""
+    tag, _, rest = name.partition(".")
+    if tag in BOILER_TAGS or tag == "header" and not inside_main:
+        return True
+    words = set(rest.split(".")) if rest and tag not in ("html", "body", "main") else set()
+    if "sidebar" in words and words & BESIDE:
+        words.discard("sidebar")
+    if any(word.startswith(BOILER_STARTS) for word in words):
+        return True
+    return not (NO_ARTICLE if tag == "article" else BOILER_WORDS).isdisjoint(words)
 
 
 def choose(wrapper: list) -> list:

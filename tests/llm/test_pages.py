@@ -53,6 +53,13 @@ def test_main_text_by_container_and_by_mass(spark, with_clashes):
     assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_boilerplate_by_name():
+    boiler = ["nav", "header", "div.ad", "div.header.page", "section.comments", "article.comment", "article.related", "div.commentlist", "p.notice", "div.sidebar", "ul.menu"]
+    text = ["div.content.sidebar.with", "article.post", "body.has.sidebar", "div.entry", "p", "main", "section.story"]
+    assert all(pages.is_boiler(n, False) for n in boiler) and not any(pages.is_boiler(n, False) for n in text)
+    assert not pages.is_boiler("header", True)
+
+
 @pytest.mark.parametrize("page", ["<", "<p", "</p></div>", "<a href='x>y", "<p a=\"" * 2000, "<div>" * 3000, "&#xD800; &#0; &bogus;", "<script>", "<!--", "<![CDATA[x", "<table><tr><td>a<td>b<tr><td>c</table>"])
 def test_broken_pages_do_not_stop(page):
     assert isinstance(pages.extract(page, pages.choose(pages.wrapper_of(pages.parse(page)))), str)
