@@ -35,6 +35,7 @@ BOILER_STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "newslet
 NO_ARTICLE = frozenset("ad ads promo recommended related reply teaser trending".split())
 BESIDE = frozenset("container content has layout no with without wrapper".split())
 MAIN_WORDS = frozenset("articlebody main".split())
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd figcaption".split())  # blocks, not containers
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)>|<[!?][^>]*(?:>|\Z)", re.S | re.I)
@@ -47,10 +48,10 @@ SALTS, HOSTS_AT_ONCE, LEAST_PAGES, DEEPEST = 32, 2000, 5, 150
 
 
 def label(tag: str, attributes: str) -> str:
-    """Tag with the words of its class, id, role and itemprop, without digits."""
+    """Tag with the words of its class, id, role and itemprop. Numbers, and digits of words with three or more, tell rows apart, not layouts."""
     if not attributes or "=" not in attributes:
         return tag
-    words = {w for found in NAMED.findall(attributes) for w in re.findall(r"[a-z]+", "".join(found).lower())}
+    words = {w for found in NAMED.findall(attributes) for w in re.findall(r"[a-z]+(?:\d{1,2}(?![\da-z]))?", "".join(found).lower())}
     return f"{tag}.{'.'.join(sorted(words))}" if words else tag
 
 
@@ -213,7 +214,7 @@ def is_boiler(name: str, inside_main: bool) -> bool:
     tag, _, rest = name.partition(".")
     if tag in BOILER_TAGS or tag == "header" and not inside_main:
         return True
-    words = set(rest.split(".")) if rest and tag not in ("html", "body", "main") else set()
+    words = {w.rstrip("0123456789") for w in rest.split(".")} if rest and tag not in ("html", "body", "main") else set()
     if "sidebar" in words and words & BESIDE:
         words.discard("sidebar")
     if any(word.startswith(BOILER_STARTS) for word in words):
@@ -259,7 +260,8 @@ def choose(wrapper: list) -> list:
             break
     node, whole = wrapper, mass(wrapper)
     while whole:
-        inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and not is_boiler(c[LABEL], False) and not c[FLAGS] & REPEATED and 10 * mass(c) >= 7 * whole]
+        inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and c[LABEL].partition(".")[0] not in LINES and not is_boiler(c[LABEL], False)
+                 and not c[FLAGS] & REPEATED and 10 * mass(c) >= 7 * whole]
         if not inner:
             break
         node = inner[0]

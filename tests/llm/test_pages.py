@@ -53,8 +53,19 @@ def test_main_text_by_container_and_by_mass(spark, with_clashes):
     assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_labels_keep_what_names_a_layout():
+    assert pages.label("div", ' class="c1 col-md-8" id=post-12345') == "div.c1.col.md.post"
+    assert pages.label("div", ' id="p7"') != pages.label("div", ' id="p8"') and pages.label("p", " hidden") == "p"
+
+
+def test_layouts_without_telling_names():
+    page = "<div class=c1><p>Welcome to our site</p></div><div class=c2><h1>Story {i}</h1><p>Once {i} upon a time there was a longer text than any other {i}</p></div><div class=c3><a href=x>Link {i}</a></div>"
+    texts = [page.format(i=i) for i in range(6)]
+    assert pages.extract(texts[4], pages.choose(wrapper(texts))) == "Story 4\n\nOnce 4 upon a time there was a longer text than any other 4"
+
+
 def test_boilerplate_by_name():
-    boiler = ["nav", "header", "div.ad", "div.header.page", "section.comments", "article.comment", "article.related", "div.commentlist", "p.notice", "div.sidebar", "ul.menu"]
+    boiler = ["nav", "header", "div.ad", "div.ad2", "div.header.page", "section.comments", "article.comment", "article.related", "div.commentlist", "p.notice", "div.sidebar", "ul.menu"]
     text = ["div.content.sidebar.with", "article.post", "body.has.sidebar", "div.entry", "p", "main", "section.story"]
     assert all(pages.is_boiler(n, False) for n in boiler) and not any(pages.is_boiler(n, False) for n in text)
     assert not pages.is_boiler("header", True)
