@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ END_ID = 1
 SENTENCE_PENALTY = 2.0  # a cut at the end of a sentence inside a document, in tokens of padding
 WORD_PENALTY = 16.0  # a cut inside a sentence
 CHUNK_TOKENS = 1 << 19
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_200_000
 ENDS = (".", "!", "?", "。")
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 BYTE_LETTERS = {}
@@ -40,7 +41,7 @@ class Words(dict):
 
     The tokenizer drops white space and never looks across it, so words can be encoded on their own. Words of Latin letters
     with an optional full stop or comma go straight to its merges; all others through the whole tokenizer.
-    ``sizes`` and ``stops`` hold the number of ids and whether a sentence may end here.
+    ``marks`` holds the number of ids, doubled, plus 1 if a sentence may end here.
     """
 
     def __init__(self, path: str):
@@ -53,8 +54,7 @@ class Words(dict):
         self.clear()
         self.parts.clear()
         self.ids: list[bytes] = []
-        self.sizes: list[int] = []
-        self.stops: list[bool] = []
+        self.marks = np.zeros(1 << 16, np.int32)
 
     def part(self, text: str) -> list[int]:
         found = self.parts.get(text)
@@ -71,9 +71,10 @@ class Words(dict):
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         at = self[raw] = len(self.ids)
-        self.ids.append(np.array(ids, "<u4").tobytes())
-        self.sizes.append(len(ids))
-        self.stops.append(word.endswith(ENDS))
+        if at == len(self.marks):
+            self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
+        self.ids.append(struct.pack(f"<{len(ids)}I", *ids))
+        self.marks[at] = 2 * len(ids) + word.endswith(ENDS)
         return at
 
 
@@ -89,17 +90,17 @@ def tokenized(text: bytes, known: Words) -> tuple[bytes, np.ndarray]:
     """
     if len(known) > CACHE_WORDS:
         known.forget()
-    at = [known[word] for word in text.split()]
-    sizes = np.fromiter(map(known.sizes.__getitem__, at), np.int64, len(at))
-    stops = np.fromiter(map(known.stops.__getitem__, at), bool, len(at))
-    return b"".join([known.ids[i] for i in at]), np.cumsum(sizes)[stops]
+    at = list(map(known.__getitem__, text.split()))
+    marks = known.marks[np.array(at, np.int64)]
+    return b"".join(map(known.ids.__getitem__, at)), np.cumsum(marks >> 1, dtype=np.int64)[marks & 1 == 1]
 
 
 def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> list[int]:
     """Positions to cut at: the cheapest way to a boundary at most ``length`` before the last one.
 
     ``boundaries`` are increasing positions after 0, at most ``length`` apart; ``penalties`` what a cut there costs. A window
-    of n tokens costs length - n tokens of padding, or nothing if n is a power of two. Dynamic programming: to reach position p
+    of n tokens costs length - n tokens of padding, or nothing if n is a power of two not below length / 8 (shorter
+    windows would save padding too, but litter). Dynamic programming: to reach position p
     from start s costs cost[s] + length - (p - s), so the best start has the least cost[s] + s and a monotone queue holds it;
     starts a power of two back are looked up.
     """
@@ -107,14 +108,14 @@ def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) ->
     n = len(at)
     place = np.full(int(at[-1]) + 1, -1, np.int64)
     place[at] = np.arange(n)
-    exact: dict[int, list[int]] = {}
+    exact: list[tuple[int, ...]] = [()] * n
     power = length
-    while power:
+    while power >= max(1, length >> 3):
         back = at - power
         hits = np.flatnonzero(back >= 0)
         hits = hits[place[back[hits]] >= 0]
         for j, i in zip(hits.tolist(), place[back[hits]].tolist()):
-            exact.setdefault(j, []).append(i)
+            exact[j] += (i,)
         power >>= 1
     position, extra = at.tolist(), [0.0, *penalties.tolist()]
     cost, best = [0.0] * n, [0] * n
@@ -125,7 +126,7 @@ def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) ->
             queue.popleft()
         low, start = queue[0]
         low += length - here
-        for i in exact.get(j, ()):
+        for i in exact[j]:
             if cost[i] < low:
                 low, start = cost[i], i
         low += extra[j]
