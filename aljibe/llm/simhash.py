@@ -161,7 +161,7 @@ def near_links(fps: DataFrame, bits: int = BITS, group: int = GROUP) -> DataFram
     if hot.isEmpty():
         dealt = rows.select(F.col("key").alias("bucket"), "ring", "fp")
     else:
-        keys = staged(_hot_keys(hot, bits))
+        keys = staged(_hot_keys(hot, bits, group))
         known = rows.join(keys, "key", "left")
         block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
         each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
@@ -184,7 +184,7 @@ def _base_counts(fps: DataFrame, bits: int) -> DataFrame:
     return fps.select(F.explode(F.array(*rows)).alias("base")).groupBy("base").agg(F.count(F.lit(1)).alias("members"))
 
 
-def _hot_keys(hot: DataFrame, bits: int) -> DataFrame:
+def _hot_keys(hot: DataFrame, bits: int, group: int) -> DataFrame:
     """Keys of crowded bases and the blocks they need. A key gathers two bases; the crowd of the larger one, twice, bounds it."""
     parts, rows, number = segments(bits), [], 0
     ring, base = F.shiftright("base", 48), F.col("base").bitwiseAND(F.lit((1 << 48) - 1))
@@ -194,7 +194,7 @@ def _hot_keys(hot: DataFrame, bits: int) -> DataFrame:
             rows.append(F.when(ring == start, key))
             number += 1
     keys = hot.select(F.explode(F.filter(F.array(*rows), lambda k: k.isNotNull())).alias("key"), "members")
-    return keys.groupBy("key").agg(F.ceil(2 * F.max("members") / F.lit(GROUP)).cast("bigint").alias("blocks"))
+    return keys.groupBy("key").agg(F.ceil(2 * F.max("members") / F.lit(group)).cast("bigint").alias("blocks"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
