@@ -30,8 +30,9 @@ def model():
 def test_unseen_endings_are_caught(model):
     dice = random.Random(2)
     kinds = [i % 2 == 0 for i in range(200)]
-    scores = model.scorer().score([text(dice, k, endings=ENDINGS[6:]) for k in kinds])
-    assert np.mean((scores >= 0.5) == kinds) > 0.95
+    scores, toxic = model.scorer().score([text(dice, k, endings=ENDINGS[6:]) for k in kinds]), np.array(kinds)
+    assert np.mean(scores[toxic][:, None] > scores[~toxic]) > 0.97  # pairs in the right order
+    assert np.mean(scores[~toxic] < 0.5) > 0.97
 
 
 def test_length_does_not_dilute_or_add_up(model):
@@ -48,8 +49,8 @@ def test_every_text_has_a_score(model):
 
 
 def test_grams_share_misspellings():
-    buckets, sizes = toxicity.grams(["grumblora", "grumblorra", "table"])
-    one, two, three = (set(part.tolist()) for part in np.split(buckets, np.cumsum(sizes)[:-1]))
+    buckets, owner = toxicity.grams(["grumblora", "grumblorra", "table"])
+    one, two, three = (set(buckets[owner == i].tolist()) for i in range(3))
     assert len(one & two) > 8 and len(one & three) < 2
 
 
