@@ -21,7 +21,7 @@ END_ID = 1
 SENTENCE_PENALTY = 2.0  # a cut at the end of a sentence inside a document, in tokens of padding
 WORD_PENALTY = 16.0  # a cut inside a sentence
 CHUNK_TOKENS = 1 << 19
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 500_000
 ENDS = (".", "!", "?", "。")
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 BYTE_LETTERS = {}
@@ -36,6 +36,10 @@ def byte_letters() -> dict[int, str]:
     return BYTE_LETTERS
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words(dict):
     """Word between ASCII white space -> index of its ids in ``ids``; filled when asked.
 
@@ -47,7 +51,7 @@ class Words(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -56,25 +60,25 @@ class Words(dict):
         self.ids: list[bytes] = []
         self.marks = np.zeros(1 << 16, np.int32)
 
-    def part(self, text: str) -> list[int]:
+    def part(self, text: str) -> bytes:
         found = self.parts.get(text)
         if found is None:
             letters = text if text.isascii() else text.encode().decode("latin-1").translate(byte_letters())
-            found = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            found = self.parts[text] = packed_ids([t.id for t in self.tokenizer.model.tokenize(letters)])
         return found
 
     def __missing__(self, raw: bytes) -> int:
         word = raw.decode()
         simple = SIMPLE.fullmatch(word)
         if simple:
-            ids = self.part(simple[1].lower()) + (self.part(simple[2]) if simple[2] else [])
+            ids = self.part(simple[1].lower()) + (self.part(simple[2]) if simple[2] else b"")
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
         at = self[raw] = len(self.ids)
         if at == len(self.marks):
             self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
-        self.ids.append(struct.pack(f"<{len(ids)}I", *ids))
-        self.marks[at] = 2 * len(ids) + word.endswith(ENDS)
+        self.ids.append(ids)
+        self.marks[at] = 2 * (len(ids) // 4) + word.endswith(ENDS)
         return at
 
 

@@ -14,16 +14,16 @@ from aljibe.llm.names import unused
 from aljibe.session import staged
 
 BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 17, 4, (3, 4, 5), 8
-SAMPLE_DOCS = {1: 2000, 0: 4000}  # labelled documents of each class that are learnt from, at most
+SAMPLE_DOCS = {1: 1500, 0: 3500}  # labelled documents of each class that are learnt from, at most
 SAMPLE_CHARS = 3_000  # longer documents are scored, but not learnt from
 ROUNDS, RATE, DECAY = 40, 0.12, 1e-6
-CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 3.0  # of any length up to this one
-CACHE_WORDS = 700_000
+CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 10.0  # of any length up to this one
+CACHE_WORDS = 250_000
 EDGES = ".,;:!?\"'()[]|"
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the character n-grams of all words and of the words themselves, borders marked; and how many each word has."""
+    """Buckets of the character n-grams of all words and of the words themselves, borders marked; and the word each belongs to."""
     marked = ["<" + (w.lower().strip(EDGES) or w)[:62] + ">" for w in words]
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
@@ -32,8 +32,8 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     mixed = (points + np.uint32(0x9E37)) * np.uint32(0x85EBCA6B)
     place = np.arange(len(points), dtype=np.uint32) - np.repeat(begin, sizes).astype(np.uint32)
     whole = np.add.reduceat((mixed ^ (mixed >> 13)) * (2 * place * place + 3 * place + 1), begin)
-    found, owners = [whole], [np.arange(len(words))]
-    owner, rolling = np.repeat(np.arange(len(words)), sizes), mixed.copy()
+    found, owners = [whole], [np.arange(len(words), dtype=np.int32)]
+    owner, rolling = np.repeat(owners[0], sizes), mixed.copy()
     for n in range(2, max(GRAMS) + 1):
         rolling = rolling[:-1] * np.uint32(0x01000193) ^ mixed[n - 1:] if len(rolling) > 1 else rolling[:0]
         if n in GRAMS:
@@ -42,9 +42,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             owners.append(owner[:len(rolling)][fits])
     hashed, owners = np.concatenate(found), np.concatenate(owners)
     hashed = (hashed ^ (hashed >> 15)) * np.uint32(0x2C1B3C6D)
-    buckets = ((hashed ^ (hashed >> 16)) % BUCKETS).astype(np.int64)
-    order = np.argsort(owners, kind="stable")
-    return buckets[order], np.bincount(owners, minlength=len(words))
+    return ((hashed ^ (hashed >> 16)) % BUCKETS).astype(np.int32), owners
 
 
 class Model:
@@ -70,29 +68,30 @@ class Model:
             own = [names.setdefault(w, len(names)) for w in text.split()] or [names.setdefault("", len(names))]
             words.append(np.array(own, np.int64))
             sizes.append(len(own))
-        parts, bag_sizes = grams(list(names))
-        owner = np.repeat(np.arange(len(names)), bag_sizes)
+        listed, step = list(names), 50_000
+        bags = [grams(listed[at:at + step]) for at in range(0, len(listed), step)]
+        parts = np.concatenate([bag for bag, _ in bags])
+        owner = np.concatenate([of + np.int32(i * step) for i, (_, of) in enumerate(bags)])
+        del bags
+        bag_sizes = np.bincount(owner)
         words, (starts, lengths, text_starts) = np.concatenate(words), window_bounds(np.array(sizes))
         once = first_of_run(words, starts[text_starts])
         of_window = np.repeat(np.arange(len(starts)), lengths)
         of_text = np.repeat(np.arange(len(texts)), np.diff(np.append(text_starts, len(starts))))
         want = toxic.astype(np.float64)
-        used, parts = np.unique(parts, return_inverse=True)
-        vectors = self.embeddings[used]
-        model = [vectors, self.weights, self.bias]
+        model = [self.embeddings, self.weights, self.bias]
         first, second = [np.zeros_like(x) for x in model], [np.zeros_like(x) for x in model]
-        edges = np.concatenate([[0], np.cumsum(bag_sizes)[:-1]])
         for step in range(1, rounds + 1):
             vectors, w, b = model
             direction = w[:, 1] - w[:, 0]
             of_parts = vectors @ direction  # averaging is linear: the dot products of buckets are averaged instead of their vectors
-            of_words = np.add.reduceat(of_parts[parts], edges) / bag_sizes
+            of_words = added_up(owner, of_parts, parts, len(names)) / bag_sizes
             logit = np.add.reduceat(of_words[words] * once, starts) / WINDOW + (b[1] - b[0])
             chance = 1 / (1 + np.exp(-np.clip(logit, -30, 15)))
             whole = -np.expm1(np.add.reduceat(np.log1p(-chance), text_starts))
             pull = chance * (1 - want / np.maximum(whole, 1e-9))[of_text] / len(texts)
             per_word = np.bincount(words, (pull / WINDOW)[of_window] * once, len(names)) / bag_sizes
-            slope_parts = np.bincount(parts, per_word[owner], len(used)).astype(np.float32)
+            slope_parts = added_up(parts, per_word, owner, BUCKETS).astype(np.float32)
             slope_w = slope_parts @ vectors
             slopes = [slope_parts[:, None] * direction + DECAY * vectors, np.stack([-slope_w, slope_w], 1) + DECAY * w,
                       np.array([-pull.sum(), pull.sum()], np.float32)]
@@ -100,8 +99,8 @@ class Model:
                 first[i] = 0.9 * first[i] + 0.1 * slope
                 second[i] = 0.99 * second[i] + 0.01 * slope ** 2
                 model[i] = model[i] - RATE * (first[i] / (1 - 0.9 ** step)) / (np.sqrt(second[i] / (1 - 0.99 ** step)) + 1e-8)
-        self.embeddings[:] = 0  # what no text has shown says nothing
-        self.embeddings[used], self.weights, self.bias = model
+        self.embeddings, self.weights, self.bias = model
+        self.embeddings[np.bincount(parts, minlength=BUCKETS) == 0] = 0  # what no text has shown says nothing
         return self
 
     def calibrate(self, texts: list[str], toxic: np.ndarray) -> Model:
@@ -112,7 +111,7 @@ class Model:
             limits = np.concatenate([[edges[0] - 1], (edges[1:] + edges[:-1]) / 2, [edges[-1] + 1]])
             wrong = np.array([np.mean(logits[toxic] < limit) + CLEAN_WEIGHT * np.mean(logits[~toxic] >= limit) for limit in limits])
             best = limits[wrong <= wrong.min() + 1e-9]
-            self.bias[1] -= (best[0] + best[-1]) / 2
+            self.bias[1] = min(self.bias[1] - (best[0] + best[-1]) / 2, self.bias[0] - 0.5)  # no words, not toxic
         return self
 
     def scorer(self) -> Scorer:
@@ -129,6 +128,14 @@ def window_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return starts, lengths, text_starts
 
 
+def added_up(groups: np.ndarray, values: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
+    """Sums of ``values[at]`` per group, in slices that keep copies small."""
+    out, step = np.zeros(count), 1 << 21
+    for i in range(0, len(groups), step):
+        out += np.bincount(groups[i:i + step], values[at[i:i + step]], count)
+    return out
+
+
 def first_of_run(words: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     """1 for each word but 0 where it repeats the word before it in its text: a repeated word counts once."""
     once = np.ones(len(words), np.float32)
@@ -155,8 +162,8 @@ class Scorer(dict):
             new = list(words)
         for at in range(0, len(new), 100_000):
             part = new[at:at + 100_000]
-            buckets, sizes = grams(part)
-            values = np.add.reduceat(self.buckets[buckets], np.cumsum(sizes) - sizes) / sizes
+            buckets, owner = grams(part)
+            values = np.bincount(owner, self.buckets[buckets], len(part)) / np.bincount(owner, minlength=len(part))
             self.update(zip(part, values.tolist()))
 
     def logits(self, texts: list[str]) -> np.ndarray:
