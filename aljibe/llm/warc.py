@@ -87,12 +87,14 @@ def frames(archive: bytes) -> Iterator[bytes]:
 def train_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> bytes:
     """Dictionary built from the first SAMPLE_BYTES bytes of SAMPLE_RECORDS records, chosen by the hash of their id.
 
-    Runs a job. The sample bounds what the driver gets (4 MB); it only affects the size of the archives.
-    Empty if there is too little to learn from.
+    Runs jobs. Rows are first thinned out by the hash to a few times the sample, so that tasks send the driver little
+    more than it needs (4 MB). The sample only affects the size of the archives. Empty if there is too little to learn from.
     """
-    chosen = (pages.select(F.xxhash64(id_col, F.length(html_col)).alias("at"), F.col(id_col).alias("page_id"),
-                           F.substring(F.encode(html_col, "UTF-8"), 1, SAMPLE_BYTES).alias("start"))
-              .filter(F.octet_length("start") > 0).orderBy("at", "page_id").limit(SAMPLE_RECORDS).collect())
+    share = min(1.0, 8 * SAMPLE_RECORDS / max(1, pages.count()))
+    hashed = F.xxhash64(id_col, F.length(html_col))
+    chosen = (pages.select(hashed.alias("at"), F.col(id_col).alias("page_id"), F.substring(F.encode(html_col, "UTF-8"), 1, SAMPLE_BYTES).alias("start"))
+              .filter((F.pmod("at", F.lit(1 << 30)) < int(share * (1 << 30))) & (F.octet_length("start") > 0))
+              .orderBy("at", "page_id").limit(SAMPLE_RECORDS).collect())
     samples = [record(r.page_id, None, bytes(r.start), None) for r in chosen]
     if sum(map(len, samples)) < 16 * 1024 or len(samples) < 8:
         return b""
