@@ -81,7 +81,8 @@ def fresh_index(spark: SparkSession, buckets: int = 16) -> DigestIndex:
 def without_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose text nobody else stands for, all columns as they are. Runs jobs.
 
-    Only the ids that go are joined. Of rows that repeat a kept id and text one stays.
+    Only the ids that go are joined, by sort-merge at every size: their list grows with the documents. Of rows that repeat
+    a kept id and text one stays.
     """
     marked = staged(index.deduplicate(docs, id_col, text_col))
     key, digest = F.col(id_col).cast("bigint"), F.sha2(normalised(F.col(text_col)), 256)
@@ -91,7 +92,7 @@ def without_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     again = staged(marked.filter(F.col("kept") & F.col("doc_id").isNotNull() & (F.col("keep_rows") > 1)).select(*names).distinct())
     nameless = staged(marked.filter(F.col("kept") & F.col("doc_id").isNull()).select(*names).distinct())
     same = (key == F.col(a)) & (digest == F.col(b))
-    kept = docs.filter(key.isNotNull()).join(gone, same, "left_anti")
+    kept = docs.filter(key.isNotNull()).join(gone.hint("merge"), same, "left_anti")
     if not again.isEmpty():
         twice = kept.join(again, same, "left_semi").withColumn(b, digest).dropDuplicates([id_col, b]).drop(b)
         kept = kept.join(again, same, "left_anti").unionByName(twice)
