@@ -14,10 +14,10 @@ from aljibe.llm.names import unused
 from aljibe.session import staged
 
 BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 17, 4, (3, 4, 5), 8
-SAMPLE_DOCS = {1: 1500, 0: 3500}  # labelled documents of each class that are learnt from, at most
+SAMPLE_DOCS = {1: 2000, 0: 4000}  # labelled documents of each class that are learnt from, at most
 SAMPLE_CHARS = 3_000  # longer documents are scored, but not learnt from
 ROUNDS, RATE, DECAY = 40, 0.12, 1e-6
-CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 10.0  # of any length up to this one
+CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 3.0  # of any length up to this one
 CACHE_WORDS = 250_000
 EDGES = ".,;:!?\"'()[]|"
 
@@ -66,7 +66,7 @@ class Model:
         words, sizes = [], []
         for text in texts:
             own = [names.setdefault(w, len(names)) for w in text.split()] or [names.setdefault("", len(names))]
-            words.append(np.array(own, np.int64))
+            words.append(np.array(own, np.int32))
             sizes.append(len(own))
         listed, step = list(names), 50_000
         bags = [grams(listed[at:at + step]) for at in range(0, len(listed), step)]
@@ -76,7 +76,7 @@ class Model:
         bag_sizes = np.bincount(owner)
         words, (starts, lengths, text_starts) = np.concatenate(words), window_bounds(np.array(sizes))
         once = first_of_run(words, starts[text_starts])
-        of_window = np.repeat(np.arange(len(starts)), lengths)
+        of_window = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)
         of_text = np.repeat(np.arange(len(texts)), np.diff(np.append(text_starts, len(starts))))
         want = toxic.astype(np.float64)
         model = [self.embeddings, self.weights, self.bias]
@@ -106,7 +106,8 @@ class Model:
     def calibrate(self, texts: list[str], toxic: np.ndarray) -> Model:
         """Move the bias so that 0.5 tells texts apart best that were not learnt from; a clean text called toxic counts CLEAN_WEIGHT times."""
         if toxic.any() and not toxic.all():
-            logits = self.scorer().logits(texts)
+            scorer = self.scorer()
+            logits = np.concatenate([scorer.logits(part) for part in slices(texts)])
             edges = np.unique(logits)
             limits = np.concatenate([[edges[0] - 1], (edges[1:] + edges[:-1]) / 2, [edges[-1] + 1]])
             wrong = np.array([np.mean(logits[toxic] < limit) + CLEAN_WEIGHT * np.mean(logits[~toxic] >= limit) for limit in limits])
@@ -128,6 +129,18 @@ def window_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return starts, lengths, text_starts
 
 
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, a few million characters at a time, or one long text."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) < 1 << 21):
+            size += len(texts[stop])
+            stop += 1
+        yield texts[at:stop]
+        at = stop
+
+
 def added_up(groups: np.ndarray, values: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
     """Sums of ``values[at]`` per group, in slices that keep copies small."""
     out, step = np.zeros(count), 1 << 21
@@ -145,7 +158,11 @@ def first_of_run(words: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 
 
 class Scorer(dict):
-    """Word -> what it adds to the logit, from the average of its n-gram vectors; words are added as texts bring them."""
+    """Word -> what it adds to the logit, from the average of its n-gram vectors; words are added as texts bring them.
+
+    N-grams that no learnt text has shown are left out of the average as long as half of the word's are known: an unseen
+    ending does not weaken a known stem, and a single known n-gram does not stand for a whole word.
+    """
 
     def __init__(self, buckets: np.ndarray, bias: float):
         super().__init__()
@@ -163,7 +180,9 @@ class Scorer(dict):
         for at in range(0, len(new), 100_000):
             part = new[at:at + 100_000]
             buckets, owner = grams(part)
-            values = np.bincount(owner, self.buckets[buckets], len(part)) / np.bincount(owner, minlength=len(part))
+            told, size = self.buckets[buckets], np.bincount(owner, minlength=len(part))
+            shown = np.bincount(owner, told != 0, len(part))
+            values = np.bincount(owner, told, len(part)) / np.maximum(shown, size / 2)
             self.update(zip(part, values.tolist()))
 
     def logits(self, texts: list[str]) -> np.ndarray:
@@ -221,14 +240,7 @@ def score_column(model: Model, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            out, whole, at = [], texts.tolist(), 0
-            while at < len(whole):  # a slice holds a few million characters, or one long text
-                stop, size = at, 0
-                while stop < len(whole) and (stop == at or size + len(whole[stop]) < 1 << 21):
-                    size += len(whole[stop])
-                    stop += 1
-                out.append(shared.score(whole[at:stop]))
-                at = stop
+            out = [shared.score(part) for part in slices(texts.tolist())]
             yield pd.Series(np.concatenate(out) if out else np.empty(0))
 
     return score(F.coalesce(text, F.lit("")))

@@ -35,6 +35,13 @@ def test_unseen_endings_are_caught(model):
     assert np.mean(scores[~toxic] < 0.5) > 0.97
 
 
+def test_unseen_endings_are_predicted(model):
+    dice = random.Random(2)
+    kinds = np.array([i % 2 == 0 for i in range(200)])
+    predicted = model.scorer().score([text(dice, k, endings=ENDINGS[6:]) for k in kinds]) >= 0.5
+    assert np.mean(predicted == kinds) > 0.95 and np.mean(predicted[kinds]) > 0.9
+
+
 def test_length_does_not_dilute_or_add_up(model):
     dice = random.Random(3)
     long = text(dice, False, 20_000)
