@@ -19,12 +19,27 @@ SAMPLE_CHARS = 3_000  # longer documents are scored, but not learnt from
 ROUNDS, RATE, DECAY = 40, 0.12, 1e-6
 CALIBRATION_DOCS, CALIBRATION_CHARS, CLEAN_WEIGHT = {1: 400, 0: 2000}, 40_000, 3.0  # of any length up to this one
 CACHE_WORDS = 250_000
+LONGEST, PIECE = 62, 16  # longer strings without white space are read as pieces that overlap by half
 EDGES = ".,;:!?\"'()[]|"
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text; each of the overlapping pieces of a string of more than LONGEST characters is one, so that every character counts."""
+    found = text.split()
+    if max(map(len, found), default=0) <= LONGEST:
+        return found or [""]
+    out: list[str] = []
+    for word in found:
+        if len(word) <= LONGEST:
+            out.append(word)
+        else:
+            out += [word[at:at + PIECE] for at in range(0, len(word) - PIECE // 2, PIECE // 2)]
+    return out or [""]
+
+
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the character n-grams of all words and of the words themselves, borders marked; and the word each belongs to."""
-    marked = ["<" + (w.lower().strip(EDGES) or w)[:62] + ">" for w in words]
+    marked = ["<" + (w.lower().strip(EDGES) or w) + ">" for w in words]
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     begin = np.cumsum(sizes) - sizes
@@ -57,15 +72,15 @@ class Model:
     def fit(self, texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS) -> Model:
         """Gradient descent (Adam) over all texts in each round.
 
-        The vectors of the n-grams of a word are averaged, the vectors of WINDOW words too (a short last window is filled with
-        zeros); the softmax gives each window a probability, and a text is toxic if any window is: long texts do not dilute a few words.
+        The vectors of the n-grams of a word are averaged, the vectors of WINDOW words too (windows overlap by half, a short last
+        one is filled with zeros); the softmax gives each window a probability, and a text is toxic if any window is: long texts do not dilute a few words.
         """
         if not toxic.any() or toxic.all():
             return self
         names: dict[str, int] = {}
         words, sizes = [], []
         for text in texts:
-            own = [names.setdefault(w, len(names)) for w in text.split()] or [names.setdefault("", len(names))]
+            own = [names.setdefault(w, len(names)) for w in words_of(text)]
             words.append(np.array(own, np.int32))
             sizes.append(len(own))
         listed, step = list(names), 50_000
@@ -74,10 +89,11 @@ class Model:
         owner = np.concatenate([of + np.int32(i * step) for i, (_, of) in enumerate(bags)])
         del bags
         bag_sizes = np.bincount(owner)
-        words, (starts, lengths, text_starts) = np.concatenate(words), window_bounds(np.array(sizes))
-        once = first_of_run(words, starts[text_starts])
-        of_window = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)
-        of_text = np.repeat(np.arange(len(texts)), np.diff(np.append(text_starts, len(starts))))
+        sizes = np.array(sizes)
+        words, (starts, left, right, text_starts) = np.concatenate(words), window_bounds(sizes)
+        once = first_of_run(words, np.cumsum(sizes) - sizes)
+        of_half = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(words))))
+        of_text = np.repeat(np.arange(len(texts)), np.diff(np.append(text_starts, len(left))))
         want = toxic.astype(np.float64)
         model = [self.embeddings, self.weights, self.bias]
         first, second = [np.zeros_like(x) for x in model], [np.zeros_like(x) for x in model]
@@ -86,11 +102,12 @@ class Model:
             direction = w[:, 1] - w[:, 0]
             of_parts = vectors @ direction  # averaging is linear: the dot products of buckets are averaged instead of their vectors
             of_words = added_up(owner, of_parts, parts, len(names)) / bag_sizes
-            logit = np.add.reduceat(of_words[words] * once, starts) / WINDOW + (b[1] - b[0])
+            logit = window_sums(of_words[words] * once, starts, left, right) / WINDOW + (b[1] - b[0])
             chance = 1 / (1 + np.exp(-np.clip(logit, -30, 15)))
             whole = -np.expm1(np.add.reduceat(np.log1p(-chance), text_starts))
             pull = chance * (1 - want / np.maximum(whole, 1e-9))[of_text] / len(texts)
-            per_word = np.bincount(words, (pull / WINDOW)[of_window] * once, len(names)) / bag_sizes
+            both = np.bincount(left, pull, len(starts)) + np.bincount(right[right >= 0], pull[right >= 0], len(starts))
+            per_word = np.bincount(words, (both / WINDOW)[of_half] * once, len(names)) / bag_sizes
             slope_parts = added_up(parts, per_word, owner, BUCKETS).astype(np.float32)
             slope_w = slope_parts @ vectors
             slopes = [slope_parts[:, None] * direction + DECAY * vectors, np.stack([-slope_w, slope_w], 1) + DECAY * w,
@@ -119,14 +136,27 @@ class Model:
         return Scorer(self.embeddings @ (self.weights[:, 1] - self.weights[:, 0]), float(self.bias[1] - self.bias[0]))
 
 
-def window_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and lengths of the windows of texts of so many words (at least 1 each), and the first window of each text."""
-    counts = -(-sizes // WINDOW)
-    text_starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    within = np.arange(counts.sum()) - np.repeat(text_starts, counts)
-    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + within * WINDOW
-    lengths = np.diff(np.append(starts, sizes.sum()))
-    return starts, lengths, text_starts
+def window_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that overlap by half, of texts of so many words (at least 1 each).
+
+    Gives the starts of the half windows; the left and the right half of each window (-1 where a text has one half only); and the first
+    window of each text.
+    """
+    half = WINDOW // 2
+    halves = -(-sizes // half)
+    first = np.cumsum(halves) - halves
+    starts = np.repeat(np.cumsum(sizes) - sizes, halves) + (np.arange(halves.sum()) - np.repeat(first, halves)) * half
+    counts = np.maximum(halves - 1, 1)
+    text_starts = np.cumsum(counts) - counts
+    left = np.arange(counts.sum()) - np.repeat(text_starts - first, counts)
+    right = np.where(np.repeat(halves, counts) > 1, left + 1, -1)
+    return starts, left, right, text_starts
+
+
+def window_sums(values: np.ndarray, starts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sums of the values of the words of each window."""
+    halves = np.append(np.add.reduceat(values, starts), 0)  # the last one stands for a half that is not there
+    return halves[left] + halves[right]
 
 
 def slices(texts: list[str]) -> Iterator[list[str]]:
@@ -192,13 +222,14 @@ class Scorer(dict):
         """
         words, sizes = [], []
         for text in texts:
-            own = text.split() or [""]
+            own = words_of(text)
             words += own
             sizes.append(len(own))
         self.learn(set(words))
-        starts, _, text_starts = window_bounds(np.array(sizes))
+        sizes = np.array(sizes)
+        starts, left, right, text_starts = window_bounds(sizes)
         values = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
-        logit = np.add.reduceat(values * first_of_run(values, starts[text_starts]), starts) / WINDOW + self.bias
+        logit = window_sums(values * first_of_run(values, np.cumsum(sizes) - sizes), starts, left, right) / WINDOW + self.bias
         return np.maximum.reduceat(logit, text_starts)
 
     def score(self, texts: list[str]) -> np.ndarray:

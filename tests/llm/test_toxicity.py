@@ -49,6 +49,49 @@ def test_length_does_not_dilute_or_add_up(model):
     assert low < 0.5 <= high
 
 
+@pytest.mark.parametrize("glue", [",", "_", "/", "-"])
+def test_words_without_white_space_are_scored(model, glue):
+    dice = random.Random(5)
+    clean = [glue.join(text(dice, False, 40).split()) for _ in range(40)]
+    bad = [glue.join([c, dice.choice(STEMS) + "ra", dice.choice(STEMS) + "mi", c]) for c in clean]
+    low, high = model.scorer().logits(clean), model.scorer().logits(bad)
+    assert (high > low).all() and np.mean(high[:, None] > low) > 0.9
+    assert all(len(w) <= toxicity.LONGEST for c in bad for w in toxicity.words_of(c))
+
+
+def test_pieces_hold_every_character():
+    for size in (63, 64, 71, 72, 73, 1000):
+        whole = "".join(chr(0x4E00 + i) for i in range(size))
+        pieces = toxicity.words_of(f"a {whole} b")
+        assert pieces[0] == "a" and pieces[-1] == "b" and set("".join(pieces[1:-1])) == set(whole)
+        assert all(any(whole[i:i + 8] in p for p in pieces) for i in range(size - 7))
+    assert toxicity.words_of("a " + "x" * 62) == ["a", "x" * 62] and toxicity.words_of(" ") == [""]
+
+
+def test_verdicts_do_not_hang_on_window_borders(model):
+    clean, phrase = "river stone light paper".split(), ["grumblora", "snarfimi"]
+    for at in range(3, 40):
+        words = [clean[i % 4] for i in range(60)]
+        words[at:at] = phrase
+        starts, left, right, _ = toxicity.window_bounds(np.array([len(words)]))
+        sums = toxicity.window_sums(np.array([w in phrase for w in words], float), starts, left, right)
+        assert sums.max() == 2
+        assert model.scorer().score([" ".join(words)])[0] >= 0.5
+
+
+def test_windows_of_many_texts():
+    dice = random.Random(6)
+    sizes = np.array([dice.randint(1, 30) for _ in range(50)] + [1, 4, 5, 8, 9])
+    values = np.arange(sizes.sum(), dtype=float)
+    starts, left, right, text_starts = toxicity.window_bounds(sizes)
+    want, first, at = [], [], 0
+    for size in sizes.tolist():
+        first.append(len(want))
+        want += [values[at + i:at + min(i + 8, size)].sum() for i in range(0, max(size - 4, 1), 4)]
+        at += size
+    assert toxicity.window_sums(values, starts, left, right).tolist() == want and text_starts.tolist() == first
+
+
 def test_every_text_has_a_score(model):
     scores = model.scorer().score(["", " ", "\u00a0", "...", "x" * 100_000, "grumblon " * 5000])
     assert ((scores >= 0) & (scores <= 1)).all() and scores[0] < 0.5
