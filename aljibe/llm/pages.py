@@ -19,7 +19,9 @@ from aljibe.session import staged
 
 #: Tags inside a line of text; they do not end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark picture q rp rt ruby s samp small source "
-                   "span strike strong sub sup time tt u var wbr".split())
+                   "span strike strong sub sup time tt u var wbr "
+                   "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+                   "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base col hr input link meta param track embed".split())
 #: An opening tag closes open elements of these tags up to (not beyond) the containers.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -37,8 +39,10 @@ BESIDE = frozenset("container content has layout no with without wrapper".split(
 MAIN_WORDS = frozenset("articlebody main".split())
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd figcaption".split())  # blocks, not containers
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)>|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<svg\b[^>]*/>|<(script|style|noscript|template|svg|annotation|annotation-xml|iframe|object|canvas|video|audio|textarea|select)(?=[\s>/])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?![a-zA-Z0-9:-])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"  # a quote that is never closed ends with the tag
+    r"|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 TEXT = "#"
 #: Fields of a wrapper node. SEEN and PAGES count instances and pages, SAME is the checksum of a text that never differs.
@@ -73,24 +77,27 @@ def parse(page: str) -> list:
             buffer.clear()
         linked = 0
 
+    unfinished = page.find("<", page.rfind(">") + 1)
+    if unfinished >= 0:  # no tag ends after the last ">"
+        page = page[:unfinished]
     for token in TOKEN.finditer(page):
         start = token.start()
         if start > at:
             buffer.append(page[at:start])
             linked += (start - at) * in_link
         at = token.end()
-        tag = token[3]
+        closing, tag, attributes = (token[2], token[3], token[4]) if token[3] else (token[5], token[6], token[7])
         if tag is None:
             continue
         tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = not token[2]
+                in_link = not closing
             elif tag == "br":
                 buffer.append(" ")
             continue
         end_text()
-        if token[2]:
+        if closing:
             if flat.get(tag):
                 flat[tag] -= 1
             elif tag in tags:
@@ -112,13 +119,13 @@ def parse(page: str) -> list:
         if len(tags) > DEEPEST:
             flat[tag] = flat.get(tag, 0) + (tag not in VOID)
             continue
-        node = [label(tag, token[4]), []]
+        node = [label(tag, attributes), []]
         stack[-1][1].append(node)
-        if tag not in VOID and not token[4].endswith("/"):
+        if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
             tags.append(tag)
     if at < len(page):
-        buffer.append(re.sub(r"<[^>]*\Z", "", page[at:]))
+        buffer.append(page[at:])
     end_text()
     return root
 

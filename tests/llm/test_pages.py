@@ -74,3 +74,25 @@ def test_boilerplate_by_name():
 @pytest.mark.parametrize("page", ["<", "<p", "</p></div>", "<a href='x>y", "<p a=\"" * 2000, "<div>" * 3000, "&#xD800; &#0; &bogus;", "<script>", "<!--", "<![CDATA[x", "<table><tr><td>a<td>b<tr><td>c</table>"])
 def test_broken_pages_do_not_stop(page):
     assert isinstance(pages.extract(page, pages.choose(pages.wrapper_of(pages.parse(page)))), str)
+
+
+def text_of(page):
+    return pages.extract(page, pages.choose(pages.wrapper_of(pages.parse(page))))
+
+
+@pytest.mark.parametrize("size", [10, 4001, 300_000])
+def test_long_attributes_are_part_of_their_tag(size):
+    value = "a>" * (size // 2)
+    page = f"""<body><article><h1>Title</h1><p>one<img src="data:image/png;base64,{value}"> two</p><div data-state='{value}'><p>three</p></div><p>four</p></article><footer>no</footer>"""
+    assert text_of(page) == "Title\n\none two\n\nthree\n\nfour"
+
+
+def test_an_unclosed_quote_ends_with_its_tag():
+    assert text_of('<article><p title="x>one</p><p>two</p></article>') == "one\n\ntwo"
+    assert text_of("<article><p title='x>one</p><p>it\u2019s \"two\"</p></article>") == 'one\n\nit\u2019s "two"'
+
+
+def test_self_closed_pictures_and_formulas():
+    assert text_of('<article><p>a<svg class="i" /> b</p><p>c<svg><path/></svg>d</p></article>') == "a b\n\ncd"
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math>"
+    assert text_of(f"<article><p>so {formula} holds<math /></p><p>more</p></article>") == "so x=1 holds\n\nmore"
