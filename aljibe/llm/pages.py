@@ -36,6 +36,10 @@ BOILER_STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "newslet
 #: What an ``article`` must be called to be none, and words that say that an element merely stands beside a sidebar.
 NO_ARTICLE = frozenset("ad ads promo recommended related reply teaser trending".split())
 BESIDE = frozenset("container content has layout no with without wrapper".split())
+ENTRY, HEADINGS = frozenset("article entry post story".split()), frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What an element with most of the text of a page is still boilerplate for.
+NEVER = frozenset("head nav footer aside button menu dialog".split())
+TALK = ("comment", "disqus", "reply", "replies", "respond")
 MAIN_WORDS = frozenset("articlebody main".split())
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd figcaption".split())  # blocks, not containers
 TOKEN = re.compile(
@@ -43,7 +47,12 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?![a-zA-Z0-9:-])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"  # a quote that is never closed ends with the tag
     r"|<[!?][^>]*(?:>|\Z)", re.S | re.I)
-NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NAMED = re.compile(r"(?<![^\s\"'/])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\"[^\"]*\"|'[^']*'", re.I)
+WORD = re.compile(r"[a-z]+(?:\d{1,2}(?![\da-z]))?")
+#: First words of class names that say what an element has or lacks, and words that stand beside a boilerplate word in the id of a layout element.
+STATES = frozenset("has is no not with without".split())
+LAYOUT = frozenset("area bar block bottom box button buttons container content form inner left link links list main outer page panel primary right secondary section "
+                   "site slot top unit widget widgets wrap wrapper".split())
 TEXT = "#"
 #: Fields of a wrapper node. SEEN and PAGES count instances and pages, SAME is the checksum of a text that never differs.
 LABEL, FLAGS, CHILDREN, SEEN, CHARS, LINKED, SAME, PAGES = range(8)
@@ -55,10 +64,24 @@ def label(tag: str, attributes: str) -> str:
     """Tag with the words of its class, id, role and itemprop. Numbers, and digits of words with three or more, tell rows apart, not layouts."""
     if not attributes or "=" not in attributes:
         return tag
-    words = {w for found in NAMED.findall(attributes) for w in re.findall(r"[a-z]+(?:\d{1,2}(?![\da-z]))?", "".join(found).lower())}
+    words: set[str] = set()
+    for name, *values in NAMED.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        for token in [value] if name == "id" else value.split():
+            own = WORD.findall(token)
+            names = {w for w in own if is_name(w)}
+            if names and own[0] in STATES or name == "id" and not all(w in names or w.rstrip("0123456789") in LAYOUT for w in own):
+                own = [w for w in own if w not in names]  # a state, or the slug of a title
+            words.update(own)
     return f"{tag}.{'.'.join(sorted(words))}" if words else tag
 
 
+def is_name(word: str) -> bool:
+    """Whether a word of a class, id or role names boilerplate."""
+    word = word.rstrip("0123456789")
+    return word in BOILER_WORDS or word.startswith(BOILER_STARTS) and not word.startswith("commentar")
+
+
 def parse(page: str) -> list:
     """Tree of a page: [label, children]; a text is [TEXT, text, characters inside links]. Missing end tags are implied.
 
@@ -224,30 +247,46 @@ def is_boiler(name: str, inside_main: bool) -> bool:
     words = {w.rstrip("0123456789") for w in rest.split(".")} if rest and tag not in ("html", "body", "main") else set()
     if "sidebar" in words and words & BESIDE:
         words.discard("sidebar")
-    if any(word.startswith(BOILER_STARTS) for word in words):
-        return True
-    return not (NO_ARTICLE if tag == "article" else BOILER_WORDS).isdisjoint(words)
+    if inside_main or words & ENTRY:
+        words.discard("header")
+    if tag in HEADINGS:
+        return False
+    if tag == "article":
+        return any(is_name(w) and w not in BOILER_WORDS for w in words) or not NO_ARTICLE.isdisjoint(words)
+    return any(map(is_name, words))
 
 
 def choose(wrapper: list) -> list:
     """Mark the slots of main text and return the wrapper.
 
-    Boilerplate containers are left out. What is left of ``article`` elements is main text (KEPT), without any, of ``main`` elements.
+    Boilerplate containers are left out, unless they hold most of the text outside links (a page-wide form). What is left of ``article`` elements is main text (KEPT), without any, of ``main`` elements.
     For pages that have neither, the smallest element that holds most of the text of the other slots that
     differ between pages and are not links is main text (SPARE).
     """
-    pages = wrapper[PAGES]
+    pages, texts = wrapper[PAGES], {}
+
+    def weigh(node: list) -> int:
+        texts[id(node)] = node[CHARS] - node[LINKED] if node[LABEL] == TEXT else sum(map(weigh, node[CHILDREN]))
+        return texts[id(node)]
+
+    weigh(wrapper)
+
+    def boiler(node: list, within: bool) -> bool:
+        if not is_boiler(node[LABEL], within):
+            return False
+        tag, _, rest = node[LABEL].partition(".")
+        return tag in NEVER or any(w.startswith(TALK) for w in rest.split(".")) or 2 * texts[id(node)] <= texts[id(wrapper)]
 
     def slots(node: list, within: bool) -> Iterator[list]:
         for child in node[CHILDREN]:
             if child[LABEL] == TEXT:
                 yield child
-            elif not is_boiler(child[LABEL], within):
+            elif not boiler(child, within):
                 yield from slots(child, within)
 
     def holders(node: list, fits) -> Iterator[list]:
         for child in node[CHILDREN]:
-            if child[LABEL] != TEXT and not is_boiler(child[LABEL], False):
+            if child[LABEL] != TEXT and not boiler(child, False):
                 if fits(child[LABEL]):
                     yield child
                 else:
@@ -267,7 +306,7 @@ def choose(wrapper: list) -> list:
             break
     node, whole = wrapper, mass(wrapper)
     while whole:
-        inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and c[LABEL].partition(".")[0] not in LINES and not is_boiler(c[LABEL], False)
+        inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and c[LABEL].partition(".")[0] not in LINES and not boiler(c, False)
                  and not c[FLAGS] & REPEATED and 10 * mass(c) >= 7 * whole]
         if not inner:
             break

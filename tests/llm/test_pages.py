@@ -96,3 +96,18 @@ def test_self_closed_pictures_and_formulas():
     assert text_of('<article><p>a<svg class="i" /> b</p><p>c<svg><path/></svg>d</p></article>') == "a b\n\ncd"
     formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math>"
     assert text_of(f"<article><p>so {formula} holds<math /></p><p>more</p></article>") == "so x=1 holds\n\nmore"
+
+
+def test_titles_and_sections_named_like_boilerplate_stay():
+    page = """<body class="has-sidebar"><header class="site-header"><p>Site</p></header><div class="has-banner no-comments"><article><header class="entry-header"><h1 class="header">Title</h1></header>
+    <h2 id="related-work">Related work</h2><section id="search-algorithms"><p>one</p></section><section id="social-policy"><p>two</p></section>
+    <div class="commentary"><p>three</p></div><div class="share-bar"><p>Share</p></div><section id="comments"><p>me too</p></section><div id="search-box"><p>Find</p></div></article></div></body>"""
+    assert text_of(page) == "Title\n\nRelated work\n\none\n\ntwo\n\nthree"
+
+
+def test_a_form_around_the_page():
+    page = """<body><form id="aspnetForm" method="post"><div class="nav"><p>menu</p></div>{}<div class="footer"><p>imprint</p></div></form></body>"""
+    body = "<h1>Title</h1><p>The text of the page is longer than all that stands around it</p>"
+    want = "Title\n\nThe text of the page is longer than all that stands around it"
+    assert text_of(page.format(f"<article>{body}</article>")) == text_of(page.format(f"<div id=main>{body}</div>")) == text_of(page.format(f"<div class=c1>{body}</div>")) == want
+    assert text_of(f"<article>{body}<form><p>Mail</p></form></article>") == want
