@@ -99,12 +99,12 @@ def tokenized(text: bytes, known: Words) -> tuple[bytes, np.ndarray]:
     return b"".join(map(known.ids.__getitem__, at)), np.cumsum(marks >> 1, dtype=np.int64)[marks & 1 == 1]
 
 
-def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> list[int]:
+def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH, shortest: int | None = None) -> list[int]:
     """Positions to cut at: the cheapest way to a boundary at most ``length`` before the last one.
 
     ``boundaries`` are increasing positions after 0, at most ``length`` apart; ``penalties`` what a cut there costs. A window
-    of n tokens costs length - n tokens of padding, or nothing if n is a power of two not below length / 8 (shorter
-    windows would save padding too, but litter). Dynamic programming: to reach position p
+    of n tokens costs length - n tokens of padding, or nothing if n is a power of two not below ``shortest`` (an eighth of
+    ``length`` if not given; 1 is the whole rule, by which ``packed`` cuts). Dynamic programming: to reach position p
     from start s costs cost[s] + length - (p - s), so the best start has the least cost[s] + s and a monotone queue holds it;
     starts a power of two back are looked up.
     """
@@ -112,15 +112,18 @@ def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) ->
     n = len(at)
     place = np.full(int(at[-1]) + 1, -1, np.int64)
     place[at] = np.arange(n)
-    exact: list[tuple[int, ...]] = [()] * n
-    power = length
-    while power >= max(1, length >> 3):
-        back = at - power
-        hits = np.flatnonzero(back >= 0)
-        hits = hits[place[back[hits]] >= 0]
-        for j, i in zip(hits.tolist(), place[back[hits]].tolist()):
-            exact[j] += (i,)
+    reached, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    power, shortest = length, max(1, length >> 3) if shortest is None else shortest
+    while power >= shortest:
+        first = int(np.searchsorted(at, power))
+        start = place[at[first:] - power]
+        hits = np.flatnonzero(start >= 0)
+        reached.append(hits + first)
+        starts.append(start[hits])
         power >>= 1
+    of = np.concatenate(reached)
+    order = np.argsort(of, kind="stable")
+    exact, upto = np.concatenate(starts)[order].tolist(), np.searchsorted(of[order], np.arange(n), "right").tolist()
     position, extra = at.tolist(), [0.0, *penalties.tolist()]
     cost, best = [0.0] * n, [0] * n
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
@@ -130,7 +133,7 @@ def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) ->
             queue.popleft()
         low, start = queue[0]
         low += length - here
-        for i in exact[j]:
+        for i in exact[upto[j - 1]:upto[j]]:
             if cost[i] < low:
                 low, start = cost[i], i
         low += extra[j]
@@ -193,7 +196,7 @@ class Packer:
         lengths = [len(ids) // 4 - done for _, ids, done, _ in self.docs]
         ends = np.cumsum(lengths)
         inner = [stops[stops > done] - done + end - size for (_, _, done, stops), end, size in zip(self.docs, ends.tolist(), lengths)]
-        at = cuts(*with_hard_cuts(ends.tolist(), inner, self.length), self.length)
+        at = cuts(*with_hard_cuts(ends.tolist(), inner, self.length), self.length, 1)
         if closed:
             for size in tail(int(ends[-1]) - (at[-1] if at else 0), self.length):
                 at.append((at[-1] if at else 0) + size)

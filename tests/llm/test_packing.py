@@ -40,6 +40,32 @@ def test_cuts_are_the_cheapest(seed):
     assert spent == min(c for a, c in zip(at, cost) if a >= at[-1] - length)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_cuts_are_the_cheapest_with_all_powers_of_two(seed):
+    dice = random.Random(seed)
+    length = dice.choice([16, 64, 256])
+    boundaries = np.cumsum([dice.randint(1, length // 4) for _ in range(dice.randint(1, 120))])
+    penalties = np.array([dice.choice([0.0, 2.0, 16.0]) for _ in boundaries])
+    at, cost = [0, *boundaries.tolist()], [0.0]
+    for j in range(1, len(at)):
+        cost.append(min(cost[i] + padding(at[j] - at[i], length) for i in range(j) if at[j] - at[i] <= length) + penalties[j - 1])
+    found, price = packing.cuts(boundaries, penalties, length, 1), dict(zip(boundaries.tolist(), penalties.tolist()))
+    spent = sum(padding(b - a, length) + price[b] for a, b in zip([0, *found], found))
+    assert spent == min(c for a, c in zip(at, cost) if a >= at[-1] - length)
+
+
+def test_packer_uses_short_windows_that_need_no_padding():
+    packer = packing.Packer(0, 64)
+    sizes = [3, 60, 7, 61, 1, 63]  # with the end ids 4 + 61, 8 + 62, 2 + 64
+    found = [p for i, n in enumerate(sizes) for p in packer.add(i, np.arange(n, dtype="<u4").tobytes(), np.empty(0, np.int64))]
+    found += packer.flush(True)
+    windows = np.bincount([p[5] for p in found], [p[2] for p in found]).astype(int).tolist()
+    ends = np.cumsum([n + 1 for n in sizes])
+    inner, price = packing.with_hard_cuts(ends.tolist(), [np.empty(0, np.int64)], 64)
+    want = packing.cuts(inner, price, 64, 1)
+    assert np.cumsum(windows).tolist()[:len(want)] == want and min(windows[:len(want)]) < 8
+
+
 def test_words_are_encoded_as_whole_texts():
     known, tokenizer = packing.Words(PATH), Tokenizer.from_file(PATH)
     texts = ["", "Plain words, here.", "L'été à Œuvre ÀÉß don't  it's\n3.14 x_y", "a\u00a0b\u2003c <|endoftext|> İI ΣΑΣ e\u0301", "\x1c x\x1fy \x85", "漢字 😀!", "w" * 3000]
