@@ -738,9 +738,9 @@ def messages_flat(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def missing_days(spark: SparkSession, folder: str) -> DataFrame:
-    """Gaps of each user in January."""
+    """Gaps of each user between the first and the last day of all events."""
     days = table(spark, folder, "events").select("user_id", _day("ts").alias("day"))
-    return missing_ranges(days, "day", date(2024, 1, 1), date(2024, 1, 31), by=["user_id"])
+    return missing_ranges(days, "day", by=["user_id"])
 
 
 @query

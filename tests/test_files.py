@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from aljibe.errors import EmptyDatasetError
+from aljibe.plans.catalog import QUERIES
 from aljibe.sinks import files as out
 from aljibe.sources import files, gaps, jdbc
 
@@ -95,6 +96,21 @@ def test_missing_days(spark, rows):
         (3, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 3), (4, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 3)]
 
 
+def test_missing_days_of_the_whole_table(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, dt.date(2023, 12, 30)), (1, dt.date(2024, 2, 2)), (2, dt.date(2024, 1, 1)), (3, None)], "u int, day date")
+    first, last = dt.date(2023, 12, 30), dt.date(2024, 2, 2)
+    assert rows(gaps.missing_ranges(df, "day", by=["u"])) == [
+        (1, dt.date(2023, 12, 31), dt.date(2024, 2, 1), 33), (2, first, dt.date(2023, 12, 31), 2), (2, dt.date(2024, 1, 2), last, 32), (3, first, last, 35)]
+    assert rows(gaps.missing_ranges(df, "day")) == [(dt.date(2023, 12, 31), dt.date(2023, 12, 31), 1), (dt.date(2024, 1, 2), dt.date(2024, 2, 1), 31)]
+    assert rows(gaps.missing_ranges(df.where("day is null"), "day", by=["u"])) == []
+
+    stamps = [(1, "2023-12-30 23:00:00"), (1, "2024-02-02 01:00:00"), (2, "2024-02-01 00:00:00")]
+    events = spark.createDataFrame(stamps, "user_id long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert rows(QUERIES["missing_days"](spark, str(tmp_path))) == [
+        (1, dt.date(2023, 12, 31), dt.date(2024, 2, 1), 33), (2, first, dt.date(2024, 1, 31), 33), (2, last, last, 1)]
+
+
 def test_increment_reaches_the_scan(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     stamps = ["2024-01-01 00:00:00", "2024-01-01 00:00:01", "2024-01-03 00:00:00", "2024-01-03 00:00:01"]
