@@ -13,6 +13,7 @@ from aljibe.operators import anomalies, models, rejects
 from aljibe.operators.columns import typed
 from aljibe.operators.grouping import latest_per_key
 from aljibe.operators.opslog import ALERTS, EVENTS, VERSIONS, log_rows
+from aljibe.session import stage, unstage
 from aljibe.sinks.changes import replace_days
 from aljibe.sinks.tables import append, create_schemas, create_table, publish
 from aljibe.sources.files import require_rows
@@ -127,12 +128,31 @@ class DailyLoad:
                 self.published(self.name("silver", table), "OVERWRITE", written)
             else:
                 self._replace_days(typed(rows(day), schema), self.name("silver", table), "_run_date", {self.run_date})
-        known = self.spark.table(self.name("silver", "customers")).where(F.col("_run_date") != F.lit(self.run_date))
-        merged = latest_per_key(known.unionByName(self._of_run("bronze", "customers")), ["customer_id"], ["updated_at", "_ingestion_ts"])
-        self.published(self.name("silver", "customers"), "MERGE", publish(typed(merged, CUSTOMERS), self.name("silver", "customers")))
+        moved = self._merge_customers()
         self.event("INFO", "silver", "orders", "OK", "silver done", rows_ok=total - rejected, rows_reject=rejected,
                    extra={"current_run_rows": total, "current_run_rejects": rejected})
-        return touched | self._order_dates()
+        return touched | self._order_dates() | moved
+
+    def _merge_customers(self) -> set[date]:
+        """Merge the customers landed on the run date, or left from an earlier run of it, from all bronze days; the order dates of those
+        that are new, gone or in another country."""
+        bronze, old = self.spark.table(self.name("bronze", "customers")), self.spark.table(self.name("silver", "customers"))
+        of_run = self._of_run("bronze", "customers").unionByName(self._of_run("silver", "customers"))
+        ids = of_run.select(F.col("customer_id").alias("_id")).distinct()
+        met = F.col("customer_id").eqNullSafe(F.col("_id"))
+        earlier = old.where(F.col("_run_date") != F.lit(self.run_date))
+        newest = latest_per_key(earlier.unionByName(bronze).join(ids, met, "left_semi"), ["customer_id"], ["updated_at", "_ingestion_ts"])
+        path = stage(typed(newest, CUSTOMERS))
+        merged = self.spark.read.schema(CUSTOMERS).parquet(path)
+        before = old.join(ids, met, "left_semi").select("customer_id", F.col("country").alias("_before"))
+        both = merged.select("customer_id", "country").join(before, "customer_id", "full_outer")
+        changed = both.where(~F.col("country").eqNullSafe(F.col("_before"))).select("customer_id")
+        orders = self.spark.table(self.name("silver", "orders")).join(changed, "customer_id", "left_semi")
+        days = {r[0] for r in orders.select("order_date").where("order_date is not null").distinct().collect()}
+        rows = publish(typed(earlier.join(ids, met, "left_anti").unionByName(merged), CUSTOMERS), self.name("silver", "customers"))
+        self.published(self.name("silver", "customers"), "MERGE", rows)
+        unstage(self.spark, path)
+        return days
 
     def gold(self, days: set[date] | None = None) -> bool:
         """Compute the sales of ``days`` (all, if None) anew in both gold tables; True if the run date's revenue has dropped, with an alert row."""

@@ -69,6 +69,26 @@ def test_daily_load(spark, rows):
     assert spark.table("elt_ops.pipeline_alerts").where("alert_type = 'PIPELINE_FAILURE'").count() == 1
 
 
+def test_late_and_missing_customers(spark, rows):
+    def run(day, orders, customers):
+        load = DailyLoad(spark, day, f"run-{day}", "late", now=dt.datetime(2024, 2, day.day))
+        load.run(spark.createDataFrame(orders, LANDED_ORDERS), spark.createDataFrame(customers, LANDED_CUSTOMERS))
+        return rows(spark.table("late_gold.sales_by_country"), "order_date", "country", "total_orders")
+
+    one, two, three = D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)
+    ana, luis = (1, "Ana", "ES", "a@b.co", dt.datetime(2024, 1, 1)), (2, "Luis", "AR", "l@b.co", dt.datetime(2024, 1, 1))
+    moved = (1, "Ana", "MX", "a@b.co", dt.datetime(2024, 1, 3))
+    orders = {day: [(f"{day.day}1", "1", str(day), "10", "PAID"), (f"{day.day}2", "2", str(day), "10", "PAID")] for day in (one, two, three)}
+    assert run(one, orders[one], [ana]) == [(one, "ES", 1)]
+    assert run(two, orders[two], [luis]) == [(day, c, 1) for day in (one, two) for c in ("AR", "ES")]  # the order of day one came before its customer
+    assert run(three, orders[three], [moved]) == [(day, c, 1) for day in (one, two, three) for c in ("AR", "MX")]
+    # day three again, without the customer: the older version counts again
+    assert run(three, orders[three], [luis]) == [(day, c, 1) for day in (one, two, three) for c in ("AR", "ES")]
+    # day two again, without Luis there: day three still has Luis
+    assert run(two, orders[two], [ana]) == [(day, c, 1) for day in (one, two, three) for c in ("AR", "ES")]
+    assert rows(spark.table("late_silver.customers"), "customer_id", "country") == [(1, "ES"), (2, "AR")]
+
+
 def test_load_end(spark):
     assert control.load_end(spark, dt.datetime(2024, 3, 2, 4, 59)) == D(2024, 2, 29)
 
