@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aljibe.llm import byte_bpe, exact_dedup, packing, pages, pii, simhash, topk, toxicity, url_filter, warc
+from aljibe.llm import byte_bpe, conversations, exact_dedup, licenses, packing, pages, pii, runs, simhash, topk, toxicity, url_filter, warc
 from aljibe.llm.workers import with_package
 
 
@@ -62,6 +62,18 @@ def near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def license_places(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
+def word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, folder, "documents"), loop=True)
+
+
+def mended_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, folder, "conversations")), gone_col="gone")
+
+
 QUERIES = {name: with_package(query) for name, query in {
     "op1_main_text": main_text,
     "op2_url_filter": judged_urls,
@@ -73,6 +85,9 @@ QUERIES = {name: with_package(query) for name, query in {
     "op8_packing": packed_sequences,
     "op9_byte_bpe": byte_ids,
     "op10_simhash": near_copies,
+    "op11_licenses": license_places,
+    "op12_word_runs": word_runs,
+    "op13_conversations": mended_conversations,
 }.items()}
 
 OP2 = r"""
@@ -122,4 +137,64 @@ groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FR
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM hashed JOIN groups USING (text_sha256)
 """
 
-ORACLE = {"op2_url_filter": OP2, "op4_top_products": OP4, "op5_warc": OP5, "op6_exact_dedup": OP6}
+# The CRC is folded over the bytes of the key. The walk keeps, per state of the grammar, the least (cost, audit, output): nothing yet, after a
+# system row, after a user row, after an assistant row. Lists of one state are sorted, so the first item is the cheapest, then the smallest.
+OP13 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations),
+dealt AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM dealt, range(2) AS r(nth) WHERE kind <> 0 AND (nth = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before
+  FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+told AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS place, [{'cost': 0::BIGINT, 'audit': '', 'out': ''}] AS z, [][:0]::STRUCT(cost BIGINT, audit VARCHAR, out VARCHAR)[] AS s,
+         [{'cost': 2::BIGINT, 'audit': 'I', 'out': 'user:'}] AS u, [{'cost': 4::BIGINT, 'audit': 'II', 'out': 'user:' || chr(10) || 'assistant:'}] AS a
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, place, z, s, u2,
+         list_sort(list_concat(a1, list_transform(u2, lambda x: {'cost': x.cost + 2, 'audit': x.audit || 'I', 'out': x.out || chr(10) || 'assistant:'})))[:1] AS a
+  FROM (
+    SELECT *, list_sort(list_concat(u1, list_transform(list_concat(z, s, a1),
+              lambda x: {'cost': x.cost + 2, 'audit': x.audit || 'I', 'out': x.out || CASE WHEN x.out = '' THEN '' ELSE chr(10) END || 'user:'})))[:1] AS u2
+    FROM (
+      SELECT conv_id, place, list_transform(z0, lambda x: {'cost': x.cost + 3, 'audit': x.audit || 'D', 'out': x.out}) AS z,
+        list_sort(list_concat(list_transform(s0, lambda x: {'cost': x.cost + 3, 'audit': x.audit || 'D', 'out': x.out}),
+          list_transform(CASE WHEN stays AND first = 's' THEN z0 ELSE z0[:0] END, lambda x: {'cost': x.cost + more, 'audit': x.audit || 'K', 'out': role || ':' || text})))[:1] AS s,
+        list_sort(list_concat(list_transform(u0, lambda x: {'cost': x.cost + 3, 'audit': x.audit || 'D', 'out': x.out}),
+          list_transform(CASE WHEN stays THEN list_concat(z0, s0, a0) ELSE z0[:0] END, lambda x: {'cost': x.cost + more + CASE WHEN first = 'u' THEN 0 ELSE 2 END,
+            'audit': x.audit || CASE WHEN first = 'u' THEN 'K' ELSE 'R' END,
+            'out': x.out || CASE WHEN x.out = '' THEN '' ELSE chr(10) END || CASE WHEN first = 'u' THEN role ELSE 'user' END || ':' || text})))[:1] AS u1,
+        list_sort(list_concat(list_transform(a0, lambda x: {'cost': x.cost + 3, 'audit': x.audit || 'D', 'out': x.out}),
+          list_transform(CASE WHEN stays THEN u0 ELSE z0[:0] END, lambda x: {'cost': x.cost + more + CASE WHEN first = 'a' THEN 0 ELSE 2 END,
+            'audit': x.audit || CASE WHEN first = 'a' THEN 'K' ELSE 'R' END, 'out': x.out || chr(10) || CASE WHEN first = 'a' THEN role ELSE 'assistant' END || ':' || text})))[:1] AS a1
+      FROM (
+        SELECT j.conv_id, j.place, w.z AS z0, w.s AS s0, w.u AS u0, w.a AS a0, j.role, j.text, j.role[1] AS first, j.fault NOT IN ('blank', 'duplicate') AS stays,
+               CASE WHEN j.fault = 'truncated' THEN 1 ELSE 0 END AS more
+        FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1))))
+SELECT w.conv_id, coalesce(t.gaps, 0)::BIGINT AS gaps, coalesce(t.blank, 0)::BIGINT AS blank, coalesce(t.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(t.truncated, 0)::BIGINT AS truncated, coalesce(t.illegal, 0)::BIGINT AS illegal, best.cost AS cost, best.audit AS audit, sha256(best.out) AS repaired_sha256
+FROM (SELECT conv_id, place, list_sort(list_concat(z, a))[1] AS best FROM walk) w LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM w.conv_id
+WHERE w.place = coalesce(t.n, 0)
+"""
+
+ORACLE = {"op2_url_filter": OP2, "op4_top_products": OP4, "op5_warc": OP5, "op6_exact_dedup": OP6, "op13_conversations": OP13}

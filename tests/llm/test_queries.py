@@ -18,10 +18,10 @@ def test_queries_equal_sql(spark):
 
 def test_every_operator_and_the_pipeline_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_main_text", "op3_toxicity", "op7_personal_data", "op9_byte_bpe", "op10_simhash"])
+@pytest.mark.parametrize("name", ["op1_main_text", "op3_toxicity", "op7_personal_data", "op9_byte_bpe", "op10_simhash", "op11_licenses", "op12_word_runs"])
 def test_a_row_per_row(spark, name):
     source = "pages" if name == "op1_main_text" else "documents"
     assert QUERIES[name](spark, FOLDER).count() == spark.read.parquet(f"{FOLDER}/{source}.parquet").count()
