@@ -21,7 +21,7 @@ END_ID = 1
 SENTENCE_PENALTY = 2.0  # a cut at the end of a sentence inside a document, in tokens of padding
 WORD_PENALTY = 16.0  # a cut inside a sentence
 CHUNK_TOKENS = 1 << 19
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000  # words of a generation
 ENDS = (".", "!", "?", "。")
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 BYTE_LETTERS = {}
@@ -36,50 +36,58 @@ def byte_letters() -> dict[int, str]:
     return BYTE_LETTERS
 
 
+PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def packed_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Words(dict):
-    """Word between ASCII white space -> index of its ids in ``ids``; filled when asked.
+    """Word between ASCII white space, A-Z as small letters -> its ids, 4 bytes each; filled when asked.
 
-    The tokenizer drops white space and never looks across it, so words can be encoded on their own. Words of Latin letters
-    with an optional full stop or comma go straight to its merges; all others through the whole tokenizer.
-    ``marks`` holds the number of ids, doubled, plus 1 if a sentence may end here.
+    The tokenizer drops white space, never looks across it and turns capitals small, so words can be encoded on their own. Words of Latin
+    letters with an optional full stop or comma go straight to its merges, without the stop; all others through the whole tokenizer.
+    ``renew`` begins a new generation and keeps the last one to take words from, so a word in use is never encoded again, and no more
+    than two generations are held. ``closes`` tells of each id whether a word that ends with it may end a sentence.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
+        letters = byte_letters()
+        ends = tuple("".join(letters[b] for b in end.encode()) for end in ENDS)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.removesuffix(self.tokenizer.model.end_of_word_suffix or "").endswith(ends)]] = True
+        self.renew()
+
+    def renew(self) -> None:
+        self.last = dict(self)
         self.clear()
-        self.parts.clear()
-        self.ids: list[bytes] = []
-        self.marks = np.zeros(1 << 16, np.int32)
 
-    def part(self, text: str) -> bytes:
-        found = self.parts.get(text)
-        if found is None:
-            letters = text if text.isascii() else text.encode().decode("latin-1").translate(byte_letters())
-            found = self.parts[text] = packed_ids([t.id for t in self.tokenizer.model.tokenize(letters)])
-        return found
+    def merged(self, letters: str) -> bytes:
+        return packed_ids([t.id for t in self.tokenizer.model.tokenize(letters)])
 
-    def __missing__(self, raw: bytes) -> int:
+    def encoded(self, raw: bytes) -> bytes:
+        if raw.isalpha():
+            return self.merged(raw.decode())
+        if raw.endswith((b".", b",")) and raw[:-1].isalpha():
+            return self[raw[:-1]] + self[raw[-1:]]
         word = raw.decode()
         simple = SIMPLE.fullmatch(word)
+        if simple and simple[2]:
+            return self[simple[1].encode()] + self[simple[2].encode()]
         if simple:
-            ids = self.part(simple[1].lower()) + (self.part(simple[2]) if simple[2] else b"")
-        else:
-            ids = packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        at = self[raw] = len(self.ids)
-        if at == len(self.marks):
-            self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
-        self.ids.append(ids)
-        self.marks[at] = 2 * (len(ids) // 4) + word.endswith(ENDS)
-        return at
+            return self.merged(word.lower().encode().decode("latin-1").translate(byte_letters()))
+        return packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def __missing__(self, raw: bytes) -> bytes:
+        found = self.last.get(raw)
+        if found is None:
+            found = self.encoded(raw)
+        self[raw] = found
+        return found
 
 
 @cache
@@ -93,18 +101,19 @@ def tokenized(text: bytes, known: Words) -> tuple[bytes, np.ndarray]:
     ``bytes.split`` cuts at ASCII white space alone; other white space stays inside words, for the tokenizer to drop.
     """
     if len(known) > CACHE_WORDS:
-        known.forget()
-    at = list(map(known.__getitem__, text.split()))
-    marks = known.marks[np.array(at, np.int64)]
-    return b"".join(map(known.ids.__getitem__, at)), np.cumsum(marks >> 1, dtype=np.int64)[marks & 1 == 1]
+        known.renew()
+    found = list(map(known.__getitem__, text.lower().split()))
+    ids = b"".join(found)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) >> 2
+    ends = ends[ends > 0]
+    return ids, np.unique(ends[known.closes[np.frombuffer(ids, "<u4")[ends - 1]]])
 
 
-def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH, shortest: int | None = None) -> list[int]:
+def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> list[int]:
     """Positions to cut at: the cheapest way to a boundary at most ``length`` before the last one.
 
     ``boundaries`` are increasing positions after 0, at most ``length`` apart; ``penalties`` what a cut there costs. A window
-    of n tokens costs length - n tokens of padding, or nothing if n is a power of two not below ``shortest`` (an eighth of
-    ``length`` if not given; 1 is the whole rule, by which ``packed`` cuts). Dynamic programming: to reach position p
+    of n tokens costs length - n tokens of padding, or nothing if n is a power of two. Dynamic programming: to reach position p
     from start s costs cost[s] + length - (p - s), so the best start has the least cost[s] + s and a monotone queue holds it;
     starts a power of two back are looked up.
     """
@@ -113,8 +122,8 @@ def cuts(boundaries: np.ndarray, penalties: np.ndarray, length: int = LENGTH, sh
     place = np.full(int(at[-1]) + 1, -1, np.int64)
     place[at] = np.arange(n)
     reached, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    power, shortest = length, max(1, length >> 3) if shortest is None else shortest
-    while power >= shortest:
+    power = length
+    while power:
         first = int(np.searchsorted(at, power))
         start = place[at[first:] - power]
         hits = np.flatnonzero(start >= 0)
@@ -196,7 +205,7 @@ class Packer:
         lengths = [len(ids) // 4 - done for _, ids, done, _ in self.docs]
         ends = np.cumsum(lengths)
         inner = [stops[stops > done] - done + end - size for (_, _, done, stops), end, size in zip(self.docs, ends.tolist(), lengths)]
-        at = cuts(*with_hard_cuts(ends.tolist(), inner, self.length), self.length, 1)
+        at = cuts(*with_hard_cuts(ends.tolist(), inner, self.length), self.length)
         if closed:
             for size in tail(int(ends[-1]) - (at[-1] if at else 0), self.length):
                 at.append((at[-1] if at else 0) + size)

@@ -15,15 +15,11 @@ def padding(size, length):
     return 0 if size & (size - 1) == 0 else length - size
 
 
-def priced(size, length):
-    return padding(size, length) if 8 * size >= length else length - size
-
-
 def least_cost(boundaries, penalties, length):
     """Cheapest cost to each boundary, by trying all pairs."""
     at, cost = [0, *boundaries], [0.0]
     for j in range(1, len(at)):
-        cost.append(min(cost[i] + priced(at[j] - at[i], length) for i in range(j) if at[j] - at[i] <= length) + penalties[j - 1])
+        cost.append(min(cost[i] + padding(at[j] - at[i], length) for i in range(j) if at[j] - at[i] <= length) + penalties[j - 1])
     return at, cost
 
 
@@ -36,7 +32,7 @@ def test_cuts_are_the_cheapest(seed):
     found = packing.cuts(boundaries, penalties, length)
     at, cost = least_cost(boundaries.tolist(), penalties.tolist(), length)
     price = dict(zip(boundaries.tolist(), penalties.tolist()))
-    spent = sum(priced(b - a, length) + price[b] for a, b in zip([0, *found], found))
+    spent = sum(padding(b - a, length) + price[b] for a, b in zip([0, *found], found))
     assert spent == min(c for a, c in zip(at, cost) if a >= at[-1] - length)
 
 
@@ -49,7 +45,7 @@ def test_cuts_are_the_cheapest_with_all_powers_of_two(seed):
     at, cost = [0, *boundaries.tolist()], [0.0]
     for j in range(1, len(at)):
         cost.append(min(cost[i] + padding(at[j] - at[i], length) for i in range(j) if at[j] - at[i] <= length) + penalties[j - 1])
-    found, price = packing.cuts(boundaries, penalties, length, 1), dict(zip(boundaries.tolist(), penalties.tolist()))
+    found, price = packing.cuts(boundaries, penalties, length), dict(zip(boundaries.tolist(), penalties.tolist()))
     spent = sum(padding(b - a, length) + price[b] for a, b in zip([0, *found], found))
     assert spent == min(c for a, c in zip(at, cost) if a >= at[-1] - length)
 
@@ -62,7 +58,7 @@ def test_packer_uses_short_windows_that_need_no_padding():
     windows = np.bincount([p[5] for p in found], [p[2] for p in found]).astype(int).tolist()
     ends = np.cumsum([n + 1 for n in sizes])
     inner, price = packing.with_hard_cuts(ends.tolist(), [np.empty(0, np.int64)], 64)
-    want = packing.cuts(inner, price, 64, 1)
+    want = packing.cuts(inner, price, 64)
     assert np.cumsum(windows).tolist()[:len(want)] == want and min(windows[:len(want)]) < 8
 
 
@@ -74,6 +70,32 @@ def test_words_are_encoded_as_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_in_use_outlive_a_generation(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    known, encoded = packing.Words(PATH), []
+    encode = known.encoded
+    known.encoded = lambda raw: encoded.append(raw) or encode(raw)
+    texts = [" ".join(["The", "end,", *[f"{'abcdefghij'[i % 10]}{'klmno'[j % 5] * (j + 1)}." for j in range(20)]]) for i in range(30)]
+    tokenizer = Tokenizer.from_file(PATH)
+    for text in texts * 2:
+        ids, ends = packing.tokenized(text.encode(), known)
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids and len(ends) == 20
+        assert len(known) + len(known.last) <= 2 * (50 + 44)
+    assert encoded.count(b"the") == encoded.count(b"end,") == encoded.count(b"end") == 1
+
+
+def test_sentences_end_where_words_end():
+    known = packing.Words(PATH)
+    for text in ("One two. 3.14 is e.g. five! six?) no, (yes.) 終わり。 x \x1c y ...", "", "\x1c", "a. \x1c b."):
+        _, ends = packing.tokenized(text.encode(), known)
+        want, at = set(), 0
+        for word in text.encode().split():
+            at += len(known[word.lower()]) // 4
+            if word.decode().endswith((".", "!", "?", "。")):
+                want.add(at)
+        assert ends.tolist() == sorted(want)
+
+
 @pytest.mark.parametrize("length", [16, 2048])
 def test_every_id_lies_in_one_piece(spark, with_clashes, length, monkeypatch):
     monkeypatch.setattr(packing, "CHUNK_TOKENS", 700)
