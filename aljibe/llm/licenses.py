@@ -8,6 +8,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aljibe.session import staged
+
 #: Phrases and labels of the base.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Notices and short license lines as published with the licenses.
@@ -120,7 +122,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base columns tell of the places of PHRASES; ``labels`` has those of verified template places too. ``score`` is 1 with a base place, else the largest share
     of a template's words found in one place (0 without). NULL texts are empty; repeated rows and NULL ids are scanned like any other; other columns are not read.
-    Texts are not shuffled: their votes are, and meet the rows again by the SHA-256 of the text, so copies share them and AQE may split them.
+    Texts are not shuffled: their votes are, and meet the rows again by the SHA-256 of the text, so copies share them. The verdicts are
+    written first (runs a job), so that both sides of that join come straight from a shuffle and AQE splits a text with many copies.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("_text"), words(text).alias("_tokens"))
@@ -131,7 +134,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", "text_key", "n_words", F.size("_places").cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"), F.array_sort(labels).alias("_base"),
     )
-    voted = verdicts(places(docs, text, template_grams(docs.sparkSession, templates)))
+    voted = staged(verdicts(places(docs, text, template_grams(docs.sparkSession, templates))))
     both = F.array_sort(F.array_union("_base", F.coalesce("found_labels", F.array().cast("array<string>"))))
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0)))
     joined = rows.join(voted, "text_key", "left")
