@@ -499,8 +499,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, o_orderstatus = 'F' AS paid FROM orders) LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
         LEFT JOIN part ON o_custkey = p_partkey AND p_size > 5 WHERE o_orderkey % 6 > 0""",
     "missing_days": """
-        WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'),
-        span AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day),
+        WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+        span AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM days), (SELECT max(day) FROM days), INTERVAL 1 DAY)) AS DATE) AS day),
         gone AS (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM events), span WHERE (user_id, day) NOT IN (SELECT user_id, day FROM days)),
         islands AS (SELECT user_id, day, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS island FROM gone)
         SELECT user_id, min(day) AS first_day, max(day) AS last_day, CAST(count(*) AS INTEGER) AS n_days FROM islands GROUP BY user_id, island""",
