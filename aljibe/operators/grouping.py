@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from aljibe.functions.numbers import MONEY, money_sum, percent
 
@@ -57,17 +59,41 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return entries.withColumns({f.name: F.map_from_entries(f.name) for f in maps})
 
 
+def hashable(value: Column, kind: DataType) -> Column:
+    """``value`` in a form whose hash tells all values apart.
+
+    The hash of an array runs on from item to item and skips what is NULL, so it cannot tell ([1], [2]) from ([1, 2], []). Here each array comes after its
+    size, each nested value after a mark that says whether it is NULL, and maps are arrays of entries by key.
+    """
+    def marked(inner: Column, inner_kind: DataType) -> Column:
+        return F.struct(inner.isNull(), hashable(inner, inner_kind))
+
+    if isinstance(kind, ArrayType):
+        return F.struct(F.size(value), F.transform(value, lambda item: marked(item, kind.elementType)))
+    if isinstance(kind, MapType):
+        keys = F.array_sort(F.map_keys(value))
+        return F.struct(F.size(value), F.transform(keys, lambda key: F.struct(hashable(key, kind.keyType), marked(value[key], kind.valueType))))
+    if isinstance(kind, StructType):
+        return F.struct(*[marked(value.getField(field.name), field.dataType) for field in kind])
+    return value
+
+
 def row_copies(df: DataFrame) -> DataFrame:
     """``_n``: how often each distinct row occurs, and ``_nulls``: its NULL cells.
 
-    Rows are told apart by two 64-bit hashes and the places of their NULLs, so a wide row is shuffled as a few
-    bytes. Maps are compared as sorted entries.
+    Rows are told apart by two 64-bit hashes and a bit for each NULL cell, so a wide row is shuffled as a few bytes.
+    Nested values are compared item by item, maps whatever the order of their entries.
     """
-    values = [F.array_sort(F.map_entries(f.name)) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema]
-    missing = F.concat(*[F.when(value.isNull(), "1").otherwise("0") for value in values])
-    key = [F.xxhash64(*values).alias("_one"), F.xxhash64(F.lit("row"), *values).alias("_two"), missing.alias("_missing")]
-    counted = df.select(*key).groupBy("_one", "_two", "_missing").agg(F.count(F.lit(1)).alias("_n"))
-    return counted.select("_n", F.length(F.replace("_missing", F.lit("0"), F.lit(""))).alias("_nulls"))
+    cells = [(F.col(f"`{field.name}`"), field.dataType) for field in df.schema]
+    values = [hashable(cell, kind) for cell, kind in cells]
+    masks = []
+    for first in range(0, len(cells), 63):
+        bits = [F.when(cell.isNull(), F.lit(1 << place)).otherwise(F.lit(0)).cast("bigint") for place, (cell, _) in enumerate(cells[first : first + 63])]
+        masks.append(reduce(lambda one, other: one.bitwiseOR(other), bits).alias(f"_mask{len(masks)}"))
+    names = ["_one", "_two", *[f"_mask{place}" for place in range(len(masks))]]
+    key = [F.xxhash64(*values).alias("_one"), F.xxhash64(F.lit("row"), *values).alias("_two"), *masks]
+    counted = df.select(*key).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select("_n", reduce(lambda one, other: one + other, [F.bit_count(name) for name in names[2:]], F.lit(0)).alias("_nulls"))
 
 
 def duplicate_share(df: DataFrame) -> DataFrame:

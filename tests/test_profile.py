@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from aljibe.functions.numbers import rounded
 from aljibe.functions.text import is_email
-from aljibe.operators import cleaning, profile, rules
+from aljibe.operators import cleaning, grouping, profile, rules
 
 
 def test_quantiles_equal_pandas(spark):
@@ -98,3 +98,23 @@ def test_summary(sales):
         ("size", "rows"): 5.0, ("size", "columns"): 6.0, ("size", "exact_duplicates"): 1.0,
         ("missing", "age"): 20.0, ("missing", "city"): 20.0, ("rules", "age"): 60.0, ("rules", "price_positive"): 40.0,
     }
+
+
+def test_copies_of_nested_rows_are_told_apart(spark):
+    """Rows whose plain hashes are equal: items that move between arrays, NULL items, empty arrays, maps and structs."""
+    lists = [([1, 2], [3]), ([1], [2, 3]), ([1, None], [5]), ([1], [5]), ([], [7]), ([None], [7])]
+    df = spark.createDataFrame(lists, "a array<int>, b array<int>")
+    assert df.select(F.xxhash64("a", "b")).distinct().count() < 6
+    assert grouping.duplicate_share(df).first().asDict() == {"n_rows": 6, "duplicates": 0, "pct_duplicates": 0.0}
+    assert grouping.duplicate_share(df.union(df)).first()["duplicates"] == 6
+    nested = [
+        ({"k": [1]}, ("x", None), [["a"], ["b"]]), ({"k": [1], "l": None}, ("x", None), [["a"], ["b"]]), ({"k": [1], "l": []}, ("x", None), [["a"], ["b"]]),
+        ({"k": [1]}, (None, "x"), [["a"], ["b"]]), ({"k": [1]}, ("x", None), [["a", "b"], []]), ({"k": [1]}, ("x", None), [["a", "b"]]), ({"k": [1]}, None, None),
+        (None, None, None), ({}, None, None),
+    ]
+    df = spark.createDataFrame(nested, "m map<string,array<int>>, s struct<p:string,q:string>, l array<array<string>>")
+    assert grouping.duplicate_share(df).first()["duplicates"] == 0
+    turned = spark.createDataFrame([({"a": 1, "b": 2},), ({"b": 2, "a": 1},)], "m map<string,int>")
+    assert grouping.duplicate_share(turned).first()["duplicates"] == 1
+    wide = spark.createDataFrame([tuple(None if i == place else 7 for i in range(70)) for place in (0, 62, 63, 69, 69)], ", ".join(f"c{i} int" for i in range(70)))
+    assert sorted(tuple(r) for r in grouping.row_copies(wide).collect()) == [(1, 1), (1, 1), (1, 1), (2, 1)]
