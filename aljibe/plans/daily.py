@@ -14,8 +14,8 @@ from aljibe.operators.columns import typed
 from aljibe.operators.grouping import latest_per_key
 from aljibe.operators.opslog import ALERTS, EVENTS, VERSIONS, log_rows
 from aljibe.session import stage, unstage
-from aljibe.sinks.changes import replace_days
-from aljibe.sinks.tables import append, create_schemas, create_table, publish
+from aljibe.sinks.changes import BUCKET, bucket_layout, create_bucketed, replace_buckets, replace_days, touched_buckets
+from aljibe.sinks.tables import append, create_schemas, create_table, partitions, publish
 from aljibe.sources.files import require_rows
 
 log = logging.getLogger(__name__)
@@ -47,12 +47,14 @@ BY_COUNTRY = StructType([
 class DailyLoad:
     """One run of the daily load into the schemas ``{prefix}_bronze``, ``_silver``, ``_gold`` and ``_ops``.
 
-    Bronze, silver orders and gold are partitioned by day, and a run rewrites the days it touches: its cost follows the
-    day's rows, not the history. Log rows are collected and appended once per stage.
+    Bronze, silver orders and gold are partitioned by day, silver customers by a hash of their id; a run reads and rewrites the days and the
+    ``customer_buckets`` it touches. Two things cost more: customers that are new or in another country cost a scan of the customer and the date of all silver
+    orders, and a date that is loaded again costs a scan of bronze and silver customers. Log rows are collected and appended once per stage.
     """
 
-    def __init__(self, spark: SparkSession, run_date: date, run_id: str, prefix: str, now: datetime | None = None):
-        self.spark, self.run_date, self.run_id, self.prefix = spark, run_date, run_id, prefix
+    def __init__(self, spark: SparkSession, run_date: date, run_id: str, prefix: str, now: datetime | None = None, customer_buckets: int = 16):
+        self.spark, self.run_date, self.run_id, self.prefix, self.customer_buckets = spark, run_date, run_id, prefix, customer_buckets
+        self.loaded_before = True  # unless ``bronze`` has seen that no customers of the date have landed
         self.now = now or datetime.now(timezone.utc).replace(tzinfo=None)
         self.events: list[dict] = []
         self.versions: list[dict] = []
@@ -66,7 +68,7 @@ class DailyLoad:
         create_table(self.spark, self.name("bronze", "customers"), CUSTOMERS, ("_run_date",))
         create_table(self.spark, self.name("silver", "orders"), ORDERS, ("_run_date",))
         create_table(self.spark, self.name("silver", "orders_reject"), REJECTS, ("_run_date",))
-        create_table(self.spark, self.name("silver", "customers"), CUSTOMERS)
+        create_bucketed(self.spark, self.name("silver", "customers"), CUSTOMERS, ["customer_id"], self.customer_buckets)
         create_table(self.spark, self.name("gold", "daily_sales"), DAILY, ("order_date",))
         create_table(self.spark, self.name("gold", "sales_by_country"), BY_COUNTRY, ("order_date",))
         for table, schema in (("pipeline_events", EVENTS), ("pipeline_alerts", ALERTS), ("dataset_versions", VERSIONS)):
@@ -103,6 +105,8 @@ class DailyLoad:
             "_ingestion_ts": F.lit(self.now), "_source_file": F.lit(source_file),
             "_run_id": F.lit(self.run_id), "_run_date": F.lit(self.run_date),
         })
+        if dataset == "customers":
+            self.loaded_before = f"_run_date={self.run_date}" in partitions(self.spark, self.name("bronze", "customers"))
         self._replace_days(typed(rows, schema, coerce=True), self.name("bronze", dataset), "_run_date", {self.run_date})
 
     def _of_run(self, layer: str, table: str) -> DataFrame:
@@ -134,30 +138,43 @@ class DailyLoad:
         return touched | self._order_dates() | moved
 
     def _merge_customers(self) -> set[date]:
-        """Merge the customers landed on the run date, or left from an earlier run of it, from all bronze days; the order dates of those
-        that are new, gone or in another country."""
-        bronze, old = self.spark.table(self.name("bronze", "customers")), self.spark.table(self.name("silver", "customers"))
-        of_run = self._of_run("bronze", "customers").unionByName(self._of_run("silver", "customers"))
-        ids = of_run.select(F.col("customer_id").alias("_id")).distinct()
-        met = F.col("customer_id").eqNullSafe(F.col("_id"))
-        earlier = old.where(F.col("_run_date") != F.lit(self.run_date))
-        newest = latest_per_key(earlier.unionByName(bronze).join(ids, met, "left_semi"), ["customer_id"], ["updated_at", "_ingestion_ts"])
-        path = stage(typed(newest, CUSTOMERS))
-        merged = self.spark.read.schema(CUSTOMERS).parquet(path)
-        before = old.join(ids, met, "left_semi").select("customer_id", F.col("country").alias("_before"))
-        both = merged.select("customer_id", "country").join(before, "customer_id", "full_outer")
-        changed = both.where(~F.col("country").eqNullSafe(F.col("_before"))).select("customer_id")
-        orders = self.spark.table(self.name("silver", "orders")).join(changed, "customer_id", "left_semi")
-        days = {r[0] for r in orders.select("order_date").where("order_date is not null").distinct().collect()}
-        rows = publish(typed(earlier.join(ids, met, "left_anti").unionByName(merged), CUSTOMERS), self.name("silver", "customers"))
-        self.published(self.name("silver", "customers"), "MERGE", rows)
-        unstage(self.spark, path)
-        return days
+        """Merge the customers landed on the run date into their buckets; the order dates of those that are new, gone or in another country.
+
+        A customer that silver has from an earlier load of the same date is taken from all bronze days again: the new landing may lack it.
+        """
+        silver, newest_first = self.name("silver", "customers"), ["updated_at", "_ingestion_ts"]
+        landed, bronze, old = self._of_run("bronze", "customers"), self.spark.table(self.name("bronze", "customers")), self.spark.table(silver)
+        ids = landed.select(F.col("customer_id").alias("_id"))
+        if self.loaded_before:
+            ids = ids.unionByName(self._of_run("silver", "customers").select(F.col("customer_id").alias("_id")))
+        path = stage(ids.distinct())
+        try:
+            ids = self.spark.read.schema(ids.schema).parquet(path)
+            met = F.col("customer_id").eqNullSafe(F.col("_id"))
+            buckets = touched_buckets(ids.withColumnRenamed("_id", "customer_id"), *bucket_layout(self.spark, silver))
+            if not buckets:
+                return set()
+            old = old.where(F.col(BUCKET).isin(*buckets)).drop(BUCKET)
+            earlier = old.where(F.col("_run_date") != F.lit(self.run_date))
+            versions = earlier.unionByName(bronze if self.loaded_before else landed).join(ids, met, "left_semi")
+            merged = typed(latest_per_key(versions, ["customer_id"], newest_first), CUSTOMERS)
+            before = old.join(ids, met, "left_semi").select("customer_id", F.col("country").alias("_before"))
+            both = merged.select("customer_id", "country").join(before, "customer_id", "full_outer")
+            changed = both.where(~F.col("country").eqNullSafe(F.col("_before"))).select("customer_id")
+            days = set()
+            if not changed.isEmpty():
+                orders = self.spark.table(self.name("silver", "orders")).join(changed, "customer_id", "left_semi")
+                days = {r[0] for r in orders.select("order_date").where("order_date is not null").distinct().collect()}
+            rows = replace_buckets(self.spark, typed(earlier.join(ids, met, "left_anti").unionByName(merged), CUSTOMERS), silver, buckets)
+            self.published(silver, "MERGE", rows)
+            return days
+        finally:
+            unstage(self.spark, path)
 
     def gold(self, days: set[date] | None = None) -> bool:
         """Compute the sales of ``days`` (all, if None) anew in both gold tables; True if the run date's revenue has dropped, with an alert row."""
         orders = self.spark.table(self.name("silver", "orders"))
-        customers = require_rows(self.spark.table(self.name("silver", "customers")), "silver customers")
+        customers = require_rows(self.spark.table(self.name("silver", "customers")).drop(BUCKET), "silver customers")
         days = {r[0] for r in orders.select("order_date").distinct().collect()} if days is None else days
         orders = require_rows(orders.where(F.col("order_date").isin(*days) if days else F.lit(False)), "silver orders")
         for rows, schema, table in ((models.daily_sales(orders), DAILY, "daily_sales"), (models.sales_by_country(orders, customers), BY_COUNTRY, "sales_by_country")):

@@ -7,11 +7,15 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from aljibe.functions.dates import in_window
 from aljibe.errors import LoadError
 from aljibe.session import stage, unstage
-from aljibe.sinks.tables import publish
+from aljibe.sinks.tables import NO_VALUE, create_table, partitions, publish, recover, replace_partitions
+
+#: Column that a bucketed table is partitioned by, and its table properties.
+BUCKET, KEYS, BUCKETS = "_bucket", "aljibe.bucket_keys", "aljibe.buckets"
 
 
 def replaced_range(target: DataFrame, rows: DataFrame, column: str, start: date, end: date) -> DataFrame:
@@ -27,8 +31,9 @@ def replace_range(spark: SparkSession, rows: DataFrame, table: str, column: str,
     """Replace (start, end] of ``table`` by ``rows``; running it again gives the same table.
 
     A table partitioned by the date ``column`` has only the touched days
-    rewritten. Any other table is written anew and swapped. A table that does not exist is created from the rows.
+    rewritten, each pointed to its new folder. Any other table is written anew. A table that does not exist is created from the rows.
     """
+    recover(spark, table)
     rows = rows.where(in_window(F.col(column), F.lit(start), F.lit(end)))
     if not spark.catalog.tableExists(table):
         publish(rows, table)
@@ -37,32 +42,13 @@ def replace_range(spark: SparkSession, rows: DataFrame, table: str, column: str,
     if partitioned_by != [column]:
         publish(replaced_range(spark.table(table), rows.select(*spark.table(table).columns), column, start, end), table)
         return
-    landed = {date.fromisoformat(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect() if "__HIVE_DEFAULT" not in row[0]}
-    replace_days(spark, rows, table, column, {day for day in landed if start < day <= end})
+    landed = [name.split("=", 1)[1] for name in partitions(spark, table)]
+    replace_partitions(spark, rows, table, column, [day for day in landed if day != NO_VALUE and start < date.fromisoformat(day) <= end])
 
 
 def replace_days(spark: SparkSession, rows: DataFrame, table: str, column: str, days: set[date]) -> int:
-    """Put ``rows`` in the place of the days they have and of ``days``, in a table partitioned by the date ``column``; the rows written.
-
-    ``rows`` may read the table: they are written to the shared folder first, and the folder is removed in the end.
-    """
-    rows = rows.select(*spark.table(table).columns)
-    path = stage(rows)
-    try:
-        kept = spark.read.schema(rows.schema).parquet(path)
-        # days the new rows no longer have: partition values only, never data rows
-        present = {row[0]: row[1] for row in kept.groupBy(column).count().collect()}
-        # a session of its own: the setting must not reach other writes that run at the same time
-        writer = spark.newSession()
-        writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # few files per day, and AQE splits a day that is too large for one task
-        writer.read.schema(rows.schema).parquet(path).hint("rebalance", column).write.mode("overwrite").insertInto(table)
-        for day in days - set(present):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{day}')")
-        spark.catalog.refreshTable(table)
-    finally:
-        unstage(spark, path)
-    return sum(present.values())
+    """Put ``rows`` in the place of the days they have and of ``days``, in a table partitioned by the date ``column``; the rows written. ``rows`` may read the table."""
+    return replace_partitions(spark, rows, table, column, [day.isoformat() for day in days])
 
 
 def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,10 +68,61 @@ def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Data
     return old.join(new, same, "full_outer").select(*[merged(name) for name in target.columns])
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def create_bucketed(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str], buckets: int) -> None:
+    """Create a table of ``schema`` for upserts by ``keys``, unless it exists: partitioned by a column BUCKET, a hash of the keys.
+
+    An upsert rewrites the buckets that its keys fall in. ``buckets`` is for good, so choose it for the size the table will have.
+    """
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, StructType([*schema.fields, StructField(BUCKET, IntegerType())]), (BUCKET,))
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}', '{BUCKETS}' = '{buckets}')")
+
+
+def bucket_layout(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """Keys and number of buckets of a table made by ``create_bucketed``."""
+    found = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return (found[KEYS].split(","), int(found[BUCKETS])) if KEYS in found else None
+
+
+def touched_buckets(changes: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
+    """The buckets that the keys of ``changes`` fall in: at most ``buckets`` numbers, never rows."""
+    return sorted(row[0] for row in changes.select(bucket_of(keys, buckets)).distinct().collect())
+
+
+def replace_buckets(spark: SparkSession, rows: DataFrame, table: str, buckets: Sequence[int]) -> int:
+    """Put ``rows`` in the place of all rows of ``buckets``; the rows written. Other buckets keep their files."""
+    keys, number = bucket_layout(spark, table)
+    return replace_partitions(spark, rows.withColumn(BUCKET, bucket_of(keys, number)), table, BUCKET, [str(bucket) for bucket in buckets])
+
+
 def upsert(spark: SparkSession, updates: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Upsert into a table, creating it from ``updates`` if it does not exist. Raises LoadError if two updates have one key."""
-    known = [F.col(key).isNotNull() for key in keys]
-    twice = updates.where(reduce(lambda one, other: one & other, known)).groupBy(*keys).count().where("count > 1")
-    if found := twice.limit(3).collect():
-        raise LoadError(f"several updates for a key of {table}: {[tuple(row)[:-1] for row in found]}")
-    publish(upserted(spark.table(table), updates, keys) if spark.catalog.tableExists(table) else updates, table)
+    """Upsert into a table, creating it from ``updates`` if it does not exist. Raises LoadError if two updates have one key.
+
+    In a table that ``create_bucketed`` made for these keys, only the buckets with updates are read and written; any other table is written
+    anew. The updates are written to the shared folder first, as they are read three times.
+    """
+    path = stage(updates)
+    try:
+        updates = spark.read.schema(updates.schema).parquet(path)
+        known = [F.col(key).isNotNull() for key in keys]
+        twice = updates.where(reduce(lambda one, other: one & other, known)).groupBy(*keys).count().where("count > 1")
+        if found := twice.limit(3).collect():
+            raise LoadError(f"several updates for a key of {table}: {[tuple(row)[:-1] for row in found]}")
+        recover(spark, table)
+        if not spark.catalog.tableExists(table):
+            publish(updates, table)
+            return
+        layout = bucket_layout(spark, table)
+        if layout is None or layout[0] != [*keys]:
+            publish(upserted(spark.table(table), updates, keys), table)
+            return
+        touched = touched_buckets(updates, *layout)
+        if touched:
+            target = spark.table(table).where(F.col(BUCKET).isin(*touched))
+            replace_buckets(spark, upserted(target, updates, keys), table, touched)
+    finally:
+        unstage(spark, path)

@@ -161,3 +161,24 @@ def test_only_new_files_land(spark, tmp_path, rows):
 def test_squares(spark):
     out = lines.squares_of_multiples(spark.range(1, 101), "id")
     assert [tuple(r) for r in out.collect()] == [(3 * i, 9 * i * i) for i in range(1, 11)]
+
+
+def test_customers_rewrite_their_buckets_only(spark, rows, monkeypatch):
+    """The second day has one new customer: other buckets keep their files, and bronze customers of earlier days are not read."""
+    from aljibe.sinks.changes import BUCKET
+
+    def run(day, customers):
+        order = (f"{day.day}", "1", str(day), "10", "PAID")
+        load = DailyLoad(spark, day, f"run-{day}", "buck", now=dt.datetime(2024, 2, day.day))
+        load.run(spark.createDataFrame([order], LANDED_ORDERS), spark.createDataFrame(customers, LANDED_CUSTOMERS))
+        found = spark.table("buck_silver.customers").groupBy(BUCKET).agg(F.min("_metadata.file_path")).collect()
+        return load, {r[0]: r[1] for r in found}
+
+    many = [(i, f"n{i}", "ES", "a@b.co", dt.datetime(2024, 1, 1)) for i in range(200)]
+    load, first = run(D(2024, 1, 1), many)
+    assert len(first) == 16 and load.loaded_before is False
+    load, second = run(D(2024, 1, 2), [(1000, "new", "MX", "a@b.co", dt.datetime(2024, 1, 2))])
+    assert len([b for b in first if first[b] != second[b]]) == 1 and load.loaded_before is False
+    assert spark.table("buck_silver.customers").count() == 201
+    load, _ = run(D(2024, 1, 2), [(1001, "other", "MX", "a@b.co", dt.datetime(2024, 1, 2))])
+    assert load.loaded_before is True and rows(spark.table("buck_silver.customers").where("customer_id >= 1000"), "customer_id") == [(1001,)]

@@ -113,3 +113,168 @@ def test_upsert_may_set_null(spark, rows):
     target = spark.createDataFrame([("a", 1)], "name string, mark int")
     updates = spark.createDataFrame([("a", None), (None, 7)], "name string, mark int")
     assert rows(changes.upserted(target, updates, ["name"])) == [("a", None), (None, 7)]
+
+
+class Crash(Exception):
+    pass
+
+
+def crashing(spark, monkeypatch, number):
+    """Let the ``number``-th statement that changes the catalog from now on fail before it runs; a list of those that ran."""
+    run, ran = type(spark).sql, []
+
+    def sql(self, text, *args, **kwargs):
+        if text.split()[0] in ("ALTER", "DROP"):
+            if len(ran) == number:
+                raise Crash(text)
+            ran.append(text)
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    return ran
+
+
+def states_after_crashes(spark, rows, table, prepare, change, old, new, while_switching=lambda now: False):
+    """Crash before each statement of ``change`` in turn. The table must hold old or new rows each time, and new rows after the change is run again."""
+    seen, number = set(), 0
+    while True:
+        tables.drop_table(spark, table)
+        prepare()
+        reader = spark.table(table).withColumn("_slow", F.lit(1))
+        reader._jdf.queryExecution().executedPlan()  # the reader has been planned
+        with pytest.MonkeyPatch.context() as patch:
+            ran = crashing(spark, patch, number)
+            try:
+                change()
+                crashed = False
+            except Crash:
+                crashed = True
+        tables.recover(spark, table)
+        now = rows(spark.table(table))
+        assert now in (old, new), (number, ran)
+        assert rows(reader.drop("_slow")) in (old, now)
+        seen.add(tuple(now))
+        if not crashed:
+            assert now == new and number > 0
+            return seen
+        change()
+        assert rows(spark.table(table)) == new
+        number += 1
+
+
+@pytest.mark.parametrize("kind", ["same columns", "new column", "other columns", "partitioned"])
+def test_a_crash_between_any_two_steps_of_publish_leaves_old_or_new_rows(spark, schema_name, rows, kind):
+    table, parts = f"{schema_name}.t", ("a",) if kind == "partitioned" else ()
+    before = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
+    after = {
+        "same columns": spark.createDataFrame([(3, "z")], "a int, b string"), "new column": spark.createDataFrame([(3, "z", 1.5)], "a int, b string, c double"),
+        "other columns": spark.createDataFrame([("three",)], "a string"), "partitioned": spark.createDataFrame([(2, "w"), (3, "z")], "a int, b string"),
+    }[kind]
+    order = ("b", "a") if parts else after.columns
+    old = rows(before, *order) if kind != "new column" else [(1, "x", None), (2, "y", None)]
+    olds = [old, rows(before)]
+
+    def now(df, *_):
+        found = rows(df)
+        return old if found in olds else found
+
+    seen = states_after_crashes(
+        spark, now, table, lambda: tables.publish(before, table, partitioned_by=parts), lambda: tables.publish(after, table, partitioned_by=parts), old, rows(after, *order))
+    assert len(seen) == 2
+    assert [t.name for t in spark.catalog.listTables(schema_name)] == ["t"]
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_a_crash_between_any_two_steps_of_a_range_replacement(spark, schema_name, rows, managed):
+    table = f"{schema_name}.t"
+    days = [D(2024, 1, d) for d in (1, 2, 3, 4)]
+    start = spark.createDataFrame([(i, day) for i, day in enumerate(days)], "id int, day date")
+    new = spark.createDataFrame([(50, days[1]), (51, D(2024, 1, 9))], "id int, day date")
+
+    def prepare():
+        if managed:
+            start.write.partitionBy("day").saveAsTable(table)
+        else:
+            tables.publish(start, table, partitioned_by=("day",))
+
+    old, after = rows(start), [(0, days[0]), (3, days[3]), (50, days[1])]
+    seen = states_after_crashes(spark, rows, table, prepare, lambda: changes.replace_range(spark, new, table, "day", days[0], days[2]), old, after)
+    assert len(seen) == 2
+
+
+def test_each_day_is_whole_while_days_are_switched(spark, schema_name, rows):
+    table = f"{schema_name}.t"
+    start = spark.createDataFrame([(i, D(2024, 1, 1 + i % 3)) for i in range(9)], "id int, day date")
+    tables.publish(start, table, partitioned_by=("day",))
+    states = []
+    with pytest.MonkeyPatch.context() as patch:
+        run = type(spark).sql
+
+        def sql(self, text, *args, **kwargs):
+            if "SET LOCATION" in text:
+                found = run(self, f"SELECT day, min(id) >= 100 AND count(*) = 3 OR max(id) < 100 AND count(*) = 3 AS whole FROM {table} GROUP BY day")
+                states.append([r["whole"] for r in found.collect()])
+            return run(self, text, *args, **kwargs)
+
+        patch.setattr(type(spark), "sql", sql)
+        changes.replace_days(spark, start.withColumn("id", F.col("id") + 100), table, "day", set())
+    assert len(states) == 3 and all(state == [True] * 3 for state in states)
+
+
+def test_readers_that_began_finish_and_old_folders_go_later(spark, schema_name, rows):
+    import datetime as dt
+
+    table = f"{schema_name}.t"
+    for n in (1, 2, 3):
+        if n > 1:
+            reader = spark.table(table)
+            reader._jdf.queryExecution().executedPlan()
+        tables.publish(spark.createDataFrame([(n,)], "a int"), table)
+        if n > 1:
+            assert rows(reader) in ([(n - 1,)], [(n,)])
+    assert len(tables._versions(spark, table)) == 3 and tables.vacuum(spark, table) == []
+    assert len(tables.vacuum(spark, table, dt.timedelta(0))) == 2
+    assert rows(spark.table(table)) == [(3,)]
+    parted = f"{schema_name}.p"
+    tables.publish(spark.createDataFrame([(n, D(2024, 1, n)) for n in (1, 2, 3)], "a int, day date"), parted, partitioned_by=("day",))
+    changes.replace_days(spark, spark.createDataFrame([(20, D(2024, 1, 2))], "a int, day date"), parted, "day", set())
+    gone = tables.vacuum(spark, parted, dt.timedelta(0))
+    assert [one.rpartition("/")[2] for one in gone] == ["day=2024-01-02"]
+    tables.append(spark.createDataFrame([(21, D(2024, 1, 2)), (4, D(2024, 1, 4))], "a int, day date"), parted)
+    assert rows(spark.table(parted), "a") == [(1,), (20,), (21,), (3,), (4,)]
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, schema_name, rows):
+    table = f"{schema_name}.b"
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType()), StructField("note", StringType())])
+    changes.create_bucketed(spark, table, schema, ["id"], 16)
+    first = spark.range(400).select("id", F.lit("a").alias("name"), F.lit("kept").alias("note"))
+    changes.upsert(spark, first, table, ["id"])
+
+    def files():
+        found = spark.table(table).groupBy(changes.BUCKET).agg(F.array_sort(F.collect_set("_metadata.file_path")).alias("files")).collect()
+        return {r[0]: r["files"] for r in found}
+
+    before = files()
+    assert len(before) == 16
+    updates = spark.createDataFrame([(7, "b"), (4000, "new"), (None, "nobody")], "id long, name string")
+    touched = {r[0] for r in updates.select(changes.bucket_of(["id"], 16)).collect()}
+    for _ in range(2):
+        changes.upsert(spark, updates.where("id is not null"), table, ["id"])
+        after = files()
+        assert {b for b in before if before[b] != after[b]} == touched - {r[0] for r in updates.where("id is null").select(changes.bucket_of(["id"], 16)).collect()}
+        assert spark.table(table).count() == 401
+        assert rows(spark.table(table).where("name <> 'a'"), "id", "name", "note") == [(4000, "new", None), (7, "b", "kept")]
+    changes.upsert(spark, updates.where("false"), table, ["id"])
+    assert files() == after
+    changes.upsert(spark, updates.where("id is null"), table, ["id"])
+    assert spark.table(table).where("id is null").count() == 1
+    with pytest.raises(LoadError, match="several updates"):
+        changes.upsert(spark, updates.union(updates), table, ["id"])
+
+
+def test_upsert_of_no_rows_into_a_new_bucketed_table(spark, schema_name):
+    table = f"{schema_name}.b"
+    changes.create_bucketed(spark, table, StructType([StructField("id", LongType())]), ["id"], 4)
+    changes.upsert(spark, spark.range(0), table, ["id"])
+    assert spark.table(table).count() == 0
