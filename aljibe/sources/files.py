@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from aljibe.errors import EmptyDatasetError
+from aljibe.sources.json_arrays import json_rows
 
 
 def explore_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -23,9 +24,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, columns:
 
 
 def read_json_arrays(spark: SparkSession, root: str, schema: StructType | str | None = None, pattern: str = "*.json") -> DataFrame:
-    """Every JSON file below ``root``, each holding one array of documents."""
-    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return (reader.schema(schema) if schema else reader).json(root)
+    """Every JSON file below ``root``, each holding one array of documents.
+
+    With a schema large files are read by several tasks (``json_arrays``). Without one it is inferred, for exploration: a file is read by one task.
+    """
+    if schema is not None:
+        return json_rows(spark, root, schema, pattern)
+    return spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(root)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
