@@ -2,50 +2,37 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aljibe.functions.nested import MESSAGE_KEYS, first_list
 from aljibe.functions.text import first_number, mentions, plain_markup, stripped
+from aljibe.operators.tag_tree import select_elements
 
 
 def page_title(html: Column) -> Column:
-    return plain_markup(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1))
+    """Text of the first title, whatever its attributes and the case of its tag."""
+    return plain_markup(F.regexp_extract(html, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1))
 
 
 def page_links(df: DataFrame, key: str, html: str) -> DataFrame:
     """Targets of the links of each page with their position, from 0."""
-    targets = F.regexp_extract_all(F.col(html), F.lit(r'<a [^>]*?href="([^"]*)"'), F.lit(1))
-    return df.select(key, F.posexplode(targets).alias("position", "link"))
+    return select_elements(df, [key], html, "a[href]", {"link": ("", "href")}, "position")
 
 
-def page_items(df: DataFrame, keep: Sequence[str], html: str, block: str, fields: Mapping[str, str]) -> DataFrame:
-    """One row per repeated block of a page, with the groups of each field's pattern as text (those that do not take part are empty).
+def page_items(df: DataFrame, keep: Sequence[str], html: str, block: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row per element that ``block`` selects, nested ones too, with the fields of it as text without white space at either end.
 
-    A field that is absent from a block is NULL.
+    A field that is absent from a block is NULL. Selectors are those of ``select_elements``.
     """
-    blocks = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(block), F.lit(0))).alias("_block"))
-    def field(pattern: str) -> Column:
-        groups = re.compile(pattern).groups
-        return F.when(F.col("_block").rlike(pattern), plain_markup(stripped(F.concat(*[F.regexp_extract("_block", pattern, i + 1) for i in range(groups)]))))
-
-    return blocks.select(*keep, *[field(pattern).alias(name) for name, pattern in fields.items()])
-
-
-def has_class(word: str) -> str:
-    """Pattern of the attributes of a tag that has ``word`` among its classes, in either quotes and any place."""
-    return rf"""(?=[^>]*?\sclass=(?:"(?:[^"]*\s)?{word}(?:\s[^"]*)?"|'(?:[^']*\s)?{word}(?:\s[^']*)?'|{word}[\s>]))[^>]*"""
+    items = select_elements(df, keep, html, block, fields)
+    return items.select(*keep, *[stripped(F.col(name)).alias(name) for name in fields])
 
 
 # The tags and classes of the product list read by ``listed_products``.
-PRODUCT_BLOCK = rf"(?s)<article{has_class('product_pod')}>.*?</article>"
-PRODUCT_FIELDS = {
-    "product_name": r"""(?s)<h3[^>]*>\s*<a[^>]*?\stitle=(?:"([^"]*)"|'([^']*)')""",
-    "price_text": rf"(?s)<[a-z0-9]+{has_class('price_color')}>([^<]*)<",
-    "availability": rf"(?s)<[a-z0-9]+{has_class('availability')}>(?:\s*<i[^>]*>\s*</i>)?([^<]*)<",
-}
+PRODUCT_BLOCK = "article.product_pod"
+PRODUCT_FIELDS = {"product_name": ("h3 a", "title"), "price_text": (".price_color", "text"), "availability": (".availability", "text")}
 
 
 def listed_products(pages: DataFrame, html: str = "html", currency: str = "GBP", source: str = "books_to_scrape", keep: Sequence[str] = ()) -> DataFrame:

@@ -701,10 +701,7 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def page_items(spark: SparkSession, folder: str) -> DataFrame:
     """Each navigation entry as a block with its target and label."""
-    return documents.page_items(
-        table(spark, folder, "pages"), ["page_id"], "html", r"(?s)<li>.*?</li>",
-        {"target": r'href="([^"]*)"', "label": r"(?s)<a [^>]*>([^<]*)</a>"},
-    )
+    return documents.page_items(table(spark, folder, "pages"), ["page_id"], "html", "li", {"target": ("a[href]", "href"), "label": ("a", "text")})
 
 
 @query

@@ -148,7 +148,7 @@ def test_pages(spark, rows):
     assert rows(documents.listed_products(pages)) == [
         ('A "Light"', 51.77, "GBP", True, "books_to_scrape"), ("B", None, "GBP", False, "books_to_scrape"),
         ('C "quoted"', 3.5, "GBP", True, "books_to_scrape")]
-    assert rows(documents.page_links(pages, "page_id", "html")) == [(1, 0, "a.html"), (1, 1, "b.html"), (1, 2, "d.html")]
+    assert rows(documents.page_links(pages, "page_id", "html")) == [(1, 0, "a.html"), (1, 1, "b.html"), (1, 2, "c.html"), (1, 3, "d.html")]
     assert [r[0] for r in pages.select(documents.page_title(F.col("html"))).collect()] == ["\n All & more", None, ""]
 
 
