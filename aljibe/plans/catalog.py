@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from aljibe.functions import dates, nested, numbers, text
-from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, profile, rejects, rules, suites
+from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, profile, rejects, rules, suites, variants
 from aljibe.plans import quality, retail
 from aljibe.plans.samples import (
     AS_OF, CURRENCY_OF, PAYMENT_METHODS, STATUSES, checked_orders, dirty_orders, sales_lines_base, table,
@@ -730,6 +730,52 @@ def messages_flat(spark: SparkSession, folder: str) -> DataFrame:
     return documents.messages(turns.select("conv_id", document.alias("document")), ["conv_id"], "document", "struct<turn:bigint,role:string,text:string>")
 
 
+def _loose_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with documents that nobody declared: the value as number or text, a list or an object beside it, and every eleventh cut short."""
+    event, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    value = F.when(event % 5 == 0, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k)
+    more = (
+        F.when(event % 3 == 0, F.concat(F.lit(', "tags": ["'), F.col("event_type"), F.lit('", {"deep": '), event.cast("string"), F.lit("}]")))
+        .when(event % 3 == 1, F.concat(F.lit(', "seen": {"by": null, "ok": '), (event % 2 == 0).cast("string"), F.lit("}")))
+        .otherwise(F.lit(', "tags": []'))
+    )
+    end = F.when(event % 11 == 0, "").otherwise("}")
+    return table(spark, folder, "events").select("event_id", F.concat(F.lit('{"k": '), value, more, end).alias("text"))
+
+
+@query
+def document_fields(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.document_fields(variants.documents_of(_loose_documents(spark, folder), "text"), ["event_id"], "document")
+
+
+@query
+def document_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.malformed(_loose_documents(spark, folder), "text")
+
+
+@query
+def document_field_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.field_kinds(document_fields(spark, folder))
+
+
+@query
+def messages_any_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns as documents under one of the four keys, some with the turn as text, some with a field more, and back to rows."""
+    turns = table(spark, folder, "conversations")
+    place = F.pmod("turn", F.lit(len(nested.MESSAGE_KEYS)))
+    plain = F.to_json(F.array(F.struct("turn", "role", "text")))
+    as_text = F.to_json(F.array(F.struct(F.concat(F.lit("no. "), F.col("turn").cast("string")).alias("turn"), "role", "text")))
+    longer = F.to_json(F.array(F.struct("turn", "role", "text", F.length("text").alias("size"))))
+    items = F.when(F.col("conv_id") % 3 == 0, plain).when(F.col("conv_id") % 3 == 1, as_text).otherwise(longer)
+    key = F.element_at(F.array(*[F.lit(key) for key in nested.MESSAGE_KEYS]), (place + 1).cast("int"))
+    text = F.concat(F.lit('{"messages": "none", "'), key, F.lit('": '), items, F.lit("}"))
+    # the first key cannot stand twice: it holds the list or, where another does, a text
+    text = F.when(place == 0, F.concat(F.lit('{"messages": '), items, F.lit("}"))).otherwise(text)
+    documents_ = variants.documents_of(turns.select("conv_id", text.alias("text")), "text")
+    found = variants.document_messages(documents_, ["conv_id"], "document", {"turn": "bigint", "role": "string", "text": "string", "size": "int"})
+    return found.drop("message")
+
+
 # loads ---------------------------------------------------------------------
 
 

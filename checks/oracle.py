@@ -253,6 +253,16 @@ UNESCAPED = (
 )
 ACCENTED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñç", "aaaaaaeeeeiiiiooooouuuunc"
 
+LOOSE_FIELDS = """
+        SELECT event_id, '$.k' AS path, CASE WHEN event_id % 5 = 0 THEN 'STRING' ELSE 'BIGINT' END AS kind,
+               CASE WHEN event_id % 5 = 0 THEN '"' || k || '"' ELSE k END AS value FROM loose
+        UNION ALL SELECT event_id, '$.tags[0]', 'STRING', '"' || event_type || '"' FROM loose WHERE event_id % 3 = 0
+        UNION ALL SELECT event_id, '$.tags[1].deep', 'BIGINT', CAST(event_id AS VARCHAR) FROM loose WHERE event_id % 3 = 0
+        UNION ALL SELECT event_id, '$.seen.by', 'VOID', 'null' FROM loose WHERE event_id % 3 = 1
+        UNION ALL SELECT event_id, '$.seen.ok', 'BOOLEAN', CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END FROM loose WHERE event_id % 3 = 1
+        UNION ALL SELECT event_id, '$.tags', 'ARRAY', '[]' FROM loose WHERE event_id % 3 = 2"""
+LOOSE = "WITH loose AS (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k FROM events WHERE event_id % 11 <> 0)"
+
 ORACLE: dict[str, str] = {
     "gold_daily_sales": f"""WITH {REASONED}
         SELECT order_date, count(order_id) AS total_orders, {_total('amount')} AS total_revenue, {_mean('amount')} AS avg_ticket
@@ -498,6 +508,19 @@ ORACLE: dict[str, str] = {
                CASE WHEN paid THEN o_orderpriority END AS payment_method, CASE WHEN paid THEN o_orderdate END AS paid_at
         FROM (SELECT *, o_orderstatus = 'F' AS paid FROM orders) LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
         LEFT JOIN part ON o_custkey = p_partkey AND p_size > 5 WHERE o_orderkey % 6 > 0""",
+    "document_fields": f"{LOOSE} {LOOSE_FIELDS}",
+    "document_field_kinds": f"""
+        {LOOSE}, fields AS ({LOOSE_FIELDS})
+        SELECT regexp_replace(path, '\\[[0-9]+\\]', '[]', 'g') AS path, kind, count(*) AS n FROM fields GROUP BY 1, 2""",
+    "document_rejects": """
+        WITH cut AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events WHERE event_id % 11 = 0)
+        SELECT event_id, '{"k": ' || CASE WHEN event_id % 5 = 0 THEN '"' || k || '"' ELSE k END ||
+               CASE event_id % 3 WHEN 0 THEN ', "tags": ["' || event_type || '", {"deep": ' || event_id || '}]'
+                                 WHEN 1 THEN ', "seen": {"by": null, "ok": ' || (event_id % 2 = 0) || '}' ELSE ', "tags": []' END AS text FROM cut""",
+    "messages_any_shape": """
+        SELECT conv_id, 0 AS place, CASE WHEN conv_id % 3 <> 1 THEN turn END AS turn, role, text, CASE WHEN conv_id % 3 = 2 THEN CAST(length(text) AS INTEGER) END AS size,
+               'OBJECT<role: STRING, ' || CASE WHEN conv_id % 3 = 2 THEN 'size: BIGINT, ' ELSE '' END || 'text: STRING, turn: ' ||
+               CASE WHEN conv_id % 3 = 1 THEN 'STRING>' ELSE 'BIGINT>' END AS shape FROM conversations""",
     "missing_days": """
         WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
         span AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM days), (SELECT max(day) FROM days), INTERVAL 1 DAY)) AS DATE) AS day),
