@@ -66,8 +66,20 @@ def parse(raw: bytes) -> dict:
             "payload": payload if fields["WARC-Type"] == "response" else None}
 
 
+def frame_end(view: memoryview, at: int) -> int:
+    """Where the Zstandard frame at ``at`` ends: after its header, its blocks, whose headers tell their sizes, and its checksum."""
+    head = view[at : at + 18]
+    end = at + zstandard.frame_header_size(head)
+    while True:
+        block = int.from_bytes(view[end : end + 3], "little")
+        last, kind, size = block & 1, block >> 1 & 3, block >> 3
+        end += 3 + (1 if kind == 1 else size)  # kind 1 repeats one byte
+        if last:
+            return end + 4 * zstandard.get_frame_parameters(head).has_checksum
+
+
 def frames(archive: bytes) -> Iterator[bytes]:
-    """Decompressed records of an archive; the dictionary is taken from its leading frame."""
+    """Decompressed records of an archive; the dictionary is taken from its leading frame. Linear: each frame is cut out before it is read."""
     view, at, dictionary = memoryview(archive), 0, None
     reader = zstandard.ZstdDecompressor()
     while at < len(view):
@@ -78,10 +90,9 @@ def frames(archive: bytes) -> Iterator[bytes]:
                 reader = zstandard.ZstdDecompressor(dict_data=dictionary)
             at += 8 + size
             continue
-        one = reader.decompressobj()
-        out = one.decompress(view[at:])
-        at = len(view) - len(one.unused_data)
-        yield out
+        end = frame_end(view, at)
+        yield reader.decompressobj().decompress(view[at:end])
+        at = end
 
 
 def train_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> bytes:

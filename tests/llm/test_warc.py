@@ -1,4 +1,6 @@
 import hashlib
+import struct
+from types import SimpleNamespace
 
 import pytest
 import zstandard
@@ -57,3 +59,22 @@ def test_damage_is_noticed():
 
 def test_an_empty_table(spark):
     assert warc.archived(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_frames_are_cut_out_one_by_one(monkeypatch):
+    """Every byte of an archive is given to the decompressor once; frames of raw, repeated and several blocks, with checksums or without size."""
+    data = [b"", b"a", b"x" * 400_000, bytes(range(256)) * 2000, hashlib.sha512(b"1").digest() * 4000, b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(9000))]
+    archive = struct.pack("<II", 0x184D2A53, 3) + b"any"
+    for i, one in enumerate(data * 2):
+        archive += zstandard.ZstdCompressor(level=1 + i, write_checksum=i % 2 == 0, write_content_size=i % 3 > 0).compress(one)
+        archive += warc.SEPARATOR.encode()
+    given = []
+
+    class Decompressor(zstandard.ZstdDecompressor):
+        def decompressobj(self):
+            inner = super().decompressobj()
+            return SimpleNamespace(decompress=lambda part: given.append(len(part)) or inner.decompress(part))
+
+    monkeypatch.setattr(warc.zstandard, "ZstdDecompressor", Decompressor)
+    assert list(warc.frames(archive)) == data * 2
+    assert sum(given) == len(archive) - 11 - 8 * len(data) * 2
