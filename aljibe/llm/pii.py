@@ -37,6 +37,25 @@ LENGTHS, SHARES = (12, 20, 40), (0.25, 0.75)
 SPAN = "array<struct<start:bigint,rank:int,kind:string,stop:bigint>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often and within whatever loop it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, combine) -> Column:
+    """Array whose item at each place combines all of ``values`` (numbers) up to there.
+
+    Each round combines every item with the one a power of two before it, so n items take log n rounds, and no array grows item by item.
+    """
+    numbers = values.cast("array<bigint>")
+
+    def round_(done, step):
+        return F.transform(done, lambda x, i: F.when(i >= step, combine(x, F.get(done, i - step))).otherwise(x)).cast("array<bigint>")
+
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(numbers))).cast("int") - 1), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.when(F.size(numbers) > 1, F.aggregate(steps, numbers, round_)).otherwise(numbers)
+
+
 def _found(text: Column, pattern: str, row, kind: str) -> Column:
     """Array of ``row(start, hit, text before)`` of all matches for which it is not NULL, in order.
 
@@ -44,18 +63,15 @@ def _found(text: Column, pattern: str, row, kind: str) -> Column:
     positions; they are only taken apart where there is a match.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.split(text, pattern, -1), hits)
     none = F.array().cast(kind)
 
-    def step(seen, x):
-        before, hit = x["0"], x["1"]
-        start = seen["at"] + F.char_length(before)
-        one = F.when(hit.isNotNull(), row(start, hit, before))
-        return F.struct((start + F.coalesce(F.char_length(hit), F.lit(0))).alias("at"),
-                        F.when(one.isNotNull(), F.concat(seen["found"], F.array(one))).otherwise(seen["found"]).alias("found"))
+    def placed(both):
+        ends = _running(F.transform(both, lambda x: F.char_length(x["before"]) + F.char_length(x["hit"])), lambda one, other: one + other)
+        return F.transform(F.arrays_zip(both.alias("both"), ends.alias("end")), lambda x: row(x["end"] - F.char_length(x["both"]["hit"]), x["both"]["hit"], x["both"]["before"]))
 
-    walked = F.aggregate(both, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")), step, lambda seen: seen["found"])
-    return F.when(F.size(hits) > 0, walked).otherwise(none)
+    # one more text than matches: the last has none after it
+    pairs = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)).alias("before"), hits.alias("hit"))
+    return F.when(F.size(hits) > 0, F.filter(_bound(pairs, placed), lambda x: x.isNotNull()).cast(kind)).otherwise(none)
 
 
 def _digits(hit: Column) -> Column:
@@ -204,11 +220,27 @@ def train(docs: DataFrame, text_col: str = "text") -> SpanModel:
 
 
 def all_spans(base: Column, found: Column, model: SpanModel) -> Column:
-    """Base spans, and accepted candidates that overlap none of them, by start and then by kind."""
-    free = F.filter(found, lambda c: model.accepts(c) & ~F.exists(base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    """Base spans, and accepted candidates that overlap none of them, by start and then by kind.
+
+    Base spans by their start and candidates by their stop are put in one order; a candidate is free if no base span before it in that
+    order, that is, none that starts before the candidate stops, reaches beyond the candidate's start.
+    """
     rank = lambda kind: F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind).cast("int") - 1
-    added = F.transform(free, lambda c: F.struct(c["start"].alias("start"), rank(c["kind"]).alias("rank"), c["kind"].alias("kind"), c["stop"].alias("stop")))
-    return F.array_sort(F.concat(base, added.cast(SPAN)))
+    accepted = F.filter(found, model.accepts)
+    point = lambda at, is_base, reach, span: F.struct(at.alias("at"), F.lit(is_base).alias("base"), reach.alias("reach"), span.alias("span"))
+    span_of = lambda x, place: F.struct(x["start"].alias("start"), place.alias("rank"), x["kind"].alias("kind"), x["stop"].alias("stop"))
+    kind = "array<struct<at:bigint,base:boolean,reach:bigint,span:struct<start:bigint,rank:int,kind:string,stop:bigint>>>"
+    bases = F.transform(base, lambda b: point(b["start"], True, b["stop"], span_of(b, b["rank"]))).cast(kind)
+    others = F.transform(accepted, lambda c: point(c["stop"], False, F.lit(-1), span_of(c, rank(c["kind"])))).cast(kind)
+
+    def free(points):
+        reach = _running(points["reach"], lambda one, other: F.greatest(one, other))
+        kept = F.filter(F.arrays_zip(points.alias("point"), reach.alias("reach")), lambda x: ~x["point"]["base"] & (x["reach"] <= x["point"]["span"]["start"]))
+        return F.transform(kept, lambda x: x["point"]["span"])
+
+    # false comes before true: a base span that starts where the candidate stops does not overlap it
+    added = _bound(F.array_sort(F.concat(bases, others)), free)
+    return F.when(F.size(accepted) > 0, F.array_sort(F.concat(base, added.cast(SPAN)))).otherwise(F.array_sort(base))
 
 
 def _joined(spans: Column) -> Column:
@@ -233,6 +265,27 @@ def personal_data(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", tex
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"))
 
 
+def _replaced(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its kind; one that begins before an earlier one ends, by the text after that."""
+    def pieces(spans, reach):
+        before = F.transform(reach, lambda _, i: F.coalesce(F.get(reach, i - 1), F.lit(0)))
+        return F.filter(F.arrays_zip(spans.alias("span"), before.alias("at")), lambda x: x["span"]["start"] >= x["at"])
+
+    def joined(kept, last, part):
+        kind = lambda x: F.concat(F.lit("<"), F.upper(x["span"]["kind"]), F.lit(">"))
+        return F.concat(F.array_join(F.transform(kept, lambda x: F.concat(part(x["at"], x["span"]["start"]), kind(x))), ""), part(last, F.char_length(text)))
+
+    # a substring is counted off from the beginning of the text: with many spans the text is taken apart into characters once
+    few = lambda at, stop: F.substring(text, (at + 1).cast("int"), (stop - at).cast("int"))
+    many = lambda chars: lambda at, stop: F.array_join(F.slice(chars, (at + 1).cast("int"), (stop - at).cast("int")), "")
+
+    def replaced(reach):
+        kept, last = pieces(spans, reach), F.array_max(reach)
+        return F.when(F.size(spans) <= 32, joined(kept, last, few)).otherwise(_bound(F.split(text, ""), lambda chars: joined(kept, last, many(chars))))
+
+    return _bound(_running(F.transform(spans, lambda s: s["stop"]), lambda one, other: F.greatest(one, other)), replaced)
+
+
 def redacted(docs: DataFrame, model: SpanModel, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with each span of ``text_col`` replaced by its kind, as in ``<EMAIL>``; overlapping spans by the first of them.
 
@@ -243,14 +296,7 @@ def redacted(docs: DataFrame, model: SpanModel, text_col: str = "text", chars_co
     text = F.coalesce(F.col("_row").getField(text_col), F.lit(""))
     found = with_spans(packed, model, text, [F.col("_row")])
 
-    def step(done, span):
-        again = span["start"] < done["at"]
-        part = F.concat(done["out"], F.substring(F.col("_text"), (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int")),
-                        F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        return F.struct(F.when(again, F.greatest(done["at"], span["stop"])).otherwise(span["stop"]).alias("at"), F.when(again, done["out"]).otherwise(part).alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("_spans", start, step, lambda done: F.concat(done["out"], F.substring(F.col("_text"), (done["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    clean = _replaced(F.col("_text"), F.col("_spans"))
     clean = F.when(F.size("_spans") > 0, clean).otherwise(F.col("_row").getField(text_col))
     counted = F.when(F.size("_spans") > 0, F.char_length(clean)).otherwise(F.col("_row").getField(chars_col)) if chars_col in names else None
     new = {text_col: clean, chars_col: counted}
