@@ -7,6 +7,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -47,8 +48,10 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?![a-zA-Z0-9:-])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"  # a quote that is never closed ends with the tag
     r"|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+BEGUN = re.compile(r"<[a-zA-Z/!?]")  # any other "<" is text
 NAMED = re.compile(r"(?<![^\s\"'/])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\"[^\"]*\"|'[^']*'", re.I)
 WORD = re.compile(r"[a-z]+(?:\d{1,2}(?![\da-z]))?")
+MADE = re.compile(r"[a-z]*\d+[a-z][a-z\d]*")  # parts of class names with digits among letters are made by tools and tell rows apart
 #: First words of class names that say what an element has or lacks, and words that stand beside a boilerplate word in the id of a layout element.
 STATES = frozenset("has is no not with without".split())
 LAYOUT = frozenset("area bar block bottom box button buttons container content form inner left link links list main outer page panel primary right secondary section "
@@ -56,8 +59,9 @@ LAYOUT = frozenset("area bar block bottom box button buttons container content f
 TEXT = "#"
 #: Fields of a wrapper node. SEEN and PAGES count instances and pages, SAME is the checksum of a text that never differs.
 LABEL, FLAGS, CHILDREN, SEEN, CHARS, LINKED, SAME, PAGES = range(8)
-REPEATED, OPTIONAL, JOINED, KEPT, SPARE = 1, 2, 4, 8, 16
-SALTS, HOSTS_AT_ONCE, LEAST_PAGES, DEEPEST = 32, 2000, 5, 150
+REPEATED, OPTIONAL, JOINED, KEPT, SPARE, MAIN = 1, 2, 4, 8, 16, 32
+LIGHT = 4  # an article with less than this part of the text of its main element is a teaser in it
+SALTS, HOSTS_AT_ONCE, WRAPPERS_AT_ONCE, LEAST_PAGES, DEEPEST = 32, 2000, 64, 5, 150
 
 
 def label(tag: str, attributes: str) -> str:
@@ -68,7 +72,7 @@ def label(tag: str, attributes: str) -> str:
     for name, *values in NAMED.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         for token in [value] if name == "id" else value.split():
-            own = WORD.findall(token)
+            own = WORD.findall(MADE.sub("", token))
             names = {w for w in own if is_name(w)}
             if names and own[0] in STATES or name == "id" and not all(w in names or w.rstrip("0123456789") in LAYOUT for w in own):
                 own = [w for w in own if w not in names]  # a state, or the slug of a title
@@ -100,9 +104,9 @@ def parse(page: str) -> list:
             buffer.clear()
         linked = 0
 
-    unfinished = page.find("<", page.rfind(">") + 1)
-    if unfinished >= 0:  # no tag ends after the last ">"
-        page = page[:unfinished]
+    unfinished = BEGUN.search(page, page.rfind(">") + 1)
+    if unfinished:  # no tag ends after the last ">"
+        page = page[: unfinished.start()]
     for token in TOKEN.finditer(page):
         start = token.start()
         if start > at:
@@ -153,8 +157,19 @@ def parse(page: str) -> list:
     return root
 
 
-def wrapper_of(node: list) -> list:
-    """Wrapper of one page. Each label stands once on a level: neighbours with the same label are one repeated node, and
+def wrapper_of(tree: list) -> list:
+    """Wrapper of one page: every slot of it has been seen on one page, however often."""
+    whole = _folded(tree)
+    left = [whole]
+    while left:
+        node = left.pop()
+        node[PAGES] = 1
+        left += node[CHILDREN]
+    return whole
+
+
+def _folded(node: list) -> list:
+    """The nodes of a page as a wrapper. Each label stands once on a level: neighbours with the same label are one repeated node, and
     where a label comes back later, all from its first place on is one repeated group of optional nodes (JOINED to the next)."""
     if node[0] == TEXT:
         return [TEXT, 0, [], 1, len(node[1]), node[2], zlib.crc32(node[1].encode("utf-8", "replace")), 1]
@@ -162,7 +177,7 @@ def wrapper_of(node: list) -> list:
     places: dict[str, int] = {}
     last = -1
     for child in node[1]:
-        own = wrapper_of(child)
+        own = _folded(child)
         place = places.get(own[LABEL])
         if place is None:
             last = places[own[LABEL]] = len(level)
@@ -171,7 +186,6 @@ def wrapper_of(node: list) -> list:
         join(level, place, last)
         level[place] = merge(level[place], own)
         level[place][FLAGS] |= REPEATED
-        level[place][PAGES] = 1
         last = place
     return [node[0], 0, level, 1, 0, 0, 0, 1]
 
@@ -259,7 +273,9 @@ def is_boiler(name: str, inside_main: bool) -> bool:
 def choose(wrapper: list) -> list:
     """Mark the slots of main text and return the wrapper.
 
-    Boilerplate containers are left out, unless they hold most of the text outside links (a page-wide form). What is left of ``article`` elements is main text (KEPT), without any, of ``main`` elements.
+    Boilerplate containers are left out, unless they hold most of the text outside links (a page-wide form). What is left of ``article`` elements may be main text (KEPT), and
+    what is left of ``main`` elements (MAIN); a page decides by its own texts. In both, a slot whose text is the same on all pages that have it belongs to the template and is left out, but for
+    headings, and unless it is the template that has most of the text, as where all pages are copies.
     For pages that have neither, the smallest element that holds most of the text of the other slots that
     differ between pages and are not links is main text (SPARE).
     """
@@ -277,9 +293,13 @@ def choose(wrapper: list) -> list:
         tag, _, rest = node[LABEL].partition(".")
         return tag in NEVER or any(w.startswith(TALK) for w in rest.split(".")) or 2 * texts[id(node)] <= texts[id(wrapper)]
 
+    headings: set[int] = set()
+
     def slots(node: list, within: bool) -> Iterator[list]:
         for child in node[CHILDREN]:
             if child[LABEL] == TEXT:
+                if node[LABEL].partition(".")[0] in HEADINGS:
+                    headings.add(id(child))
                 yield child
             elif not boiler(child, within):
                 yield from slots(child, within)
@@ -296,14 +316,14 @@ def choose(wrapper: list) -> list:
         return slot[SAME] is not None and slot[PAGES] >= LEAST_PAGES and pages >= LEAST_PAGES
 
     def mass(node: list) -> int:
-        return sum(s[CHARS] - s[LINKED] for s in slots(node, False) if not s[FLAGS] & KEPT and not constant(s) and 2 * s[LINKED] <= s[CHARS])
+        return sum(s[CHARS] - s[LINKED] for s in slots(node, False) if not s[FLAGS] & (KEPT | MAIN) and not constant(s) and 2 * s[LINKED] <= s[CHARS])
 
-    for fits in (lambda n: n.partition(".")[0] == "article", lambda n: n.partition(".")[0] == "main" or not MAIN_WORDS.isdisjoint(n.split(".")[1:])):
+    for mark, fits in ((KEPT, lambda n: n.partition(".")[0] == "article"), (MAIN, lambda n: n.partition(".")[0] == "main" or not MAIN_WORDS.isdisjoint(n.split(".")[1:]))):
         found = [s for node in holders(wrapper, fits) for s in slots(node, True)]
-        for slot in found:
-            slot[FLAGS] |= KEPT
-        if found:
-            break
+        varying = [s for s in found if not constant(s) or id(s) in headings]
+        template = 2 * sum(s[CHARS] for s in varying if not constant(s)) >= sum(s[CHARS] for s in found)
+        for slot in varying if template else found:
+            slot[FLAGS] |= mark
     node, whole = wrapper, mass(wrapper)
     while whole:
         inner = [c for c in node[CHILDREN] if c[LABEL] != TEXT and c[LABEL].partition(".")[0] not in LINES and not boiler(c, False)
@@ -332,8 +352,12 @@ def blocks(node: list, wrapper: list, mark: int) -> Iterator[str]:
 
 
 def extract(page: str, wrapper: list) -> str:
+    """Main text of a page by the wrapper of its host: that of its articles, or of its main element where that has far more, or else by mass."""
     tree = parse(page)
-    return "\n\n".join(blocks(tree, wrapper, KEPT)) or "\n\n".join(blocks(tree, wrapper, SPARE))
+    article, main = ["\n\n".join(blocks(tree, wrapper, mark)) for mark in (KEPT, MAIN)]
+    if article and LIGHT * len(article) >= len(main):
+        return article
+    return main or "\n\n".join(blocks(tree, wrapper, SPARE))
 
 
 def _dump(wrapper: list) -> str:
@@ -391,13 +415,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, wrapper = None, None
+        read = lru_cache(WRAPPERS_AT_ONCE)(json.loads)
         for batch in batches:
             found = []
             for page, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if text != last or wrapper is None:
-                    last, wrapper = text, json.loads(text) if text else choose(wrapper_of(parse(page)))
-                found.append(extract(page, wrapper))
+                found.append(extract(page, read(text) if text else choose(wrapper_of(parse(page)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], schema=schema)
 
     return joined.mapInArrow(texts, "page_id bigint, url string, text string, n_chars bigint")

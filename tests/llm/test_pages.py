@@ -111,3 +111,93 @@ def test_a_form_around_the_page():
     want = "Title\n\nThe text of the page is longer than all that stands around it"
     assert text_of(page.format(f"<article>{body}</article>")) == text_of(page.format(f"<div id=main>{body}</div>")) == text_of(page.format(f"<div class=c1>{body}</div>")) == want
     assert text_of(f"<article>{body}<form><p>Mail</p></form></article>") == want
+
+
+def texts_of(texts):
+    whole = pages.choose(wrapper(texts))
+    return [pages.extract(text, whole) for text in texts]
+
+
+def test_the_template_inside_articles_is_left_out():
+    """The same advert in a neutral element inside every article goes; the same heading stays, and so does what varies under the advert's label."""
+    page = "<body><article><h1>Title {i}</h1><h2>Abstract</h2><p>Text {i} that differs from page to page.</p><div class=box><p>Buy two, get one</p></div><p>More {i}</p></article></body>"
+    want = [f"Title {i}\n\nAbstract\n\nText {i} that differs from page to page.\n\nMore {i}" for i in range(20)]
+    assert texts_of([page.format(i=i) for i in range(20)]) == want
+    other = page.replace("Buy two, get one", "Aside {i}")
+    assert all(f"Aside {i}" in text for i, text in enumerate(texts_of([other.format(i=i) for i in range(20)])))
+    few = texts_of([page.format(i=i) for i in range(pages.LEAST_PAGES - 1)])
+    assert all("Buy two" in text for text in few)  # too few pages to tell a template
+
+
+def test_copies_of_one_page_keep_their_text():
+    page = "<body><article><h1>Title</h1><p>The one text of this host</p><div class=box><p>and a box</p></div></article></body>"
+    assert texts_of([page] * 30) == ["Title\n\nThe one text of this host\n\nand a box"] * 30
+
+
+def test_repeats_on_one_page_make_no_template():
+    page = "<body><article><p>Text {i} of this page and of no other one</p>" + "<div class=box><p>same</p></div>" * 9 + "</article></body>"
+    assert texts_of([page.format(i=1)])[0].count("same") == 9 and texts_of([page.format(i=i) for i in range(5)])[0].count("same") == 0
+
+
+def test_a_teaser_does_not_hide_the_page():
+    story = "".join(f"<p>Sentence {i} of the story.</p>" for i in range(20))
+    want = "short teaser\n\n" + "\n\n".join(f"Sentence {i} of the story." for i in range(20))
+    assert text_of(f"<main><article><p>short teaser</p></article><div>{story}</div></main>") == want
+    assert text_of(f"<main><article>{story}</article><div><p>also on this site</p></div></main>") == want.removeprefix("short teaser\n\n")
+
+
+def test_layouts_mixed_on_one_host():
+    article = ["<body><article><p>Article {i} with a text</p></article><div class=c9><p>Other {i}</p></div></body>".format(i=i) for i in range(8)]
+    main = ["<body><main><p>Main {i} with a text</p></main><div class=c9><p>Much other text beside, longer than the main text of {i}</p></div></body>".format(i=i) for i in range(8)]
+    assert texts_of(article + main) == [f"Article {i} with a text" for i in range(8)] + [f"Main {i} with a text" for i in range(8)]
+
+
+def test_signs_that_are_no_tags_are_text():
+    assert text_of("<article><p>3 < 4 and so on") == "3 < 4 and so on"
+    assert text_of("<article><p>a <3 b</p><p>c <") == "a <3 b\n\nc <"
+    assert text_of("<article><p>whole</p><p>cut <b") == "whole\n\ncut"
+
+
+def test_made_up_class_names_do_not_make_a_wrapper_grow():
+    page = "<body><div class='css-{n:x}a1b card_{n}x9'><article class='post-{n} sc-0{n}z'><p>Text {n}</p></article></div></body>"
+    one, many = (len(pages._dump(wrapper([page.format(n=n) for n in range(k)]))) for k in (2, 200))
+    assert many < one + 40
+
+
+def aligned(texts):
+    """Slots of a wrapper by plain means: per path of labels, the pages that have a text there and whether all texts are equal."""
+    found = {}
+    for page, text in enumerate(texts):
+        def walk(node, path):
+            for child in node[1]:
+                if child[0] == pages.TEXT:
+                    found.setdefault(path, []).append((page, child[1]))
+                else:
+                    walk(child, (*path, child[0]))
+        walk(pages.parse(text), ())
+    return {path: (len({page for page, _ in hits}), len({text for _, text in hits}) == 1, len(hits)) for path, hits in found.items()}
+
+
+def slots_of(node, path=()):
+    for child in node[pages.CHILDREN]:
+        if child[pages.LABEL] == pages.TEXT:
+            yield path, (child[pages.PAGES], child[pages.SAME] is not None, child[pages.SEEN])
+        else:
+            yield from slots_of(child, (*path, child[pages.LABEL]))
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_alignment_equals_brute_force_on_small_pages(seed):
+    import random
+
+    dice = random.Random(seed)
+
+    def element(depth):
+        tag = dice.choice(["div", "section", "div class=x", "p", "ul"])
+        inner = dice.choice(["same", f"t{dice.randrange(3)}"]) if depth == 0 or dice.random() < 0.3 else "".join(element(depth - 1) for _ in range(dice.randrange(1, 4)))
+        return f"<{tag}>{inner}</{tag.split()[0]}>"
+
+    texts = ["<body>" + "".join(element(2) for _ in range(dice.randrange(1, 4))) + "</body>" for _ in range(dice.randrange(1, 9))]
+    whole = wrapper(texts)
+    got, want = dict(slots_of(whole)), aligned(texts)
+    assert got == want
