@@ -9,7 +9,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from aljibe.functions import dates, nested, numbers, text
 from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, profile, rejects, rules, suites, variants
@@ -223,6 +223,22 @@ def schema_drift_by_status(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.schema_drift(landed, expected, by="status")
 
 
+@query
+def nested_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with nested columns against the types that were agreed on."""
+    event = F.col("event_id")
+    props = F.struct(
+        F.when(event % 4 > 0, F.get_json_object("props", "$.k").cast("int")).alias("k"), F.col("event_type").alias("kind"), F.col("user_id").alias("user"))
+    items = F.when(event % 3 > 0, F.array(F.struct(F.col("event_type").alias("name"), F.when(event % 3 == 1, F.col("value")).alias("weight"))))
+    landed = table(spark, folder, "events").select("event_id", props.alias("props"), items.alias("items"))
+    expected = StructType([
+        StructField("event_id", IntegerType()), StructField("note", StringType()),
+        StructField("props", StructType([StructField("k", LongType()), StructField("kind", StringType()), StructField("source", StringType())])),
+        StructField("items", ArrayType(StructType([StructField("name", StringType()), StructField("weight", FloatType())]))),
+    ])
+    return contracts.nested_drift(landed, expected)
+
+
 @query
 def retail_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Retail silver from four sources: orders, customers with a signup day, parts as products, payments of finished orders."""

@@ -342,6 +342,16 @@ ORACLE: dict[str, str] = {
         "SELECT 'channel' AS column, 'string' AS expected_type, CAST(NULL AS VARCHAR) AS actual_type, 'missing' AS state, 0.0 AS pct_filled",
         _drift("status", None, "string", "added", "dirty"),
     ]),
+    "nested_drift": """
+        WITH filled AS (SELECT count(*) AS n, count(event_id) AS event_id, count(*) FILTER (event_id % 4 > 0 AND json_extract_string(props, '$.k') IS NOT NULL) AS k,
+                        count(event_type) AS kind, count(user_id) AS person, count(*) FILTER (event_id % 3 > 0) AS items,
+                        count(*) FILTER (event_id % 3 > 0 AND event_type IS NOT NULL) AS name, count(*) FILTER (event_id % 3 = 1 AND value IS NOT NULL) AS weight FROM events)
+        SELECT path, expected_type, actual_type, state, round(CAST(100 * found AS DECIMAL(38, 6)) / n, 2)::DOUBLE AS pct_filled FROM filled, LATERAL (VALUES
+          ('event_id', 'int', 'bigint', 'widened', event_id), ('note', 'string', NULL, 'missing', 0), ('props', 'struct', 'struct', 'same', n),
+          ('props.k', 'bigint', 'int', 'narrowed', k), ('props.kind', 'string', 'string', 'same', kind), ('props.source', 'string', NULL, 'missing', 0),
+          ('props.user', NULL, 'bigint', 'added', person), ('items', 'array', 'array', 'same', items), ('items[]', 'struct', 'struct', 'same', items),
+          ('items[].name', 'string', 'string', 'same', name), ('items[].weight', 'float', 'double', 'widened', weight))
+          AS v(path, expected_type, actual_type, state, found)""",
     "schema_drift_by_status": f"WITH {DIRTY} " + " UNION ALL ".join([
         _drift("order_id", "bigint", "bigint", "same", "dirty", "status"),
         _drift("customer_id", "bigint", "bigint", "same", "dirty", "status"),

@@ -192,3 +192,24 @@ def test_schema_drift_over_landed_versions(spark, tmp_path, rows):
             ("id", "bigint", "int", "retyped", 100.0), ("source", "string", "string", "same", 100.0),
             ("error_message", "string", "string", "same", fill), ("gone", "string", None, "missing", 0.0))
     ], key=repr)
+
+
+def test_types_are_compared_by_what_they_are_made_of(spark, rows):
+    def schema(text):
+        return spark.createDataFrame([], text).schema
+
+    old = schema("a int, b struct<x:bigint,y:struct<z:date>>, c array<struct<k:float>>, m map<string,int>, d decimal(10,2), e string, f struct<q:int>, g tinyint")
+    new = schema("b struct<y:struct<z:timestamp_ntz,w:int>,x:int>, c array<struct<k:double,l:array<int>>>, m map<string,string>, d decimal(12,2), e int, f array<int>, g decimal(3,0), n map<int,struct<o:int>>")
+    assert contracts.type_drift(old, new) == [
+        ("a", "int", None, "missing"), ("b", "struct", "struct", "same"), ("b.x", "bigint", "int", "narrowed"), ("b.y", "struct", "struct", "same"),
+        ("b.y.z", "date", "timestamp_ntz", "widened"), ("b.y.w", None, "int", "added"), ("c", "array", "array", "same"), ("c[]", "struct", "struct", "same"),
+        ("c[].k", "float", "double", "widened"), ("c[].l", None, "array", "added"), ("c[].l[]", None, "int", "added"), ("m", "map", "map", "same"), ("m{key}", "string", "string", "same"),
+        ("m{value}", "int", "string", "retyped"), ("d", "decimal(10,2)", "decimal(12,2)", "widened"), ("e", "string", "int", "retyped"), ("f", "struct", "array", "retyped"),
+        ("g", "tinyint", "decimal(3,0)", "widened"), ("n", None, "map", "added"), ("n{key}", None, "int", "added"), ("n{value}", None, "struct", "added"), ("n{value}.o", None, "int", "added"),
+    ]
+    df = spark.createDataFrame(
+        [([(None, [1])], {"a": (None,)}), ([], {}), (None, None), ([(1.0, None), (2.0, [])], {"b": (5,), "c": None})],
+        "c array<struct<k:double,l:array<int>>>, m map<string,struct<o:int>>")
+    found = {r.path: r.pct_filled for r in contracts.nested_drift(df, schema("z int, m map<string,struct<o:bigint>>")).collect()}
+    assert found == {
+        "z": 0.0, "m": 75.0, "m{key}": 50.0, "m{value}": 50.0, "m{value}.o": 25.0, "c": 75.0, "c[]": 50.0, "c[].k": 25.0, "c[].l": 50.0, "c[].l[]": 25.0}
