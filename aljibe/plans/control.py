@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from aljibe.errors import LoadError
 from aljibe.functions.dates import yesterday
-from aljibe.sinks.changes import replace_range, upsert
+from aljibe.sinks.changes import refresh_range, replace_range, upsert
 from aljibe.sinks.tables import publish
 from aljibe.sources.jdbc import read_increment
 
@@ -25,10 +25,11 @@ def load_end(spark: SparkSession, as_of: datetime, zone: str = "-05:00") -> date
     return spark.range(1).select(yesterday(F.lit(as_of), zone)).first()[0]
 
 
-def load_table(spark: SparkSession, row: Row, source: DataFrame, target: str, end: date) -> DataFrame | None:
+def load_table(spark: SparkSession, row: Row, source: DataFrame, target: str, end: date, lookback: int = 0) -> DataFrame | None:
     """Load one table; the control update, or None if the watermark stays.
 
-    An increment without a watermark yet takes everything up to ``end``. An empty increment, or a table of another
+    With a ``lookback``, an increment first compares that many days up to the watermark with the source and rewrites those that differ, if the target is partitioned by the day
+    (``refresh_range``): rows that came late or have changed are loaded once. An increment without a watermark yet takes everything up to ``end``. An empty increment, or a table of another
     kind, leaves the watermark alone. The source is read once, for the one write; the watermark is the newest day written.
     """
     start, day = row["last_load"], F.col(row["date_column"]).cast("date")
@@ -39,6 +40,8 @@ def load_table(spark: SparkSession, row: Row, source: DataFrame, target: str, en
         publish(source.where(day <= F.lit(end)), target)
         loaded = spark.table(target)
     elif row["load_mode"] == INCREMENTAL:
+        if lookback and [c.name for c in spark.catalog.listColumns(target) if c.isPartition] == [row["date_column"]]:
+            refresh_range(spark, source, target, row["date_column"], start - timedelta(days=lookback), start)
         replace_range(spark, read_increment(source, row["date_column"], start, end), target, row["date_column"], start, end)
         loaded = spark.table(target).where(day > F.lit(start))
     else:
@@ -58,6 +61,7 @@ def run_control(
     target_schema: str,
     as_of: datetime,
     parallel: int = 4,
+    lookback: int = 0,
 ) -> list[str]:
     """Load every table of the control table; the names loaded, or LoadError naming those that failed.
 
@@ -69,7 +73,7 @@ def run_control(
 
     def load(row: Row) -> tuple[str, DataFrame | None, str | None]:
         try:
-            return row["table_name"], load_table(spark, row, source_of(row["table_name"]), f"{target_schema}.{row['table_name']}", end), None
+            return row["table_name"], load_table(spark, row, source_of(row["table_name"]), f"{target_schema}.{row['table_name']}", end, lookback), None
         except Exception as error:
             return row["table_name"], None, str(error) or repr(error)
 

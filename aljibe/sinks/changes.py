@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from aljibe.functions.dates import in_window
 from aljibe.errors import LoadError
+from aljibe.operators.grouping import hashable
 from aljibe.session import stage, unstage
 from aljibe.sinks.tables import NO_VALUE, create_table, partitions, publish, recover, replace_partitions
 
@@ -51,6 +52,39 @@ def replace_days(spark: SparkSession, rows: DataFrame, table: str, column: str,
     return replace_partitions(spark, rows, table, column, [day.isoformat() for day in days])
 
 
+def day_prints(rows: DataFrame, column: str, start: date, end: date) -> DataFrame:
+    """Per day of (start, end]: how many rows it has and two sums of their hashes, which do not depend on their order."""
+    inside = rows.where(in_window(F.col(column), F.lit(start), F.lit(end)))
+    cells = [hashable(F.col(f"`{field.name}`"), field.dataType) for field in sorted(rows.schema, key=lambda field: field.name)]
+    marks = [F.struct(*[cell.isNull() for cell in cells]), *cells]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(38,0)")).alias(name) for seed, name in ((1, "_one"), (2, "_two"))]
+    return inside.groupBy(F.col(column).alias("_day")).agg(F.count(F.lit(1)).alias("_rows"), *sums)
+
+
+def changed_days(source: DataFrame, target: DataFrame, column: str, start: date, end: date) -> set[date]:
+    """Days of (start, end] on which the rows of ``source`` are not those of ``target``: a row came late, has changed or is gone. Runs a job.
+
+    Both sides are added up per day before anything is shuffled; the driver gets the days that differ.
+    """
+    target = target.select(*source.columns)
+    one, other = (day_prints(rows, column, start, end) for rows in (source, target))
+    same = one.join(other.toDF("_day", "_o_rows", "_o_one", "_o_two"), "_day", "full_outer")
+    equal = (F.col("_rows") == F.col("_o_rows")) & (F.col("_one") == F.col("_o_one")) & (F.col("_two") == F.col("_o_two"))
+    return {row[0] for row in same.where(~F.coalesce(equal, F.lit(False))).select("_day").collect()}
+
+
+def refresh_range(spark: SparkSession, source: DataFrame, table: str, column: str, start: date, end: date) -> set[date]:
+    """Bring the days of (start, end] of a table partitioned by the date ``column`` to what ``source`` has; the days that were rewritten.
+
+    Other days keep their files. ``source`` is read twice: for the sums of all days, and for the rows of the days that differ.
+    """
+    recover(spark, table)
+    days = changed_days(source, spark.table(table), column, start, end)
+    if days:
+        replace_days(spark, source.where(F.col(column).isin(*days)), table, column, days)
+    return days
+
+
 def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge by key: matched rows take the columns ``updates`` has, new keys are added.
 
