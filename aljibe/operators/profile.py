@@ -105,7 +105,7 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return staged(long.groupBy(F.col("position").cast("int").alias("position"), "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _quantiles(counts: DataFrame, fractions: Sequence[float]) -> dict[int, list[float]]:
+def quantiles_of_counts(counts: DataFrame, fractions: Sequence[float]) -> dict[int, list[float]]:
     """Linearly interpolated quantiles per position, exact for any number of values. Runs jobs.
 
     The counted values are dealt by range. The rows per range, added up, tell in which range an order statistic
@@ -137,7 +137,7 @@ def _quantiles(counts: DataFrame, fractions: Sequence[float]) -> dict[int, list[
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, exact for data of any size; NULL and NaN do not count. Runs jobs."""
-    found = _quantiles(_numbers(df, columns), fractions)
+    found = quantiles_of_counts(_numbers(df, columns), fractions)
     return {name: found.get(place, [None] * len(fractions)) for place, name in enumerate(columns)}
 
 
@@ -149,7 +149,7 @@ def outlier_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """Quartiles, 1.5 IQR limits and values outside them, per numeric column with any values; NaN is missing. Runs jobs."""
     columns = [*(columns if columns is not None else numeric_columns(df))]
     counts = _numbers(df, columns)
-    limits = {place: (q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for place, (q1, q3) in _quantiles(counts, [0.25, 0.75]).items()}
+    limits = {place: (q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for place, (q1, q3) in quantiles_of_counts(counts, [0.25, 0.75]).items()}
     schema = "column string, q1 double, q3 double, iqr double, lower_limit double, upper_limit double, outliers bigint, pct_outliers double"
     if not limits:
         return df.sparkSession.createDataFrame([], schema)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from aljibe.functions import dates, nested, numbers, text
-from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, profile, rejects, rules, suites, variants
+from aljibe.operators import anomalies, cleaning, columns, contracts, documents, grouping, joins, models, opslog, partials, profile, rejects, rules, suites, variants
 from aljibe.plans import quality, retail
 from aljibe.plans.samples import (
     AS_OF, CURRENCY_OF, PAYMENT_METHODS, STATUSES, checked_orders, dirty_orders, sales_lines_base, table,
@@ -80,6 +80,12 @@ def customer_ltv(spark: SparkSession, folder: str) -> DataFrame:
     return models.customer_lifetime(_sales(spark, folder), "F")
 
 
+@query
+def customer_ltv_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Lifetime value from the partial states of each order date."""
+    return partials.lifetime_of(partials.sale_states(_sales(spark, folder), "F", "order_date"))
+
+
 @query
 def customer_segment(spark: SparkSession, folder: str) -> DataFrame:
     signup = F.when(F.col("o_custkey") % 50 != 0, F.date_add(F.lit("1998-01-01").cast("date"), (F.col("o_custkey") % 400).cast("int")))

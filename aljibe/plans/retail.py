@@ -10,6 +10,7 @@ from aljibe.functions.numbers import rounded
 from aljibe.operators.columns import typed
 from aljibe.operators.contracts import Contract, Field, check_contract
 from aljibe.operators.models import customer_lifetime, customer_segment, paid_sales_by_day
+from aljibe.operators.partials import lifetime_of, sale_states
 from aljibe.operators.rules import Rule
 from aljibe.sinks.files import write_layer
 from aljibe.sources.files import read_layer
@@ -99,7 +100,9 @@ def complete_sales(silver: DataFrame) -> DataFrame:
 
 
 def publish_gold(spark, silver: str, gold: str, run_date: str, contract: Contract | None = None) -> None:
-    """Check the silver orders of one run date against their contract, then write fact_sales, agg_daily_sales and customer_ltv.
+    """Check the silver orders of one run date against their contract, then write fact_sales, agg_daily_sales, customer_ltv and customer_ltv_states.
+
+    ``customer_ltv`` is that of the run date's orders; ``customer_ltv_states`` keeps their partial sums, from which ``lifetime`` takes that of all run dates.
 
     Orders without category or price are left out first. Raises DataQualityError, naming the broken checks, before
     anything is written.
@@ -112,3 +115,13 @@ def publish_gold(spark, silver: str, gold: str, run_date: str, contract: Contrac
     write_layer(sales, gold, "fact_sales", run_date)
     write_layer(paid_sales_by_day(sales, "paid"), gold, "agg_daily_sales", run_date)
     write_layer(customer_lifetime(sales, "paid"), gold, "customer_ltv", run_date)
+    write_layer(sale_states(sales, "paid", "order_date"), gold, "customer_ltv_states", run_date)
+
+
+def lifetime(spark, gold: str, upto: str | None = None) -> DataFrame:
+    """Lifetime value over all run dates, or those up to ``upto``, where each run date brings orders of its own. A run date that was published again counts once.
+
+    Sums of a few numbers per customer, country, order date and run date are read, no orders.
+    """
+    states = read_layer(spark, gold, "customer_ltv_states")
+    return lifetime_of(states if upto is None else states.where(F.col("run_date") <= upto))

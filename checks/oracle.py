@@ -278,6 +278,9 @@ ORACLE: dict[str, str] = {
     "customer_ltv": f"""WITH {SALES}
         SELECT customer_id, country, count(*) AS paid_orders, {_total('gross_amount')} AS lifetime_value, max(order_date) AS last_order_date
         FROM sales WHERE status = 'F' GROUP BY customer_id, country""",
+    "customer_ltv_merged": f"""WITH {SALES}
+        SELECT customer_id, country, count(*) AS paid_orders, {_total('gross_amount')} AS lifetime_value, max(order_date) AS last_order_date
+        FROM sales WHERE status = 'F' GROUP BY customer_id, country""",
     "customer_segment": """
         SELECT o_orderkey, CASE WHEN o_custkey % 50 <> 0
                  AND date_diff('day', DATE '1998-01-01' + CAST(o_custkey % 400 AS INTEGER), CAST(o_orderdate AS DATE)) <= 30
