@@ -11,6 +11,7 @@ from aljibe.llm.names import unused
 from aljibe.session import staged
 
 INDEX_SCHEMA = "digest binary, keep_id bigint"
+LEAST_BUCKETS, ROWS_PER_BUCKET = 16, 2_000_000
 
 
 def normalised(text):
@@ -22,20 +23,32 @@ class DigestIndex:
     """Table of the digests seen so far and the document that stands for each.
 
     The table is bucketed and sorted by digest, so a new batch meets it in a
-    sort-merge join in which only the digests of the batch are shuffled.
+    sort-merge join in which only the digests of the batch are shuffled. The number of buckets is that of the join's tasks and is for good; if not given, it follows
+    from the distinct texts of the first batch, ROWS_PER_BUCKET each. As a context manager the index is dropped in the end; what ``deduplicate`` has returned stays.
     """
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table, self.buckets = spark, table, buckets
-        if not spark.catalog.tableExists(table):
+        if spark.catalog.tableExists(table):
+            described = {row[0]: row[1] for row in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+            self.buckets = int(described["Num Buckets"])
+        elif buckets:
             self._append(spark.createDataFrame([], INDEX_SCHEMA))
 
+    def __enter__(self) -> DigestIndex:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def _append(self, rows: DataFrame) -> None:
+        if not self.buckets:
+            self.buckets = max(LEAST_BUCKETS, -(-rows.count() // ROWS_PER_BUCKET))
         (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
              .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.table)
+        return self.spark.table(self.table) if self.spark.catalog.tableExists(self.table) else self.spark.createDataFrame([], INDEX_SCHEMA)
 
     def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per row of ``docs``: doc_id, keep_id, group_size, kept, keep_rows, text_sha256. Runs jobs.
@@ -73,7 +86,7 @@ class DigestIndex:
             F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def fresh_index(spark: SparkSession, buckets: int = 16) -> DigestIndex:
+def fresh_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
     """An empty index of its own in the warehouse."""
     return DigestIndex(spark, f"llm_digests_{uuid.uuid4().hex}", buckets)
 

@@ -42,7 +42,8 @@ def warc_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.fresh_index(spark).deduplicate(table(spark, folder, "documents")).drop("keep_rows")
+    with exact_dedup.fresh_index(spark) as index:
+        return index.deduplicate(table(spark, folder, "documents")).drop("keep_rows")
 
 
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from aljibe.llm.exact_dedup import fresh_index, without_copies
+from aljibe.llm import exact_dedup
+from aljibe.llm.exact_dedup import DigestIndex, fresh_index, without_copies
 
 DOCS = [(5, "a  b"), (3, "a\tb"), (9, "a\u00a0b"), (7, None), (2, ""), (8, " "), (4, "z" * 50_000), (6, "z" * 50_000), (1, "alone"), (None, "a b"), (3, "a\tb")]
 
@@ -51,3 +52,23 @@ def test_one_of_each_text_stays_with_all_columns(spark, rows, with_clashes):
 def test_missing_and_repeated_ids(spark, rows, docs):
     got = without_copies(spark.createDataFrame(docs, "doc_id long, text string"), fresh_index(spark, 4))
     assert rows(got) == sorted(set(docs), key=repr)
+
+
+def test_buckets_follow_the_first_batch_and_the_index_goes(spark, rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_BUCKET", 5)
+    docs = spark.range(200).selectExpr("id AS doc_id", "concat('text ', id % 150) AS text")
+    with fresh_index(spark) as index:
+        found = index.deduplicate(docs)
+        assert index.buckets == 30
+        again = DigestIndex(spark, index.table).deduplicate(docs)
+        assert again.where("kept").count() == 150
+    assert not spark.catalog.tableExists(index.table)
+    assert found.where("kept").count() == 150 and again.where("kept").count() == 150  # both still read what they need
+
+
+def test_queries_leave_no_index_behind(spark):
+    from aljibe.llm.queries import QUERIES
+
+    before = {t.name for t in spark.catalog.listTables()}
+    assert QUERIES["op6_exact_dedup"](spark, "/root/testdata/sf0.001").count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before
