@@ -17,7 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id."""
-    return exact_dedup.without_copies(docs, exact_dedup.fresh_index(spark))
+    with exact_dedup.fresh_index(spark) as index:
+        return exact_dedup.without_copies(docs, index)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
