@@ -95,12 +95,12 @@ def words(path: str) -> Words:
     return Words(path)
 
 
-def tokenized(text: bytes, known: Words) -> tuple[bytes, np.ndarray]:
+def tokenized(text: bytes, known: Words, cache_words: int | None = None) -> tuple[bytes, np.ndarray]:
     """Ids of a UTF-8 text as little-endian bytes, and after how many of them its sentences end.
 
     ``bytes.split`` cuts at ASCII white space alone; other white space stays inside words, for the tokenizer to drop.
     """
-    if len(known) > CACHE_WORDS:
+    if len(known) > (cache_words or CACHE_WORDS):
         known.renew()
     found = list(map(known.__getitem__, text.lower().split()))
     ids = b"".join(found)
@@ -238,13 +238,14 @@ COLUMNS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())
            ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
 
 
-def packed(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", cache_words: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian, 32 bits each).
 
     Documents keep their order within an input split and fill windows of at most ``length`` tokens (a power of two), cut at the
     boundaries that make padding plus cutting cheapest; the last tokens of a split go into windows of powers of two, which need
     no padding. NULL and empty texts are the end id alone. Repeated rows and NULL ids are packed like any other row.
-    Other columns are not read. No shuffle; a task keeps at most CHUNK_TOKENS tokens and one document.
+    Other columns are not read. No shuffle; a task keeps at most CHUNK_TOKENS tokens and one document, a worker two generations of
+    ``cache_words`` words (CACHE_WORDS if not given); fewer take less memory and more time, the pieces are the same.
     ``sequence_id`` is the task's partition times 2^33 plus a running number. ``path`` names a tokenizer file on every executor.
     """
     schema = pa.schema(COLUMNS)
@@ -257,7 +258,7 @@ def packed(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_
         packer = Packer(TaskContext.get().partitionId() << 33, length)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                out.extend(packer.add(doc_id, *tokenized(text.as_buffer().to_pybytes(), known)))
+                out.extend(packer.add(doc_id, *tokenized(text.as_buffer().to_pybytes(), known, cache_words)))
                 if len(out) >= 2000:
                     yield table(out)
                     out = []
