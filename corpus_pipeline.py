@@ -9,6 +9,9 @@ from aljibe.llm import exact_dedup, packing, pii, simhash, toxicity
 from aljibe.llm.workers import with_package
 from aljibe.session import staged
 
+#: Workers hold what other stages have cached too.
+CACHED_WORDS = 100_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the classifier learns from the labels of ``sf_dir``."""
@@ -33,7 +36,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their ids."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), cache_words=CACHED_WORDS)
 
 
 STAGES = [(name, with_package(stage)) for name, stage in [
