@@ -1,12 +1,13 @@
 """Dataset profiles: missing values, cardinality, quartiles, outliers, dictionary.
 
-Reports are one row per column. Each is computed in a fixed number of passes,
+Reports are one row per column. Each reads a column in a fixed number of passes,
 whatever the number of columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
@@ -16,6 +17,9 @@ from aljibe.operators.grouping import duplicate_share, row_copies
 from aljibe.operators.rules import Rule, long_form, rule_report
 from aljibe.session import staged
 
+#: Types whose values are numbers of days or whole numbers of at most 64 bits.
+INTEGERS = ("tinyint", "smallint", "int", "bigint", "date")
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
@@ -35,32 +39,65 @@ def missing_report(df: DataFrame) -> DataFrame:
     ])
 
 
-def cardinality_report(df: DataFrame) -> DataFrame:
-    """Type, NULLs (and NaNs), distinct values and their percentage of the rows, per column.
+def _each_column(df: DataFrame, counted: Callable[[int, str, Column], DataFrame]) -> DataFrame:
+    """Union of ``counted(position, type, value)`` over the columns of ``df``.
 
-    Each distinct value of each column goes through one shuffle.
+    Each branch scans its own column only, so together they read a table once and no row is multiplied by the columns.
+    A frame that is dear to compute is best written to a table first.
     """
-    sums = [F.count(F.lit(1)).alias("_all")]
-    for place, (name, kind) in enumerate(df.dtypes):
-        value = F.when(~_missing(name, kind), F.col(f"`{name}`"))
-        sums += [F.count(value).alias(f"_filled_{place}"), F.count_distinct(value).alias(f"_distinct_{place}")]
-    return long_form(df.agg(*sums), [
-        F.struct(
+    branches = [counted(place, kind, F.col(f"`{name}`")) for place, (name, kind) in enumerate(df.dtypes)]
+    return reduce(DataFrame.unionAll, branches)
+
+
+def distinct_counts(df: DataFrame, name: str) -> DataFrame:
+    """One row for a column: ``_all`` rows, ``_filled`` (neither NULL nor NaN) and ``_distinct`` values, exact.
+
+    Integers and dates are kept as bitmaps of 64 neighbouring values, combined per task: a shuffled row stands for up to
+    64 values, and where values lie far apart for one, as in a plain distinct. Other types go as counted values.
+    """
+    kind = dict(df.dtypes)[name]
+    value = F.when(~_missing(name, kind), F.col(f"`{name}`"))
+    if kind in INTEGERS:
+        number = (F.unix_date(value) if kind == "date" else value).cast("bigint")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+        keyed, combined, values = F.shiftright(number, 6), F.bit_or("_bit").alias("_bits"), F.sum(F.bit_count("_bits"))
+    else:
+        bit, keyed, combined, values = F.lit(0), value, F.lit(0).alias("_bits"), F.count("_key")
+    groups = df.select(keyed.alias("_key"), bit.alias("_bit")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), combined)
+    none = F.lit(0)
+    return groups.agg(
+        F.coalesce(F.sum("_n"), none).alias("_all"),
+        F.coalesce(F.sum(F.when(F.col("_key").isNotNull(), F.col("_n"))), none).alias("_filled"),
+        F.coalesce(values, none).alias("_distinct"),
+    )
+
+
+def cardinality_report(df: DataFrame) -> DataFrame:
+    """Type, NULLs (and NaNs), distinct values and their percentage of the rows, per column."""
+    def of_column(place: int, kind: str, value: Column) -> DataFrame:
+        name = df.columns[place]
+        return distinct_counts(df, name).select(
             F.lit(name).alias("column"),
             F.lit(kind).alias("type"),
-            (F.col("_all") - F.col(f"_filled_{place}")).alias("nulls"),
-            F.col(f"_distinct_{place}").alias("distinct_values"),
-            percent(F.col(f"_distinct_{place}"), F.col("_all")).alias("pct_distinct"),
+            (F.col("_all") - F.col("_filled")).alias("nulls"),
+            F.col("_distinct").alias("distinct_values"),
+            percent(F.col("_distinct"), F.col("_all")).alias("pct_distinct"),
         )
-        for place, (name, kind) in enumerate(df.dtypes)
-    ])
+
+    return _each_column(df, of_column)
 
 
 def _value_counts(df: DataFrame) -> DataFrame:
-    """(column position, value as text, rows) over all columns, combined before the shuffle."""
-    as_text = df.select(*[F.col(name).cast("string").alias(str(place)) for place, name in enumerate(df.columns)])
-    long = as_text.unpivot([], as_text.columns, "position", "value")
-    return long.groupBy(F.col("position").cast("int").alias("position"), "value").agg(F.count(F.lit(1)).alias("n"))
+    """(column position, value as text, rows) over all columns, combined before the shuffle.
+
+    Atomic values are counted as they are and written as text once per distinct value; nested ones are counted by their text.
+    """
+    def of_column(place: int, kind: str, value: Column) -> DataFrame:
+        key = value.cast("string") if "<" in kind or kind == "variant" else value
+        counted = df.select(key.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        return counted.select(F.lit(place).alias("position"), F.col("value").cast("string").alias("value"), "n")
+
+    return _each_column(df, of_column)
 
 
 def data_dictionary(df: DataFrame, descriptions: Mapping[str, str] | None = None, examples: int = 3) -> DataFrame:

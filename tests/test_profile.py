@@ -67,6 +67,44 @@ def test_missing_cardinality_dictionary(sales, rows):
     assert tuple(all_null.first()) == ("x", "", "string", 5, 100.0, 0, "")
 
 
+@pytest.mark.parametrize("kind, low, high", [("tinyint", -128, 127), ("smallint", -(2**15), 2**15 - 1), ("int", -(2**31), 2**31 - 1), ("bigint", -(2**63), 2**63 - 1)])
+def test_bitmaps_count_like_sets(spark, kind, low, high):
+    """Neighbours, both ends of the type, both sides of each multiple of 64, repeated values and NULLs."""
+    dice = random.Random(kind)
+    values = [low, low + 1, high - 1, high, -65, -64, -63, -1, 0, 1, 63, 64, 65, 127, None, None]
+    values += [dice.randint(-100, 100) for _ in range(200)] + [dice.randint(low, high) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").select(F.col("v").cast(kind).alias("v")).repartition(5)
+    row = profile.cardinality_report(df).first()
+    assert (row["type"], row["nulls"], row["distinct_values"]) == (kind, 2, len(set(values) - {None}))
+
+
+def test_cardinality_of_other_types(spark, rows):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (DATE'1969-12-31', TIMESTAMP_NTZ'2024-01-01 00:00:00', 1.50BD, true, 0.0D, array(1, NULL), named_struct('a', 1, 'b', 'x')),
+          (DATE'1970-01-01', TIMESTAMP_NTZ'2024-01-01 00:00:01', 1.5BD, false, -0.0D, array(1), named_struct('a', 1, 'b', NULL)),
+          (DATE'0001-01-01', NULL, 2BD, NULL, double('NaN'), array(1, NULL), named_struct('a', 1, 'b', NULL)),
+          (NULL, NULL, NULL, NULL, NULL, NULL, NULL) AS t(day, at, money, flag, `a.b`, items, pair)""")
+    assert rows(profile.cardinality_report(df), "column", "nulls", "distinct_values") == sorted([
+        ("day", 1, 3), ("at", 2, 2), ("money", 1, 2), ("flag", 2, 2), ("a.b", 2, 1), ("items", 1, 2), ("pair", 1, 2)], key=repr)
+    assert rows(profile.data_dictionary(df), "column", "nulls", "distinct_values") == sorted([
+        ("day", 1, 3), ("at", 2, 2), ("money", 1, 2), ("flag", 2, 2), ("a.b", 1, 2), ("items", 1, 2), ("pair", 1, 2)], key=repr)
+    assert rows(profile.cardinality_report(df.where("false")), "nulls", "distinct_values") == [(0, 0)] * 7
+
+
+def test_columns_are_scanned_one_by_one(spark, tmp_path):
+    """No row is multiplied by the columns, and integers are grouped by words of 64 neighbours before the shuffle."""
+    sales = spark.range(100_000, numPartitions=4).select("id", (F.col("id") % 7).cast("string").alias("name"))
+    sales.write.parquet(f"{tmp_path}/sales")
+    stored = spark.read.parquet(f"{tmp_path}/sales")
+    for report in (profile.cardinality_report, profile.data_dictionary):
+        plan = report(stored)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "ReadSchema: struct<id:bigint,name:string>" not in plan
+        assert "ReadSchema: struct<id:bigint>" in plan and "ReadSchema: struct<name:string>" in plan
+    assert "shiftright" in profile.cardinality_report(stored)._jdf.queryExecution().executedPlan().toString()
+    assert tuple(profile.distinct_counts(stored, "id").first()) == (100_000, 100_000, 100_000)
+
+
 def test_describe(sales):
     numbers = {r["column"]: r.asDict() for r in profile.describe_numbers(sales).collect()}
     expected = sales.toPandas()["age"].describe()
