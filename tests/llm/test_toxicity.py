@@ -56,6 +56,7 @@ def test_words_without_white_space_are_scored(model, glue):
     bad = [glue.join([c, dice.choice(STEMS) + "ra", dice.choice(STEMS) + "mi", c]) for c in clean]
     low, high = model.scorer().logits(clean), model.scorer().logits(bad)
     assert (high > low).all() and np.mean(high[:, None] > low) > 0.9
+    assert np.mean(model.scorer().score(bad) >= 0.5) > 0.95 and np.mean(model.scorer().score(clean) < 0.5) > 0.95
     assert all(len(w) <= toxicity.LONGEST for c in bad for w in toxicity.words_of(c))
 
 
@@ -98,6 +99,50 @@ def test_every_text_has_a_score(model):
     assert model.scorer().score([]).tolist() == []
 
 
+def plain_buckets(word):
+    """Buckets of a word, one n-gram at a time in whole numbers: 32 bits per character and n-gram, 64 for sums and the last mixing."""
+    bits, wide = (1 << 32) - 1, (1 << 64) - 1
+    own = "<" + (word.lower().strip(toxicity.EDGES) or word) + ">"
+    mixed = [(ord(c) + 0x9E37) * 0x85EBCA6B & bits for c in own]
+    hashes = [sum((m ^ m >> 13) * (2 * i * i + 3 * i + 1) & bits for i, m in enumerate(mixed))]
+    for n in toxicity.GRAMS:
+        for at in range(len(own) - n + 1):
+            rolling = mixed[at]
+            for m in mixed[at + 1:at + n]:
+                rolling = (rolling * 0x01000193 & bits) ^ m
+            hashes.append(rolling + n & bits)
+    spread = [(h ^ h >> 15) * 0x2C1B3C6D & wide for h in hashes]
+    return [(h ^ h >> 16) % toxicity.BUCKETS for h in spread]
+
+
+def plain_score(model, text):
+    """Average the vectors of the n-grams of each word, then those of each window of words; softmax; the highest chance of a window."""
+    words = toxicity.words_of(text)
+    vectors = []
+    for i, word in enumerate(words):
+        held = [model.embeddings[b].astype(float) for b in plain_buckets(word)]
+        shown = sum(v.any() for v in held)
+        repeated = i > 0 and plain_buckets(word) == plain_buckets(words[i - 1])
+        vectors.append(sum(held) / max(shown, len(held) / 2) * (not repeated))
+    best = 0.0
+    for at in range(0, max(len(words) - toxicity.WINDOW // 2, 1), toxicity.WINDOW // 2):
+        window = sum(vectors[at:at + toxicity.WINDOW]) / toxicity.WINDOW
+        low, high = window @ model.weights + model.bias
+        best = max(best, 1 / (1 + np.exp(low - high)))
+    return best
+
+
+def test_scores_equal_a_plain_computation(model):
+    dice = random.Random(8)
+    texts = ["", " ", "...", "Grumblora grumblora, GRUMBLORA snarfimi", "\u4e00\u4e8c\U0001f600", "x" * 200, "river", "grumblon river " * 9]
+    texts += [text(dice, i % 2 == 0, dice.randint(1, 40)) for i in range(60)]
+    texts += ["_".join(text(dice, True, 12).split()) for _ in range(5)]
+    dice.shuffle(texts)
+    got = model.scorer().score(texts)
+    assert got == pytest.approx([plain_score(model, x) for x in texts], abs=1e-5)
+    assert got.min() < 0.1 and got.max() > 0.9
+
+
 def test_grams_share_misspellings():
     buckets, owner = toxicity.grams(["grumblora", "grumblorra", "table"])
     one, two, three = (set(buckets[owner == i].tolist()) for i in range(3))
