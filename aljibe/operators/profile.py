@@ -39,13 +39,14 @@ def missing_report(df: DataFrame) -> DataFrame:
     ])
 
 
-def _each_column(df: DataFrame, counted: Callable[[int, str, Column], DataFrame]) -> DataFrame:
-    """Union of ``counted(position, type, value)`` over the columns of ``df``.
+def _each_column(df: DataFrame, columns: Sequence[str], counted: Callable[[int, str, Column], DataFrame]) -> DataFrame:
+    """Union of ``counted(position, type, value)`` over ``columns``.
 
     Each branch scans its own column only, so together they read a table once and no row is multiplied by the columns.
     A frame that is dear to compute is best written to a table first.
     """
-    branches = [counted(place, kind, F.col(f"`{name}`")) for place, (name, kind) in enumerate(df.dtypes)]
+    kinds = dict(df.dtypes)
+    branches = [counted(place, kinds[name], F.col(f"`{name}`")) for place, name in enumerate(columns)]
     return reduce(DataFrame.unionAll, branches)
 
 
@@ -84,7 +85,7 @@ def cardinality_report(df: DataFrame) -> DataFrame:
             percent(F.col("_distinct"), F.col("_all")).alias("pct_distinct"),
         )
 
-    return _each_column(df, of_column)
+    return _each_column(df, df.columns, of_column)
 
 
 def _value_counts(df: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def _value_counts(df: DataFrame) -> DataFrame:
         counted = df.select(key.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
         return counted.select(F.lit(place).alias("position"), F.col("value").cast("string").alias("value"), "n")
 
-    return _each_column(df, of_column)
+    return _each_column(df, df.columns, of_column)
 
 
 def data_dictionary(df: DataFrame, descriptions: Mapping[str, str] | None = None, examples: int = 3) -> DataFrame:
@@ -137,9 +138,13 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Written to the shared folder: every figure of a profile is read from it.
     """
-    values = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(str(place)) for place, c in enumerate(columns)])
-    long = values.unpivot([], values.columns, "position", "value").where("value is not null")
-    return staged(long.groupBy(F.col("position").cast("int").alias("position"), "value").agg(F.count(F.lit(1)).alias("n")))
+    def of_column(place: int, kind: str, value: Column) -> DataFrame:
+        filled = df.select(nan_to_null(value.cast("double")).alias("value")).where("value is not null")
+        return filled.groupBy("value").agg(F.count(F.lit(1)).alias("n")).select(F.lit(place).alias("position"), "value", "n")
+
+    if not columns:
+        return df.sparkSession.createDataFrame([], "position int, value double, n bigint")
+    return staged(_each_column(df, columns, of_column))
 
 
 def quantiles_of_counts(counts: DataFrame, fractions: Sequence[float]) -> dict[int, list[float]]:

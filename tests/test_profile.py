@@ -36,6 +36,7 @@ def test_outliers(spark, rows):
     assert rows(profile.outlier_report(df)) == [
         ("v", round(q1, 3), round(q3, 3), round(q3 - q1, 3), round(q1 - 1.5 * (q3 - q1), 3), round(q3 + 1.5 * (q3 - q1), 3), 1, 8.33)]
     assert profile.outlier_report(df.select("empty")).count() == 0
+    assert profile.outlier_report(df.select(F.lit("x").alias("text"))).count() == 0
 
 
 def test_nan_is_missing(spark, rows):
